@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+from ratelake.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_on_keys
 
 
 def group_stats(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
@@ -43,7 +43,6 @@ def group_context(
     diff_col: str = "rating_diff_city",
     strategy: str = "aggregate",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    cut_lineage: bool = True,
 ) -> DataFrame:
     """Add ``mean_col`` (group mean of ``value``) and ``diff_col``."""
     keys = list(keys)
@@ -54,17 +53,8 @@ def group_context(
     if strategy != "aggregate":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    renamed = {k: f"_gk{i}" for i, k in enumerate(keys)}
     stats = group_stats(df, value, keys).select(
-        *[F.col(k).alias(renamed[k]) for k in keys],
-        F.try_divide(F.col("_sum"), F.col("_n")).alias(mean_col),
+        *keys, F.try_divide(F.col("_sum"), F.col("_n")).alias(mean_col)
     )
-    if cut_lineage:
-        # one pass computes the group table; the count and the join reuse it
-        stats = stats.checkpoint(eager=True)
-        n_groups = stats.count()
-        if n_groups <= max_broadcast_rows:
-            stats = F.broadcast(stats)
-    cond = [df[k].eqNullSafe(stats[renamed[k]]) for k in keys]
-    out = df.join(stats, on=cond, how="left").drop(*renamed.values())
+    out = join_on_keys(df, stats, keys, how="left", max_broadcast_rows=max_broadcast_rows)
     return out.withColumn(diff_col, F.col(value) - F.col(mean_col))
