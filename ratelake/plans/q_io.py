@@ -1 +1,163 @@
-"""Registered queries (see registry)."""
+"""Registered source/sink queries: CSV scan, slices, lake, DLQ.
+
+Each query materialises its files under the shared checkpoint folder (a
+fresh sub-folder per call) and returns a DataFrame read back from them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+
+from ratelake.contract import CONTRACT_COLUMNS, CRITICAL_COLUMNS
+from ratelake.operators.quality import split
+from ratelake.plans.registry import PIPELINE_CTE, VENUE_CTE, _CONTRACT_ROUNDED_SQL, register, round_contract
+from ratelake.plans.venue import venue_pipeline, venue_rows
+from ratelake.session import shared_path
+from ratelake.sources.ingest import CORRUPT_COLUMN, read_csv_tolerant, slice_walk
+from ratelake.sources.lake import (
+    BATCH_COLUMN,
+    read_dlq,
+    read_lake,
+    write_batch,
+    write_batches,
+    write_dlq_batches,
+)
+from ratelake.sources.tables import table
+
+# --------------------------------------------------------------------------
+# tolerant CSV scan: `part` written as CSV with some p_size cells replaced by
+# text (fixed rule on the key), read back with the declared schema
+# --------------------------------------------------------------------------
+
+PART_SCHEMA = StructType(
+    [
+        StructField("p_partkey", LongType(), True),
+        StructField("p_name", StringType(), True),
+        StructField("p_brand", StringType(), True),
+        StructField("p_type", StringType(), True),
+        StructField("p_size", IntegerType(), True),
+        StructField("p_retailprice", DoubleType(), True),
+    ]
+)
+
+
+@register(
+    "csv_tolerant_scan",
+    """SELECT p_partkey, p_name, p_brand, p_type,
+      TRY_CAST(CASE WHEN p_partkey % 17 = 5 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS INTEGER)
+        AS p_size,
+      p_retailprice, (p_partkey % 17 = 5) AS is_malformed
+    FROM part""",
+)
+def q_csv_tolerant_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "csv_scan")
+    part = table(spark, sf_dir, "part")
+    dirty = part.withColumn(
+        "p_size",
+        F.when(F.col("p_partkey") % 17 == 5, F.lit("n/a")).otherwise(F.col("p_size").cast("string")),
+    )
+    dirty.write.mode("overwrite").option("header", "true").csv(path)
+    scanned = read_csv_tolerant(spark, path, PART_SCHEMA)
+    return scanned.select(
+        *[f.name for f in PART_SCHEMA.fields],
+        F.col(CORRUPT_COLUMN).isNotNull().alias("is_malformed"),
+    )
+
+
+# --------------------------------------------------------------------------
+# incremental slices: the full walk over `events`, 2000 rows per slice
+# --------------------------------------------------------------------------
+
+SLICE_CAP = 2000
+
+
+@register(
+    "incremental_slice",
+    f"""SELECT event_id, ts, user_id, event_type, value,
+      CAST((ROW_NUMBER() OVER (ORDER BY event_id) - 1) // {SLICE_CAP} AS BIGINT) AS slice_no
+    FROM events""",
+)
+def q_incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return slice_walk(ev, "event_id", SLICE_CAP)
+
+
+# --------------------------------------------------------------------------
+# lake: contract rows partitioned by country, whole-lake and per-batch reads
+# --------------------------------------------------------------------------
+
+
+@register("lake_roundtrip", f"WITH {PIPELINE_CTE} SELECT {_CONTRACT_ROUNDED_SQL} FROM pipeline")
+def q_lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = shared_path(spark, "lake")
+    write_batch(venue_pipeline(venue_rows(spark, sf_dir)), lake, 0)
+    return round_contract(read_lake(spark, lake).select(*CONTRACT_COLUMNS))
+
+
+BATCH_CAP = 500  # rows per batch (the ETL's max records per run)
+
+
+@register(
+    "lake_batch_read",
+    f"""WITH {PIPELINE_CTE},
+    b AS (SELECT *, (ROW_NUMBER() OVER (ORDER BY venue_id) - 1) // {BATCH_CAP} AS batch_id
+          FROM pipeline)
+    SELECT CAST(batch_id AS BIGINT) AS batch_id, country, CAST(COUNT(*) AS BIGINT) AS n_rows,
+      CAST(SUM(total_reviews_count) AS BIGINT) AS sum_reviews,
+      CAST(SUM(is_gluten_free) AS BIGINT) AS n_gluten_free
+    FROM b GROUP BY 1, 2""",
+)
+def q_lake_batch_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = shared_path(spark, "lake_batches")
+    rows = venue_pipeline(venue_rows(spark, sf_dir), keep=("venue_id",))
+    batched = slice_walk(rows, "venue_id", BATCH_CAP, out=BATCH_COLUMN).drop("venue_id")
+    write_batches(batched, lake)
+    back = read_lake(spark, lake)  # batch_id and country rebuilt from the path
+    return back.groupBy(BATCH_COLUMN, "country").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("total_reviews_count").cast("long").alias("sum_reviews"),
+        F.sum("is_gluten_free").cast("long").alias("n_gluten_free"),
+    )
+
+
+@register("lake_retry", f"WITH {PIPELINE_CTE} SELECT {_CONTRACT_ROUNDED_SQL} FROM pipeline")
+def q_lake_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A failed first attempt of batch 0 wrote other country folders than
+    the retry will; the retry's subtree overwrite must leave no orphan."""
+    lake = shared_path(spark, "lake_retry")
+    rows = venue_pipeline(venue_rows(spark, sf_dir))
+    stale = rows.withColumn("country", F.concat(F.col("country"), F.lit("_attempt1")))
+    write_batch(stale, lake, 0)
+    write_batch(rows, lake, 0)
+    return round_contract(read_lake(spark, lake).select(*CONTRACT_COLUMNS))
+
+
+@register(
+    "dlq_by_batch",
+    f"""WITH {VENUE_CTE},
+    b AS (SELECT *, (ROW_NUMBER() OVER (ORDER BY venue_id) - 1) // {BATCH_CAP} AS batch_id
+          FROM venue)
+    SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(COUNT(*) AS BIGINT) AS n_bad,
+    """
+    + ",\n    ".join(
+        f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null_{c}" for c in CRITICAL_COLUMNS
+    )
+    + "\n    FROM b WHERE "
+    + " OR ".join(f"{c} IS NULL" for c in CRITICAL_COLUMNS)
+    + " GROUP BY 1",
+)
+def q_dlq_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dlq = shared_path(spark, "dlq")
+    raw = slice_walk(venue_rows(spark, sf_dir), "venue_id", BATCH_CAP, out=BATCH_COLUMN)
+    _, bad = split(raw, CRITICAL_COLUMNS, with_reason=True)
+    write_dlq_batches(bad, dlq)
+    back = read_dlq(spark, dlq)
+    return back.groupBy(BATCH_COLUMN).agg(
+        F.count(F.lit(1)).alias("n_bad"),
+        *[
+            F.count_if(F.array_contains("dlq_reason", c)).alias(f"n_null_{c}")
+            for c in CRITICAL_COLUMNS
+        ],
+    )

@@ -61,7 +61,7 @@ _GOOD_WHERE = " AND ".join(f"{c} IS NOT NULL" for c in CRITICAL_COLUMNS)
 _BAD_WHERE = " OR ".join(f"{c} IS NULL" for c in CRITICAL_COLUMNS)
 PIPELINE_CTE = f"""{VENUE_CTE},
 good AS (
-  SELECT restaurant_name, country, city, latitude, longitude,
+  SELECT venue_id, restaurant_name, country, city, latitude, longitude,
     COALESCE(avg_rating, 0) AS avg_rating,
     COALESCE(total_reviews_count, 0) AS total_reviews_count,
     CASE trim(price_level) WHEN '$' THEN 1 WHEN '$$ - $$$' THEN 2 WHEN '$$$$' THEN 3 ELSE 0 END
@@ -72,7 +72,7 @@ good AS (
   FROM venue WHERE {_GOOD_WHERE}
 ),
 pipeline AS (
-  SELECT restaurant_name, country, city, latitude, longitude, avg_rating,
+  SELECT venue_id, restaurant_name, country, city, latitude, longitude, avg_rating,
     AVG(avg_rating) OVER (PARTITION BY city) AS city_avg_rating,
     avg_rating - AVG(avg_rating) OVER (PARTITION BY city) AS rating_diff_city,
     CAST(total_reviews_count AS INT) AS total_reviews_count,

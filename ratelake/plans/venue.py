@@ -98,7 +98,9 @@ def venue_pipeline(
     numeric_columns: Sequence[str] = NUMERIC_COLUMNS,
     context_keys: Sequence[str] = ("city",),
     context_strategy: str = "aggregate",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Raw rows -> good rows -> 13 contract columns."""
+    """Raw rows -> good rows -> 13 contract columns (``keep``: extra leading
+    columns such as a row key)."""
     good, _ = split(raw, critical)
-    return transform_good(good, numeric_columns, context_keys, context_strategy)
+    return transform_good(good, numeric_columns, context_keys, context_strategy, keep)
