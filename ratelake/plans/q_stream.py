@@ -1 +1,191 @@
-"""Registered queries (see registry)."""
+"""Registered wire and streaming queries.
+
+Streaming queries run with ``availableNow`` over a topic folder written from
+the test tables, wait for completion and return the sink's files read back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+from ratelake.contract import CONTRACT_COLUMNS, CONTRACT_SCHEMA
+from ratelake.functions.wire import encode_json, parse_json, to_json_value
+from ratelake.plans.registry import PIPELINE_CTE, _CONTRACT_ROUNDED_SQL, register, round_contract
+from ratelake.plans.venue import venue_pipeline, venue_rows
+from ratelake.session import shared_path
+from ratelake.sources.lake import read_lake
+from ratelake.sources.topic import TopicSpec, publish, read_topic
+from ratelake.streaming.consumer import (
+    parsed_stream,
+    start_count,
+    start_filter_append,
+    start_raw_audit,
+)
+from ratelake.sources.tables import table
+from ratelake.streaming.etl import run_etl_stream
+
+EVENTS_SCHEMA = StructType(
+    [
+        StructField("event_id", LongType(), True),
+        StructField("ts", TimestampNTZType(), True),
+        StructField("user_id", LongType(), True),
+        StructField("event_type", StringType(), True),
+        StructField("value", DoubleType(), True),
+        StructField("props", StringType(), True),
+    ]
+)
+PROPS_SCHEMA = StructType([StructField("k", LongType(), True)])
+
+_PIPELINE_SQL = f"WITH {PIPELINE_CTE} SELECT {_CONTRACT_ROUNDED_SQL} FROM pipeline"
+TOPIC_FILES = 4  # the topic is written as several files -> several micro-batches
+
+
+def _contract_topic(spark: SparkSession, sf_dir: str, name: str) -> TopicSpec:
+    spec = TopicSpec(kind="files", path=shared_path(spark, name))
+    rows = venue_pipeline(venue_rows(spark, sf_dir))
+    publish(encode_json(rows).repartition(TOPIC_FILES), spec)
+    return spec
+
+
+def _await(q, timeout_s: float = 600) -> None:
+    q.awaitTermination(timeout_s)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+# --------------------------------------------------------------------------
+# wire
+# --------------------------------------------------------------------------
+
+
+@register(
+    "json_encode",
+    f"""WITH {PIPELINE_CTE}, j AS (SELECT to_json(pipeline) AS v FROM pipeline)
+    SELECT CAST(json_extract_string(v, '$.restaurant_name') AS VARCHAR) AS restaurant_name,
+      json_extract_string(v, '$.country') AS country,
+      CAST(json_extract(v, '$.total_reviews_count') AS INTEGER) AS total_reviews_count,
+      CAST(json_extract(v, '$.is_gluten_free') AS INTEGER) AS is_gluten_free,
+      CAST(json_extract(v, '$.avg_rating') AS DOUBLE) AS avg_rating
+    FROM j""",
+)
+def q_json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode contract rows as JSON text, then read fields back out of the
+    text with path extraction (compares parsed fields, not JSON layout)."""
+    enc = encode_json(venue_pipeline(venue_rows(spark, sf_dir)))
+    v = F.col("value")
+    return enc.select(
+        F.get_json_object(v, "$.restaurant_name").alias("restaurant_name"),
+        F.get_json_object(v, "$.country").alias("country"),
+        F.get_json_object(v, "$.total_reviews_count").cast("int").alias("total_reviews_count"),
+        F.get_json_object(v, "$.is_gluten_free").cast("int").alias("is_gluten_free"),
+        F.get_json_object(v, "$.avg_rating").cast("double").alias("avg_rating"),
+    )
+
+
+@register(
+    "json_parse",
+    """SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
+)
+def q_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    return ev.select(
+        "event_id", "event_type", F.from_json("props", PROPS_SCHEMA).getField("k").alias("k")
+    )
+
+
+@register("publish_topic", _PIPELINE_SQL)
+def q_publish_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _contract_topic(spark, sf_dir, "topic_publish")
+    return round_contract(parse_json(read_topic(spark, spec)))
+
+
+# --------------------------------------------------------------------------
+# streaming consumer
+# --------------------------------------------------------------------------
+
+
+@register(
+    "stream_parse",
+    "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+)
+def q_stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_path(spark, "stream_parse")
+    spec = TopicSpec(kind="files", path=f"{root}/topic")
+    ev = table(spark, sf_dir, "events")
+    publish(ev.select(to_json_value(ev.columns).alias("value")).repartition(TOPIC_FILES), spec)
+    parsed = parsed_stream(spark, spec, EVENTS_SCHEMA, max_per_trigger=1)
+    _await(start_raw_audit(parsed, f"{root}/out", f"{root}/_ckpt"))
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{root}/out")
+
+
+@register("stream_raw_audit", _PIPELINE_SQL)
+def q_stream_raw_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _contract_topic(spark, sf_dir, "topic_audit")
+    root = shared_path(spark, "stream_audit")
+    parsed = parsed_stream(spark, spec, max_per_trigger=1)
+    _await(start_raw_audit(parsed, f"{root}/out", f"{root}/_ckpt"))
+    return round_contract(spark.read.schema(CONTRACT_SCHEMA).parquet(f"{root}/out"))
+
+
+@register(
+    "stream_filter_append",
+    f"WITH {PIPELINE_CTE} SELECT {_CONTRACT_ROUNDED_SQL} FROM pipeline "
+    "WHERE is_gluten_free = 1 AND avg_rating >= 4.5",
+)
+def q_stream_filter_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _contract_topic(spark, sf_dir, "topic_niche")
+    root = shared_path(spark, "stream_niche")
+    parsed = parsed_stream(spark, spec, max_per_trigger=1)
+    _await(start_filter_append(parsed, f"{root}/out", f"{root}/_ckpt"))
+    return round_contract(spark.read.schema(CONTRACT_SCHEMA).csv(f"{root}/out"))
+
+
+@register(
+    "stream_count_complete",
+    f"WITH {PIPELINE_CTE} SELECT country, CAST(COUNT(*) AS BIGINT) AS count FROM pipeline GROUP BY country",
+)
+def q_stream_count_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _contract_topic(spark, sf_dir, "topic_count")
+    root = shared_path(spark, "stream_count")
+    parsed = parsed_stream(spark, spec, max_per_trigger=1)
+    _await(start_count(parsed, f"{root}/_ckpt", snapshot_path=f"{root}/snapshot"))
+    return spark.read.parquet(f"{root}/snapshot")
+
+
+# --------------------------------------------------------------------------
+# ETL stream (foreachBatch): landing folder -> DLQ + lake + topic
+# --------------------------------------------------------------------------
+
+
+def _run_etl(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, TopicSpec]:
+    root = shared_path(spark, name)
+    raw = venue_rows(spark, sf_dir)
+    raw.write.mode("overwrite").parquet(f"{root}/landing")
+    topic = TopicSpec(kind="files", path=f"{root}/topic")
+    run_etl_stream(
+        spark, f"{root}/landing", raw.schema, f"{root}/lake", f"{root}/dlq", topic,
+        f"{root}/_ckpt", timeout_s=900,
+    )
+    return root, topic
+
+
+@register("etl_stream", _PIPELINE_SQL)
+def q_etl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, _ = _run_etl(spark, sf_dir, "etl_lake")
+    return round_contract(read_lake(spark, f"{root}/lake").select(*CONTRACT_COLUMNS))
+
+
+@register("etl_stream_published", _PIPELINE_SQL)
+def q_etl_stream_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, topic = _run_etl(spark, sf_dir, "etl_topic")
+    return round_contract(parse_json(read_topic(spark, topic)))
+
