@@ -1 +1,130 @@
-"""Registered queries (see registry)."""
+"""Registered ML queries: split, training rows, metrics, models."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ratelake.contract import FEATURE_COLUMNS
+from ratelake.operators.model import (
+    VENUE_KEY,
+    canonical_layout,
+    fit_forest,
+    fit_linear,
+    forest_importances,
+    hash_split,
+    linear_coefficients,
+    regression_metrics,
+    score,
+    train_and_compare,
+    training_rows,
+    with_split,
+)
+from ratelake.plans.registry import PIPELINE_CTE, register, rnd, sql_rnd
+from ratelake.plans.venue import venue_pipeline, venue_rows
+from ratelake.sources.tables import table
+
+
+def _sql_split(key_sql: str, seed: int = 42, cut: int = 80) -> str:
+    return (
+        f"CASE WHEN ('0x' || substr(md5('{seed}:' || {key_sql}), 1, 8))::BIGINT % 100 < {cut} "
+        "THEN 'train' ELSE 'test' END"
+    )
+
+
+@register(
+    "ml_split",
+    f"SELECT o_orderkey, o_custkey, {_sql_split('CAST(o_orderkey AS VARCHAR)')} AS split FROM orders",
+)
+def q_ml_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return with_split(o, ["o_orderkey"])
+
+
+_VENUE_KEY_SQL = (
+    "concat_ws(':', restaurant_name, country, city, CAST(latitude AS VARCHAR), CAST(longitude AS VARCHAR))"
+)
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return venue_pipeline(venue_rows(spark, sf_dir))
+
+
+@register(
+    "ml_training_rows",
+    f"""WITH {PIPELINE_CTE}
+    SELECT restaurant_name, country, city, latitude, longitude, total_reviews_count,
+      price_level_num, is_claimed, is_veg_friendly, is_gluten_free,
+      {sql_rnd("city_avg_rating")} AS city_avg_rating, avg_rating AS label,
+      {_sql_split(_VENUE_KEY_SQL)} AS split
+    FROM pipeline WHERE avg_rating > 0""",
+)
+def q_ml_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_split(training_rows(_lake(spark, sf_dir)), VENUE_KEY)
+    return rows.withColumn("city_avg_rating", rnd("city_avg_rating"))
+
+
+@register(
+    "regression_metrics",
+    f"""WITH p AS (SELECT l_extendedprice AS y, l_quantity * 1500.0 AS yhat FROM lineitem)
+    SELECT CAST(COUNT(*) AS BIGINT) AS n,
+      {sql_rnd("SQRT(SUM((y - yhat) * (y - yhat)) / COUNT(*))")} AS rmse,
+      {sql_rnd("SUM((y - yhat) * (y - yhat)) / COUNT(*)")} AS mse,
+      {sql_rnd("SUM(ABS(y - yhat)) / COUNT(*)")} AS mae,
+      {sql_rnd("1 - SUM((y - yhat) * (y - yhat)) / (VAR_POP(y) * COUNT(*))")} AS r2
+    FROM p""",
+)
+def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    pred = li.select(
+        F.col("l_extendedprice").alias("label"), (F.col("l_quantity") * 1500.0).alias("prediction")
+    )
+    m = regression_metrics(pred)
+    return m.withColumns({c: rnd(c) for c in ("rmse", "mse", "mae", "r2")})
+
+
+@register(
+    "ml_linear_one_feature",
+    f"""SELECT 'l_quantity' AS feature, {sql_rnd("regr_slope(l_extendedprice, l_quantity)", 4)} AS coefficient
+    FROM lineitem
+    UNION ALL
+    SELECT '(intercept)' AS feature,
+      {sql_rnd("regr_intercept(l_extendedprice, l_quantity)", 4)} AS coefficient FROM lineitem""",
+)
+def q_ml_linear_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_quantity", F.col("l_extendedprice").alias("label")
+    )
+    model = fit_linear(li, ["l_quantity"])
+    coef = linear_coefficients(spark, model, ["l_quantity"])
+    return coef.withColumn("coefficient", rnd("coefficient", 4))
+
+
+def _venue_train_test(spark: SparkSession, sf_dir: str):
+    rows = canonical_layout(training_rows(_lake(spark, sf_dir)), VENUE_KEY)
+    return hash_split(rows, VENUE_KEY)
+
+
+@register("ml_linear_coefficients")
+def q_ml_linear_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _venue_train_test(spark, sf_dir)
+    return linear_coefficients(spark, fit_linear(train), FEATURE_COLUMNS)
+
+
+@register("ml_forest_importances")
+def q_ml_forest_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _venue_train_test(spark, sf_dir)
+    return forest_importances(spark, fit_forest(train), FEATURE_COLUMNS)
+
+
+@register("ml_score")
+def q_ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _venue_train_test(spark, sf_dir)
+    lr = score(fit_linear(train), test, keep=VENUE_KEY).withColumn("model", F.lit("linear_regression"))
+    rf = score(fit_forest(train), test, keep=VENUE_KEY).withColumn("model", F.lit("random_forest"))
+    return lr.unionByName(rf)
+
+
+@register("ml_compare")
+def q_ml_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return train_and_compare(spark, _lake(spark, sf_dir))["comparison"]
