@@ -68,9 +68,9 @@ def q_ml_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     "regression_metrics",
     f"""WITH p AS (SELECT l_extendedprice AS y, l_quantity * 1500.0 AS yhat FROM lineitem)
     SELECT CAST(COUNT(*) AS BIGINT) AS n,
-      {sql_rnd("SQRT(SUM((y - yhat) * (y - yhat)) / COUNT(*))")} AS rmse,
-      {sql_rnd("SUM((y - yhat) * (y - yhat)) / COUNT(*)")} AS mse,
-      {sql_rnd("SUM(ABS(y - yhat)) / COUNT(*)")} AS mae,
+      {sql_rnd("SQRT(SUM((y - yhat) * (y - yhat)) / COUNT(*))", 4)} AS rmse,
+      {sql_rnd("SUM((y - yhat) * (y - yhat)) / COUNT(*)", 0)} AS mse,
+      {sql_rnd("SUM(ABS(y - yhat)) / COUNT(*)", 4)} AS mae,
       {sql_rnd("1 - SUM((y - yhat) * (y - yhat)) / (VAR_POP(y) * COUNT(*))")} AS r2
     FROM p""",
 )
@@ -80,7 +80,8 @@ def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("label"), (F.col("l_quantity") * 1500.0).alias("prediction")
     )
     m = regression_metrics(pred)
-    return m.withColumns({c: rnd(c) for c in ("rmse", "mse", "mae", "r2")})
+    # decimals kept per magnitude: summation noise stays far below the last digit
+    return m.withColumns({"rmse": rnd("rmse", 4), "mse": rnd("mse", 0), "mae": rnd("mae", 4), "r2": rnd("r2")})
 
 
 @register(
