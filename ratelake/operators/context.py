@@ -43,9 +43,15 @@ def group_context(
     diff_col: str = "rating_diff_city",
     strategy: str = "aggregate",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``mean_col`` (group mean of ``value``) and ``diff_col``."""
+    """Add ``mean_col`` (group mean of ``value``) and ``diff_col``.
+
+    ``stats`` (``keys..., _sum, _n``) replaces the statistics of ``df`` itself,
+    e.g. cumulative statistics over everything ingested so far."""
     keys = list(keys)
+    if stats is not None:
+        strategy = "aggregate"
     if strategy == "window":
         w = Window.partitionBy(*[F.col(k) for k in keys])
         out = df.withColumn(mean_col, F.avg(F.col(value)).over(w))
@@ -53,7 +59,52 @@ def group_context(
     if strategy != "aggregate":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    stats = group_stats(df, value, keys).select(
+    src = stats if stats is not None else group_stats(df, value, keys)
+    means = src.select(*keys, F.try_divide(F.col("_sum"), F.col("_n")).alias(mean_col))
+    out = join_on_keys(df, means, keys, how="left", max_broadcast_rows=max_broadcast_rows)
+    return out.withColumn(diff_col, F.col(value) - F.col(mean_col))
+
+
+def merge_stats(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Combine two ``keys..., _sum, _n`` tables (null keys stay one group)."""
+    return a.unionByName(b).groupBy(*keys).agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
+
+
+def leave_one_out_context(
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str],
+    mean_col: str,
+    diff_col: str,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Leak-free variant: each row against the mean of the *other* rows of its
+    group, ``(sum - x) / (n - 1)`` (null for a group of one or a null value),
+    so a row's own label never enters its feature."""
+    keys = list(keys)
+    stats = group_stats(df, value, keys)
+    j = join_on_keys(df, stats, keys, how="left", max_broadcast_rows=max_broadcast_rows)
+    x = F.col(value)
+    loo = F.when(x.isNull(), F.lit(None)).otherwise(
+        F.try_divide(F.col("_sum") - x, (F.col("_n") - 1).cast("double"))
+    )
+    out = j.withColumn(mean_col, F.when(F.col("_n") > 1, loo)).drop("_sum", "_n")
+    return out.withColumn(diff_col, x - F.col(mean_col))
+
+
+def train_only_context(
+    df: DataFrame,
+    train: DataFrame,
+    value: str,
+    keys: Sequence[str],
+    mean_col: str,
+    diff_col: str,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Leak-free variant for a split: group means from the training rows
+    only, joined onto every row (a group absent from training gets null)."""
+    keys = list(keys)
+    stats = group_stats(train, value, keys).select(
         *keys, F.try_divide(F.col("_sum"), F.col("_n")).alias(mean_col)
     )
     out = join_on_keys(df, stats, keys, how="left", max_broadcast_rows=max_broadcast_rows)

@@ -19,12 +19,21 @@ from pyspark.sql.types import (
 
 from ratelake.contract import CONTRACT_COLUMNS, CONTRACT_SCHEMA
 from ratelake.functions.wire import encode_json, parse_json, to_json_value
-from ratelake.plans.registry import PIPELINE_CTE, _CONTRACT_ROUNDED_SQL, register, round_contract
+from ratelake.plans.registry import (
+    PIPELINE_CTE,
+    _CONTRACT_ROUNDED_SQL,
+    register,
+    rnd,
+    round_contract,
+    sql_rnd,
+)
 from ratelake.plans.venue import venue_pipeline, venue_rows
 from ratelake.session import shared_path
 from ratelake.sources.lake import read_lake
 from ratelake.sources.topic import TopicSpec, publish, read_topic
+from ratelake.operators.model import VENUE_KEY, fit_linear, hash_split, training_rows
 from ratelake.streaming.consumer import (
+    dedup,
     parsed_stream,
     start_count,
     start_filter_append,
@@ -32,6 +41,7 @@ from ratelake.streaming.consumer import (
 )
 from ratelake.sources.tables import table
 from ratelake.streaming.etl import run_etl_stream
+from ratelake.streaming.inference import score_stream, start_scoring
 
 EVENTS_SCHEMA = StructType(
     [
@@ -189,3 +199,54 @@ def q_etl_stream_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, topic = _run_etl(spark, sf_dir, "etl_topic")
     return round_contract(parse_json(read_topic(spark, topic)))
 
+
+
+# --------------------------------------------------------------------------
+# extensions: dedup on consume, streaming inference
+# --------------------------------------------------------------------------
+
+
+@register("stream_dedup", _PIPELINE_SQL)
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic carries every row twice (a republished batch); the
+    deduplicating consumer must emit each venue once."""
+    spec = TopicSpec(kind="files", path=shared_path(spark, "topic_dup"))
+    rows = venue_pipeline(venue_rows(spark, sf_dir))
+    publish(encode_json(rows).repartition(TOPIC_FILES), spec)
+    publish(encode_json(rows).repartition(TOPIC_FILES), spec)
+    root = shared_path(spark, "stream_dedup")
+    parsed = dedup(parsed_stream(spark, spec, max_per_trigger=2), VENUE_KEY)
+    _await(start_raw_audit(parsed, f"{root}/out", f"{root}/_ckpt"))
+    return round_contract(spark.read.schema(CONTRACT_SCHEMA).parquet(f"{root}/out"))
+
+
+_TRAIN_SQL = (
+    "('0x' || substr(md5('42:' || concat_ws(':', restaurant_name, country, city, "
+    "CAST(latitude AS VARCHAR), CAST(longitude AS VARCHAR))), 1, 8))::BIGINT % 100 < 80"
+)
+
+
+@register(
+    "stream_inference",
+    f"""WITH {PIPELINE_CTE},
+    fit AS (SELECT regr_slope(avg_rating, city_avg_rating) AS b,
+                   regr_intercept(avg_rating, city_avg_rating) AS a
+            FROM pipeline WHERE avg_rating > 0 AND {_TRAIN_SQL})
+    SELECT restaurant_name, country, city,
+      {sql_rnd("a + b * city_avg_rating")} AS prediction
+    FROM pipeline, fit""",
+)
+def q_stream_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit on the batch side, save, load in the stream and score every
+    arriving venue (one feature here so SQL can check the predictions)."""
+    root = shared_path(spark, "stream_inference")
+    lake = venue_pipeline(venue_rows(spark, sf_dir))
+    train, _ = hash_split(training_rows(lake), VENUE_KEY)
+    fit_linear(train, ["city_avg_rating"]).write().overwrite().save(f"{root}/model")
+    spec = _contract_topic(spark, sf_dir, "topic_inference")
+    scored = score_stream(
+        parsed_stream(spark, spec, max_per_trigger=1), f"{root}/model", ["city_avg_rating"],
+        keep=["restaurant_name", "country", "city"],
+    )
+    _await(start_scoring(scored, f"{root}/out", f"{root}/_ckpt"))
+    return spark.read.parquet(f"{root}/out").withColumn("prediction", rnd("prediction"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ratelake.contract import CRITICAL_COLUMNS, NUMERIC_COLUMNS
 from ratelake.functions.encode import FLAG_RULES, binary_flags, impute_zero, ordinal_encode
-from ratelake.operators.context import group_context
+from ratelake.operators.context import group_context, leave_one_out_context
 from ratelake.operators.quality import batch_audit, split
 from ratelake.plans.venue import VENUE_SQL, venue_pipeline, venue_rows
 from ratelake.sources.tables import table
@@ -249,6 +249,23 @@ def q_group_context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_context(spark, sf_dir, "window")
 
 
+@register(
+    "group_context_loo",
+    f"""SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity,
+      {sql_rnd("(SUM(l_quantity) OVER w - l_quantity) / NULLIF(COUNT(l_quantity) OVER w - 1, 0)")}
+        AS supp_loo_quantity,
+      {sql_rnd("l_quantity - (SUM(l_quantity) OVER w - l_quantity) / NULLIF(COUNT(l_quantity) OVER w - 1, 0)")}
+        AS quantity_diff_loo
+    FROM lineitem WINDOW w AS (PARTITION BY l_suppkey)""",
+)
+def q_group_context_loo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    out = leave_one_out_context(li, "l_quantity", ["l_suppkey"], "supp_loo_quantity", "quantity_diff_loo")
+    return out.withColumns(
+        {"supp_loo_quantity": rnd("supp_loo_quantity"), "quantity_diff_loo": rnd("quantity_diff_loo")}
+    )
+
+
 @register(
     "count_by_group",
     f"WITH {PIPELINE_CTE} SELECT country, CAST(COUNT(*) AS BIGINT) AS count FROM pipeline GROUP BY country",

@@ -8,7 +8,7 @@ encoding, per-city context and the contract projection.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,12 +83,16 @@ def transform_good(
     context_keys: Sequence[str] = ("city",),
     context_strategy: str = "aggregate",
     keep: Sequence[str] = (),
+    context_stats: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Encoding, then the group mean (computed after imputation, so an
     imputed 0 rating counts), then the contract projection. ``keep`` names
-    extra columns (e.g. a row key) carried in front of the contract."""
+    extra columns (e.g. a row key) carried in front of the contract.
+    ``context_stats`` maps the encoded rows to the group statistics to use
+    (default: the rows' own)."""
     enc = encode_features(good, numeric_columns)
-    ctx = group_context(enc, "avg_rating", context_keys, strategy=context_strategy)
+    stats = context_stats(enc) if context_stats is not None else None
+    ctx = group_context(enc, "avg_rating", context_keys, strategy=context_strategy, stats=stats)
     return to_contract(ctx, keep=keep)
 
 

@@ -163,3 +163,16 @@ def run_consumer(
         if q.exception() is not None:
             raise RuntimeError(f"streaming query failed: {q.exception()}")
     return qs
+
+
+def dedup(parsed: DataFrame, keys: list[str], event_time: str | None = None,
+          delay: str | None = None) -> DataFrame:
+    """Drop redelivered messages (the topic is at-least-once).
+
+    Without an event time the state holds every key seen (grows with the
+    distinct keys; use the RocksDB state store for large key sets). With
+    ``event_time`` and ``delay`` the state is bounded by the watermark
+    (``dropDuplicatesWithinWatermark``)."""
+    if event_time and delay:
+        return parsed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    return parsed.dropDuplicates(keys)

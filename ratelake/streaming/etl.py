@@ -6,7 +6,8 @@ replays exactly the same files). Per micro-batch ``N``:
 
 1. persist the batch (it feeds the DLQ and the lake),
 2. split on critical nulls; bad rows (with the reason) -> ``dlq/batch_id=N``,
-3. encode, per-group context over the batch, contract projection,
+3. encode, per-group context (over the batch, or cumulative over the lake
+   with ``context_scope="lake"``), contract projection,
 4. lake write: static overwrite of ``lake/batch_id=N`` (retry-safe),
 5. read this batch back from the lake (``country`` rebuilt from the path,
    partition-pruned to batch N) and publish it as JSON to the topic,
@@ -29,9 +30,11 @@ from pyspark.sql.types import StructType
 
 from ratelake.contract import CONTRACT_COLUMNS, CRITICAL_COLUMNS, NUMERIC_COLUMNS, require_columns
 from ratelake.functions.wire import encode_json
+from ratelake.operators.context import group_stats, merge_stats
 from ratelake.operators.quality import split
 from ratelake.plans.venue import transform_good
-from ratelake.sources.lake import read_lake, write_batch, write_dlq
+from ratelake.session import path_exists
+from ratelake.sources.lake import batch_path, read_lake, write_batch, write_dlq
 from ratelake.sources.topic import TopicSpec, publish
 
 
@@ -44,17 +47,40 @@ def make_batch_processor(
     numeric: Sequence[str] = NUMERIC_COLUMNS,
     context_keys: Sequence[str] = ("city",),
     context_strategy: str = "aggregate",
+    context_scope: str = "batch",
     after_lake_write: Callable[[int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body. ``after_lake_write`` is a hook called
-    between the lake write and the publish (tests inject failures there)."""
+    between the lake write and the publish (tests inject failures there).
+
+    ``context_scope="batch"``: group means over the micro-batch (the
+    reference's behaviour with a per-run cap). ``"lake"``: means over every
+    row ingested so far, from a cumulative ``(keys, sum, n)`` table kept under
+    ``<lake>/_group_stats/batch_id=N`` (a retry of N rebuilds it from N-1).
+    Rows written by earlier batches keep the mean of their time."""
+    keys = list(context_keys)
+    stats_root = f"{lake.rstrip('/')}/_group_stats"
+
+    def cumulative_stats(batch_id: int):
+        def build(enc: DataFrame) -> DataFrame:
+            cur = group_stats(enc, "avg_rating", keys)
+            prev_path = batch_path(stats_root, batch_id - 1)
+            if batch_id > 0 and path_exists(spark, prev_path):
+                cur = merge_stats(cur, spark.read.parquet(prev_path), keys)
+            cur.write.mode("overwrite").parquet(batch_path(stats_root, batch_id))
+            return spark.read.parquet(batch_path(stats_root, batch_id))
+
+        return build
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = split(batch, critical, with_reason=True)
             write_dlq(bad, dlq, batch_id)
-            rows = transform_good(good, numeric, context_keys, context_strategy)
+            stats_fn = cumulative_stats(batch_id) if context_scope == "lake" else None
+            rows = transform_good(
+                good, numeric, keys, context_strategy, context_stats=stats_fn
+            )
             write_batch(rows, lake, batch_id)
             if after_lake_write is not None:
                 after_lake_write(batch_id)

@@ -97,3 +97,18 @@ def test_schema_contract_everywhere(spark, tmp_shared):
     wire = parse_json(encode_json(rows))
     assert [(f.name, f.dataType) for f in wire.schema] == [(f.name, f.dataType) for f in CONTRACT_SCHEMA]
     assert [f.name for f in lake_schema()][-2:] == ["batch_id", "country"]
+
+
+def test_etl_lake_scope_city_mean_is_cumulative(spark, tmp_shared):
+    raw = _landing(spark, tmp_shared, 3)
+    topic = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    run_etl_stream(spark, f"{tmp_shared}/landing", raw.schema, f"{tmp_shared}/lake", f"{tmp_shared}/dlq",
+                   topic, f"{tmp_shared}/ckpt", max_files_per_trigger=1, timeout_s=300,
+                   context_scope="lake")
+    lake = read_lake(spark, f"{tmp_shared}/lake")
+    last = lake.agg(F.max("batch_id")).first()[0]
+    assert last == 2
+    # rows of the last batch carry the mean over all batches so far
+    overall = {r.city: r.m for r in lake.groupBy("city").agg(F.avg("avg_rating").alias("m")).collect()}
+    for r in lake.filter(F.col("batch_id") == last).select("city", "city_avg_rating").distinct().collect():
+        assert abs(r.city_avg_rating - overall[r.city]) < 1e-9
