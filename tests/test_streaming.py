@@ -68,6 +68,13 @@ def test_etl_recovers_without_duplicates(spark, tmp_shared):
     pub = parse_json(read_topic(spark, topic))
     assert pub.select("restaurant_name").distinct().count() == 147
 
+    # no new files: the next run processes no batch and changes nothing
+    n_pub = pub.count()
+    q = run_etl_stream(spark, *args, max_files_per_trigger=1, timeout_s=300)
+    assert q.lastProgress is None or q.lastProgress["numInputRows"] == 0
+    assert read_lake(spark, f"{tmp_shared}/lake").count() == 147
+    assert parse_json(read_topic(spark, topic)).count() == n_pub
+
 
 def test_etl_batch_scope_city_mean(spark, tmp_shared):
     raw = _landing(spark, tmp_shared, 2)
