@@ -13,8 +13,9 @@ Plan:
    sampled range bounds spread even a hot group over many tasks.
 2. ``mapInPandas`` computes the running sum inside each sorted partition
    (vectorised numpy/pandas per Arrow batch, state carried across batches).
-3. The result is checkpointed to the shared folder, so the summary pass and
-   the final pass read the very same rows (lineage cut, retry-safe).
+3. The result is written once as Parquet to the shared folder, so the
+   summary pass and the final pass read the very same rows (lineage cut,
+   retry-safe, compressed and columnar).
 4. One summary row per partition (first / last group, running sum at the last
    row) - a table bounded by the partition count, not by the data - gives
    each partition the carry of a group that began in an earlier partition.
@@ -35,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from ratelake.session import materialize
+
 PID = "_pid"
 CUM = "_cum"
 
@@ -90,6 +93,18 @@ def prefix_sums(
 ) -> DataFrame:
     """``df`` plus ``_cum`` (inclusive running sum of ``weight``, 1 when None,
     over ``order`` within ``groups``)."""
+    return prefix_sums_total(df, order, weight, groups, num_partitions)[0]
+
+
+def prefix_sums_total(
+    df: DataFrame,
+    order: Sequence[str],
+    weight: str | None = None,
+    groups: Sequence[str] = (),
+    num_partitions: int | None = None,
+) -> tuple[DataFrame, int | None]:
+    """``prefix_sums`` plus the grand total of ``weight`` when ungrouped
+    (known from the partition summary, so it costs no extra job)."""
     groups, order = list(groups), list(order)
     n = num_partitions or _default_parts(df)
     keys = [*groups, *order]
@@ -99,7 +114,7 @@ def prefix_sums(
         .withColumn(PID, F.spark_partition_id())
     )
     out_schema = StructType([*ranged.schema.fields, StructField(CUM, LongType(), False)])
-    local = ranged.mapInPandas(_running_sum_fn(groups, weight), out_schema).checkpoint(eager=True)
+    local = materialize(ranged.mapInPandas(_running_sum_fn(groups, weight), out_schema), "prefix_sums")
 
     # per-partition summary: bounded by the partition count
     if groups:
@@ -127,8 +142,9 @@ def prefix_sums(
             if carry:
                 offsets.append((r[PID], carry))
             carry += r["last_cum"]
+    total = None if groups else carry
     if not offsets:
-        return local.drop(PID)
+        return local.drop(PID), total
 
     fg = [f"_fg{i}" for i in range(len(groups))]
     off_schema = StructType(
@@ -145,7 +161,7 @@ def prefix_sums(
         hit = hit & F.col(g).eqNullSafe(F.col(f))
     add = F.when(hit, F.col("_off")).otherwise(F.lit(0))
     cols = [c for c in local.columns if c not in (PID, CUM)]
-    return joined.select(*cols, (F.col(CUM) + add).alias(CUM))
+    return joined.select(*cols, (F.col(CUM) + add).alias(CUM)), total
 
 
 def global_position(df: DataFrame, order: Sequence[str], out: str = "_pos",

@@ -18,19 +18,27 @@ BAD_FLAG = "_is_bad"
 REASON = "dlq_reason"
 
 
-def bad_condition(critical: Sequence[str]) -> Column:
-    """OR of ``isNull`` over the critical columns (false when none given)."""
-    if not critical:
+MALFORMED = "malformed"
+
+
+def bad_condition(critical: Sequence[str], corrupt_column: str | None = None) -> Column:
+    """OR of ``isNull`` over the critical columns (false when none given);
+    with ``corrupt_column`` a row the reader could not parse is bad too."""
+    conds = [F.col(c).isNull() for c in critical]
+    if corrupt_column:
+        conds.append(F.col(corrupt_column).isNotNull())
+    if not conds:
         return F.lit(False)
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in critical])
+    return reduce(lambda a, b: a | b, conds)
 
 
-def null_reasons(critical: Sequence[str]) -> Column:
-    """Array of the critical column names that are null in this row."""
-    return F.filter(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in critical]),
-        lambda x: x.isNotNull(),
-    )
+def null_reasons(critical: Sequence[str], corrupt_column: str | None = None) -> Column:
+    """Array of the critical column names that are null in this row (plus
+    ``malformed`` when the reader kept the raw line)."""
+    items = [F.when(F.col(c).isNull(), F.lit(c)) for c in critical]
+    if corrupt_column:
+        items.append(F.when(F.col(corrupt_column).isNotNull(), F.lit(MALFORMED)))
+    return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
 def flag_bad(df: DataFrame, critical: Sequence[str]) -> DataFrame:
@@ -39,15 +47,21 @@ def flag_bad(df: DataFrame, critical: Sequence[str]) -> DataFrame:
 
 
 def split(
-    df: DataFrame, critical: Sequence[str], with_reason: bool = False
+    df: DataFrame,
+    critical: Sequence[str],
+    with_reason: bool = False,
+    corrupt_column: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(good, bad)``. ``with_reason`` adds ``dlq_reason`` (array of
-    the null critical columns) to the bad side."""
-    cond = bad_condition(critical)
+    the null critical columns) to the bad side. ``corrupt_column`` (the CSV
+    reader's raw-line column) also sends unparsable rows to the bad side,
+    with reason ``malformed``; by default such a row only loses the bad
+    cells (they read as null) and is judged on its critical columns."""
+    cond = bad_condition(critical, corrupt_column)
     good = df.filter(~cond)
     bad = df.filter(cond)
     if with_reason:
-        bad = bad.withColumn(REASON, null_reasons(critical))
+        bad = bad.withColumn(REASON, null_reasons(critical, corrupt_column))
     return good, bad
 
 

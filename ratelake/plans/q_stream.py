@@ -176,14 +176,23 @@ def q_stream_count_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def _run_etl(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, TopicSpec]:
+def _run_etl(spark: SparkSession, sf_dir: str, name: str, fmt: str = "parquet") -> tuple[str, TopicSpec]:
     root = shared_path(spark, name)
     raw = venue_rows(spark, sf_dir)
-    raw.write.mode("overwrite").parquet(f"{root}/landing")
+    if fmt == "csv":
+        # the raw export as CSV text files; the ETL reads them back with the
+        # declared schema (an empty cell is null, as in the source)
+        (
+            raw.write.mode("overwrite").option("header", "true")
+            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+            .csv(f"{root}/landing")
+        )
+    else:
+        raw.write.mode("overwrite").parquet(f"{root}/landing")
     topic = TopicSpec(kind="files", path=f"{root}/topic")
     run_etl_stream(
         spark, f"{root}/landing", raw.schema, f"{root}/lake", f"{root}/dlq", topic,
-        f"{root}/_ckpt", timeout_s=900,
+        f"{root}/_ckpt", source_format=fmt, timeout_s=900,
     )
     return root, topic
 
@@ -194,6 +203,12 @@ def q_etl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_contract(read_lake(spark, f"{root}/lake").select(*CONTRACT_COLUMNS))
 
 
+@register("etl_stream_csv", _PIPELINE_SQL)
+def q_etl_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, _ = _run_etl(spark, sf_dir, "etl_csv", fmt="csv")
+    return round_contract(read_lake(spark, f"{root}/lake").select(*CONTRACT_COLUMNS))
+
+
 @register("etl_stream_published", _PIPELINE_SQL)
 def q_etl_stream_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, topic = _run_etl(spark, sf_dir, "etl_topic")

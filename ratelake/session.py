@@ -39,6 +39,8 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # lineage cuts of small tables go through RDD checkpoints: compress them
+        "spark.checkpoint.compress": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -91,3 +93,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared folder and return a
+    DataFrame reading it back: a lineage cut for large intermediates
+    (columnar and compressed, unlike an RDD checkpoint), and every later pass
+    sees exactly the same rows even if executors are lost."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

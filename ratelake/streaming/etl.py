@@ -26,7 +26,7 @@ from collections.abc import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ratelake.contract import CONTRACT_COLUMNS, CRITICAL_COLUMNS, NUMERIC_COLUMNS, require_columns
 from ratelake.functions.wire import encode_json
@@ -34,6 +34,7 @@ from ratelake.operators.context import group_stats, merge_stats
 from ratelake.operators.quality import split
 from ratelake.plans.venue import transform_good
 from ratelake.session import path_exists
+from ratelake.sources.ingest import CORRUPT_COLUMN
 from ratelake.sources.lake import batch_path, read_lake, write_batch, write_dlq
 from ratelake.sources.topic import TopicSpec, publish
 
@@ -48,6 +49,7 @@ def make_batch_processor(
     context_keys: Sequence[str] = ("city",),
     context_strategy: str = "aggregate",
     context_scope: str = "batch",
+    corrupt_column: str | None = None,
     after_lake_write: Callable[[int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body. ``after_lake_write`` is a hook called
@@ -75,7 +77,7 @@ def make_batch_processor(
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good, bad = split(batch, critical, with_reason=True)
+            good, bad = split(batch, critical, with_reason=True, corrupt_column=corrupt_column)
             write_dlq(bad, dlq, batch_id)
             stats_fn = cumulative_stats(batch_id) if context_scope == "lake" else None
             rows = transform_good(
@@ -105,15 +107,25 @@ def run_etl_stream(
     max_files_per_trigger: int | None = None,
     trigger: str = "availableNow",
     timeout_s: float | None = None,
+    malformed_to_dlq: bool = False,
     **processor_options,
 ) -> StreamingQuery:
-    """Start (and for ``availableNow`` wait for) the ETL query."""
-    r = spark.readStream.schema(source_schema).format(source_format)
+    """Start (and for ``availableNow`` wait for) the ETL query.
+
+    ``source_format="csv"`` reads the landing files with the declared schema
+    in PERMISSIVE mode (a bad cell reads as null, the run goes on); with
+    ``malformed_to_dlq`` the raw line is kept and such rows go to the DLQ."""
+    schema = source_schema
+    r = spark.readStream.format(source_format)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if source_format == "csv":
         r = r.option("header", "true").option("mode", "PERMISSIVE")
-    stream = r.load(source_path)
+        if malformed_to_dlq:
+            schema = StructType([*source_schema.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
+            r = r.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+            processor_options.setdefault("corrupt_column", CORRUPT_COLUMN)
+    stream = r.schema(schema).load(source_path)
     body = make_batch_processor(spark, lake, dlq, topic, **processor_options)
     w = stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=trigger)

@@ -119,3 +119,41 @@ def test_etl_lake_scope_city_mean_is_cumulative(spark, tmp_shared):
     overall = {r.city: r.m for r in lake.groupBy("city").agg(F.avg("avg_rating").alias("m")).collect()}
     for r in lake.filter(F.col("batch_id") == last).select("city", "city_avg_rating").distinct().collect():
         assert abs(r.city_avg_rating - overall[r.city]) < 1e-9
+
+
+def _csv_landing(spark, path):
+    lines = [
+        "venue_id,restaurant_name,country,city,latitude,longitude,avg_rating,total_reviews_count,price_level,claimed,vegetarian_friendly,gluten_free",
+        "1,a,ES,Madrid,40.4,-3.7,4.5,12, $ ,Claimed,Y,Y",
+        "2,b,ES,Madrid,40.4,-3.7,3.5,abc,$$$$,Unclaimed,N,N",
+        "3,c,,Madrid,40.4,-3.7,4.0,7,$,Claimed,Y,N",
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+RAW_SCHEMA = (
+    "venue_id long, restaurant_name string, country string, city string, latitude double, "
+    "longitude double, avg_rating double, total_reviews_count int, price_level string, "
+    "claimed string, vegetarian_friendly string, gluten_free string"
+)
+
+
+@pytest.mark.parametrize("malformed_to_dlq", [False, True])
+def test_etl_csv_malformed_cells(spark, tmp_shared, malformed_to_dlq):
+    from pyspark.sql.types import _parse_datatype_string
+
+    _csv_landing(spark, f"{tmp_shared}/landing")
+    topic = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    run_etl_stream(spark, f"{tmp_shared}/landing", _parse_datatype_string(RAW_SCHEMA), f"{tmp_shared}/lake",
+                   f"{tmp_shared}/dlq", topic, f"{tmp_shared}/ckpt", source_format="csv",
+                   timeout_s=300, malformed_to_dlq=malformed_to_dlq)
+    lake = {r.restaurant_name: r for r in read_lake(spark, f"{tmp_shared}/lake").collect()}
+    dlq = {r.restaurant_name: r.dlq_reason for r in read_dlq(spark, f"{tmp_shared}/dlq").collect()}
+    assert lake["a"].price_level_num == 1  # padded text, stripped
+    # an empty CSV cell reads as null: a missing country is critical
+    assert dlq["c"] == ["country"]
+    if malformed_to_dlq:
+        assert "b" not in lake and dlq["b"] == ["malformed"]
+    else:
+        # the bad cell reads as null, is imputed to 0, and the row stays good
+        assert lake["b"].total_reviews_count == 0
