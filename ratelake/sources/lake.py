@@ -8,9 +8,14 @@ so a plain ``spark.read.parquet(lake)`` rebuilds both columns).
   earlier attempt left under N in *any* country, so a retry that covers fewer
   countries leaves no orphan files. (Dynamic partition overwrite on
   ``partitionBy("batch_id","country")`` would keep the orphans.)
-* The rows are clustered by ``(country, salt)`` before the write: one file
-  set per country and salt bucket instead of one per input task and country,
-  and a hot country is spread over ``files_per_partition`` tasks.
+* Before a write the rows are rebalanced on the partition column (Spark's
+  ``REBALANCE`` hint): rows of one country meet in few tasks, so each task
+  writes few files instead of one per input task and country; AQE then
+  splits a hot country into advisory-size tasks
+  (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and coalesces small
+  ones, so files stay near the advisory size at any scale and one country
+  holding a third of the rows is written by many tasks. ``max_records_per_file``
+  bounds file size as well.
 * Spark writes an empty-string partition value as null; the lake stores it
   as a sentinel and maps it back on read.
 """
@@ -43,13 +48,9 @@ def batch_path(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/{BATCH_COLUMN}={int(batch_id)}"
 
 
-def cluster_for_write(df: DataFrame, by: str | None, files_per_partition: int = 4) -> DataFrame:
-    """Hash-cluster rows on ``(by, salt)``; the salt is a content hash, so the
-    layout is reproducible across retries."""
-    if by is None:
-        return df
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    return df.repartition(F.col(by), salt)
+def rebalance_for_write(df: DataFrame, *by: str) -> DataFrame:
+    """Rebalance rows on ``by`` (or evenly, with no columns) before a write."""
+    return df.hint("rebalance", *by)
 
 
 def write_batch(
@@ -57,8 +58,8 @@ def write_batch(
     root: str,
     batch_id: int,
     by: str | None = PARTITION_COLUMN,
-    files_per_partition: int = 4,
     cluster: bool = True,
+    max_records_per_file: int = 0,
 ) -> str:
     """Write one batch under ``<root>/batch_id=<N>``, replacing any earlier
     attempt of the same batch. Returns the batch path."""
@@ -68,8 +69,10 @@ def write_batch(
         require_columns(df, [by])
         out = df.withColumn(by, _encode_partition(by))
     if cluster:
-        out = cluster_for_write(out, by, files_per_partition)
+        out = rebalance_for_write(out, *([by] if by else []))
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(int(max_records_per_file)))
     if by is not None:
         w = w.partitionBy(by)
     w.parquet(path)
@@ -80,7 +83,6 @@ def write_batches(
     df: DataFrame,
     root: str,
     by: str | None = PARTITION_COLUMN,
-    files_per_partition: int = 4,
 ) -> None:
     """Bulk backfill: many batches in one job (``batch_id`` column present)
     into ``<root>/batch_id=<N>/<by>=<v>``. Dynamic overwrite replaces only the
@@ -92,11 +94,9 @@ def write_batches(
     if by is not None:
         require_columns(df, [by])
         out = df.withColumn(by, _encode_partition(by))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in out.columns]), F.lit(files_per_partition))
-    keys = [F.col(BATCH_COLUMN)] + ([F.col(by)] if by else [])
     parts = [BATCH_COLUMN] + ([by] if by else [])
     (
-        out.repartition(*keys, salt)
+        rebalance_for_write(out, *parts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
@@ -136,7 +136,7 @@ def write_dlq(bad: DataFrame, root: str, batch_id: int) -> str:
     """Bad rows of one batch to ``<root>/batch_id=<N>`` (overwrite: a retry
     replaces its own rows; an empty retry leaves the batch empty)."""
     path = batch_path(root, batch_id)
-    bad.write.mode("overwrite").parquet(path)
+    rebalance_for_write(bad).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -145,7 +145,7 @@ def write_dlq_batches(bad: DataFrame, root: str) -> None:
     batch's folder is replaced, other batches are untouched."""
     require_columns(bad, [BATCH_COLUMN])
     (
-        bad.repartition(F.col(BATCH_COLUMN))
+        rebalance_for_write(bad, BATCH_COLUMN)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH_COLUMN)
