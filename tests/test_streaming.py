@@ -157,3 +157,33 @@ def test_etl_csv_malformed_cells(spark, tmp_shared, malformed_to_dlq):
     else:
         # the bad cell reads as null, is imputed to 0, and the row stays good
         assert lake["b"].total_reviews_count == 0
+
+
+def test_count_update_mode_and_console_sink(spark, tmp_shared):
+    from ratelake.streaming.consumer import parsed_stream, start_count, start_raw_audit
+
+    rows = venue_pipeline(venue_rows(spark, SF001))
+    spec = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    publish(encode_json(rows).repartition(2), spec)
+    parsed = parsed_stream(spark, spec, max_per_trigger=1)
+    q = start_count(parsed, f"{tmp_shared}/ck_upd", mode="update", fmt="memory", name="upd_counts")
+    q.awaitTermination(300)
+    assert q.exception() is None
+    # update mode emits changed keys per batch; the last value per key is the running total
+    got = spark.table("upd_counts").toPandas().groupby("country")["count"].max().to_dict()
+    want = {r.country: r["count"] for r in rows.groupBy("country").count().collect()}
+    assert got == want
+    q2 = start_raw_audit(parsed, None, f"{tmp_shared}/ck_console", fmt="console")
+    q2.awaitTermination(300)
+    assert q2.exception() is None
+
+
+def test_kafka_options_and_missing_connector(spark):
+    spec = TopicSpec(kind="kafka", bootstrap_servers="broker:9092", topic="venues")
+    opts = spec.kafka_options()
+    assert opts["kafka.acks"] == "all" and opts["kafka.enable.idempotence"] == "true"
+    assert opts["kafka.bootstrap.servers"] == "broker:9092"
+    df = spark.createDataFrame([("{}",)], "value string")
+    with pytest.raises(Exception) as ei:
+        publish(df, spec)
+    assert "kafka" in str(ei.value).lower()
