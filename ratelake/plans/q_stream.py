@@ -34,7 +34,9 @@ from ratelake.sources.topic import TopicSpec, publish, read_topic
 from ratelake.operators.model import VENUE_KEY, fit_linear, hash_split, training_rows
 from ratelake.streaming.consumer import (
     dedup,
+    latest_counts,
     parsed_stream,
+    run_consumer_fused,
     start_count,
     start_filter_append,
     start_raw_audit,
@@ -171,6 +173,19 @@ def q_stream_count_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/snapshot")
 
 
+@register(
+    "stream_consumer_fused",
+    f"WITH {PIPELINE_CTE} SELECT country, CAST(COUNT(*) AS BIGINT) AS count FROM pipeline GROUP BY country",
+)
+def q_stream_consumer_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts from the single-pass consumer (one topic read for the
+    audit, filter and count outputs)."""
+    spec = _contract_topic(spark, sf_dir, "topic_fused")
+    root = shared_path(spark, "stream_fused")
+    run_consumer_fused(spark, spec, root, max_per_trigger=1, timeout_s=600)
+    return latest_counts(spark, root)
+
+
 # --------------------------------------------------------------------------
 # ETL stream (foreachBatch): landing folder -> DLQ + lake + topic
 # --------------------------------------------------------------------------

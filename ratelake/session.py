@@ -104,3 +104,22 @@ def materialize(df, name: str):
     path = shared_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def list_batch_ids(spark: SparkSession, root: str, column: str = "batch_id") -> list[int]:
+    """Batch ids present as ``<root>/<column>=<N>`` folders (one listing call,
+    no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(column + "="):
+            try:
+                out.append(int(name.split("=", 1)[1]))
+            except ValueError:
+                pass
+    return sorted(out)

@@ -187,3 +187,22 @@ def test_kafka_options_and_missing_connector(spark):
     with pytest.raises(Exception) as ei:
         publish(df, spec)
     assert "kafka" in str(ei.value).lower()
+
+
+def test_fused_consumer_equals_three_queries(spark, tmp_shared):
+    from ratelake.streaming.consumer import latest_counts, run_consumer_fused
+
+    rows = venue_pipeline(venue_rows(spark, SF001))
+    spec = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    publish(encode_json(rows).repartition(3), spec)
+    run_consumer_fused(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300)
+    p = ConsumerPaths(f"{tmp_shared}/out")
+    assert spark.read.parquet(p.audit).count() == rows.count()
+    assert spark.read.schema(CONTRACT_SCHEMA).csv(f"{p.niche}/*").count() == rows.filter(niche_filter()).count()
+    want = {r.country: r["count"] for r in rows.groupBy("country").count().collect()}
+    assert {r.country: r["count"] for r in latest_counts(spark, f"{tmp_shared}/out").collect()} == want
+    # more data later: the counts continue from the last version
+    publish(encode_json(rows), spec)
+    run_consumer_fused(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300)
+    got = {r.country: r["count"] for r in latest_counts(spark, f"{tmp_shared}/out").collect()}
+    assert got == {k: 2 * v for k, v in want.items()}
