@@ -6,18 +6,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
+_WIDTH = {"string": 48, "binary": 48, "decimal": 16, "array": 64, "map": 96, "struct": 64}
 
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+
+def estimated_row_bytes(schema: StructType) -> int:
+    """A rough in-memory width of one row (strings counted generously)."""
+    total = 16
+    for f in schema.fields:
+        name = f.dataType.typeName()
+        total += _WIDTH.get(name, 8)
+    return total
+
+
+def bounded_broadcast(
+    small: DataFrame,
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+) -> DataFrame:
     """Materialise ``small`` once in the shared checkpoint folder, count it,
-    and mark it for broadcast only if it has at most ``max_rows`` rows.
+    and mark it for broadcast only if it has at most ``max_rows`` rows and
+    an estimated size of at most ``max_bytes``.
 
     Beyond the bound the plain DataFrame is returned and Spark plans a shuffle
     join (AQE may still convert it, and splits skewed partitions)."""
     small = small.checkpoint(eager=True)
-    if small.count() <= max_rows:
+    n = small.count()
+    if n <= max_rows and n * estimated_row_bytes(small.schema) <= max_bytes:
         return F.broadcast(small)
     return small
 
