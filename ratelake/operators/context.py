@@ -14,8 +14,10 @@ Two physical strategies:
   handling splits a hot key on the big side. No task ever holds a whole
   group, so one city holding a third of all rows costs nothing extra.
 * ``"window"``: ``avg().over(Window.partitionBy(keys))`` - one exchange by
-  key and a whole group per task. Kept for small inputs and for streaming
-  ``foreachBatch`` bodies where the batch is small.
+  key and a whole group per task. It is used only when a partial-aggregated
+  pass shows that no group exceeds ``max_window_group_rows``; otherwise the
+  exact aggregate strategy runs instead, so no task ever receives an
+  unbounded group.
 """
 
 from __future__ import annotations
@@ -27,6 +29,15 @@ from pyspark.sql import functions as F
 
 from ratelake.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_on_keys
 
+DEFAULT_MAX_WINDOW_GROUP_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the biggest group (map-side combined count, one scalar
+    to the driver)."""
+    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).first()[0]
+    return int(top or 0)
+
 
 def group_stats(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     """``keys..., _sum, _n``: exact sum and count of non-null ``value``."""
@@ -44,6 +55,7 @@ def group_context(
     strategy: str = "aggregate",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     stats: DataFrame | None = None,
+    max_window_group_rows: int = DEFAULT_MAX_WINDOW_GROUP_ROWS,
 ) -> DataFrame:
     """Add ``mean_col`` (group mean of ``value``) and ``diff_col``.
 
@@ -52,6 +64,8 @@ def group_context(
     keys = list(keys)
     if stats is not None:
         strategy = "aggregate"
+    if strategy == "window" and largest_group(df, keys) > max_window_group_rows:
+        strategy = "aggregate"  # a group too big for one task: exact fallback
     if strategy == "window":
         w = Window.partitionBy(*[F.col(k) for k in keys])
         out = df.withColumn(mean_col, F.avg(F.col(value)).over(w))

@@ -155,3 +155,14 @@ def test_group_context_shuffle_join_beyond_bound(spark):
     small = group_context(li, "l_quantity", ["l_suppkey"], "m", "d", max_broadcast_rows=0)
     big = group_context(li, "l_quantity", ["l_suppkey"], "m", "d")
     assert small.exceptAll(big).count() == 0
+
+
+def test_window_strategy_falls_back_on_big_groups(spark):
+    li = table(spark, SF001, "lineitem").select("l_suppkey", "l_quantity")
+    capped = group_context(li, "l_quantity", ["l_suppkey"], "m", "d", strategy="window", max_window_group_rows=1)
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan  # fell back to aggregate + join
+    ref = group_context(li, "l_quantity", ["l_suppkey"], "m", "d", strategy="window")
+    assert "Window" in ref._jdf.queryExecution().executedPlan().toString()
+    r = lambda d: d.withColumns({"m": F.round("m", 9), "d": F.round("d", 9)})
+    assert r(capped).exceptAll(r(ref)).count() == 0
