@@ -56,24 +56,28 @@ def group_context(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     stats: DataFrame | None = None,
     max_window_group_rows: int = DEFAULT_MAX_WINDOW_GROUP_ROWS,
+    mean_of: str | None = None,
 ) -> DataFrame:
     """Add ``mean_col`` (group mean of ``value``) and ``diff_col``.
 
     ``stats`` (``keys..., _sum, _n``) replaces the statistics of ``df`` itself,
-    e.g. cumulative statistics over everything ingested so far."""
+    e.g. cumulative statistics over everything ingested so far. ``mean_of``
+    names another column to average (nulls ignored), e.g. the value with
+    imputed rows blanked; the difference is still taken from ``value``."""
     keys = list(keys)
+    src_col = mean_of or value
     if stats is not None:
         strategy = "aggregate"
     if strategy == "window" and largest_group(df, keys) > max_window_group_rows:
         strategy = "aggregate"  # a group too big for one task: exact fallback
     if strategy == "window":
         w = Window.partitionBy(*[F.col(k) for k in keys])
-        out = df.withColumn(mean_col, F.avg(F.col(value)).over(w))
+        out = df.withColumn(mean_col, F.avg(F.col(src_col)).over(w))
         return out.withColumn(diff_col, F.col(value) - F.col(mean_col))
     if strategy != "aggregate":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    src = stats if stats is not None else group_stats(df, value, keys)
+    src = stats if stats is not None else group_stats(df, src_col, keys)
     means = src.select(*keys, F.try_divide(F.col("_sum"), F.col("_n")).alias(mean_col))
     out = join_on_keys(df, means, keys, how="left", max_broadcast_rows=max_broadcast_rows)
     return out.withColumn(diff_col, F.col(value) - F.col(mean_col))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.contract import FEATURE_COLUMNS
+from ratelake.operators.context import train_only_context
 from ratelake.operators.model import (
     VENUE_KEY,
     canonical_layout,
@@ -129,3 +130,27 @@ def q_ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ml_compare")
 def q_ml_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_and_compare(spark, _lake(spark, sf_dir))["comparison"]
+
+
+@register(
+    "ml_train_only_context",
+    f"""WITH {PIPELINE_CTE},
+    r AS (SELECT restaurant_name, country, city, latitude, longitude, avg_rating AS label,
+                 {_sql_split(_VENUE_KEY_SQL)} AS split
+          FROM pipeline WHERE avg_rating > 0),
+    m AS (SELECT city, AVG(label) AS city_train_mean FROM r WHERE split = 'train' GROUP BY city)
+    SELECT r.restaurant_name, r.country, r.city, r.split, r.label,
+      {sql_rnd("m.city_train_mean")} AS city_train_mean,
+      {sql_rnd("r.label - m.city_train_mean")} AS label_diff_train
+    FROM r LEFT JOIN m ON r.city IS NOT DISTINCT FROM m.city""",
+)
+def q_ml_train_only_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leak-free city feature: the mean label of the city's *training* rows,
+    joined to training and test rows alike."""
+    rows = with_split(training_rows(_lake(spark, sf_dir)), VENUE_KEY)
+    train = rows.filter(F.col("split") == "train")
+    out = train_only_context(rows, train, "label", ["city"], "city_train_mean", "label_diff_train")
+    return out.select(
+        "restaurant_name", "country", "city", "split", "label",
+        rnd("city_train_mean").alias("city_train_mean"), rnd("label_diff_train").alias("label_diff_train"),
+    )

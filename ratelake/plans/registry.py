@@ -127,6 +127,19 @@ def q_venue_pipeline_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_contract(venue_pipeline(venue_rows(spark, sf_dir), context_strategy="window"))
 
 
+_RATED_CTE = PIPELINE_CTE.replace(
+    "COALESCE(avg_rating, 0) AS avg_rating,",
+    "avg_rating AS raw_rating, COALESCE(avg_rating, 0) AS avg_rating,",
+).replace("AVG(avg_rating) OVER", "AVG(raw_rating) OVER")
+
+
+@register("venue_pipeline_rated_mean", f"WITH {_RATED_CTE} SELECT {_CONTRACT_ROUNDED_SQL} FROM pipeline")
+def q_venue_pipeline_rated_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline with ``exclude_imputed``: unrated venues keep their
+    imputed 0 but do not count in their city's mean."""
+    return round_contract(venue_pipeline(venue_rows(spark, sf_dir), exclude_imputed=True))
+
+
 _DOC_LABELS = """documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 

@@ -84,15 +84,20 @@ def transform_good(
     context_strategy: str = "aggregate",
     keep: Sequence[str] = (),
     context_stats: Callable[[DataFrame], DataFrame] | None = None,
+    exclude_imputed: bool = False,
 ) -> DataFrame:
     """Encoding, then the group mean (computed after imputation, so an
-    imputed 0 rating counts), then the contract projection. ``keep`` names
-    extra columns (e.g. a row key) carried in front of the contract.
-    ``context_stats`` maps the encoded rows to the group statistics to use
-    (default: the rows' own)."""
-    enc = encode_features(good, numeric_columns)
+    imputed 0 rating counts, unless ``exclude_imputed``), then the contract
+    projection. ``keep`` names extra columns (e.g. a row key) carried in
+    front of the contract. ``context_stats`` maps the encoded rows to the
+    group statistics to use (default: the rows' own)."""
+    src = good.withColumn("_rated", F.col("avg_rating")) if exclude_imputed else good
+    enc = encode_features(src, numeric_columns)
     stats = context_stats(enc) if context_stats is not None else None
-    ctx = group_context(enc, "avg_rating", context_keys, strategy=context_strategy, stats=stats)
+    ctx = group_context(
+        enc, "avg_rating", context_keys, strategy=context_strategy, stats=stats,
+        mean_of="_rated" if exclude_imputed else None,
+    )
     return to_contract(ctx, keep=keep)
 
 
@@ -103,8 +108,12 @@ def venue_pipeline(
     context_keys: Sequence[str] = ("city",),
     context_strategy: str = "aggregate",
     keep: Sequence[str] = (),
+    exclude_imputed: bool = False,
 ) -> DataFrame:
     """Raw rows -> good rows -> 13 contract columns (``keep``: extra leading
-    columns such as a row key)."""
+    columns such as a row key; ``exclude_imputed``: unrated venues do not
+    pull their city's mean towards 0)."""
     good, _ = split(raw, critical)
-    return transform_good(good, numeric_columns, context_keys, context_strategy, keep)
+    return transform_good(
+        good, numeric_columns, context_keys, context_strategy, keep, exclude_imputed=exclude_imputed
+    )
