@@ -206,3 +206,21 @@ def test_fused_consumer_equals_three_queries(spark, tmp_shared):
     run_consumer_fused(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300)
     got = {r.country: r["count"] for r in latest_counts(spark, f"{tmp_shared}/out").collect()}
     assert got == {k: 2 * v for k, v in want.items()}
+
+
+def test_etl_all_bad_batch_still_commits(spark, tmp_shared):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(RAW_SCHEMA)
+    rows = [(1, "a", None, "X", 1.0, 1.0, 4.0, 3, "$", "Claimed", "Y", "Y"),
+            (2, None, "ES", "Y", 1.0, 1.0, 4.0, 3, "$", "Claimed", "Y", "Y")]
+    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{tmp_shared}/landing")
+    topic = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    args = (f"{tmp_shared}/landing", schema, f"{tmp_shared}/lake", f"{tmp_shared}/dlq", topic, f"{tmp_shared}/ckpt")
+    q = run_etl_stream(spark, *args, timeout_s=300)
+    assert q.lastProgress["numInputRows"] == 2
+    assert read_dlq(spark, f"{tmp_shared}/dlq").count() == 2
+    assert read_lake(spark, f"{tmp_shared}/lake").count() == 0
+    # committed: a restart has nothing left to do
+    q2 = run_etl_stream(spark, *args, timeout_s=300)
+    assert q2.lastProgress is None or q2.lastProgress["numInputRows"] == 0
