@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -168,13 +169,21 @@ def train_and_compare(
     models, metrics rows and the comparison table."""
     rows = canonical_layout(training_rows(lake, features, keys=keys), keys)
     train, test = hash_split(rows, keys, train_fraction, seed)
-    train = train.checkpoint(eager=True)  # both models fit the very same rows
+    # lineage cut: both models fit and score the very same rows, and a lost
+    # executor re-reads them from the shared folder instead of re-shuffling
+    train = train.checkpoint(eager=True)
     test = test.checkpoint(eager=True)
+    # the fits pass over the training rows many times (one per tree level,
+    # one per solver step): keep them in executor memory while fitting
+    train.persist(StorageLevel.MEMORY_AND_DISK)
     fitted, metrics = {}, {}
-    for m in models:
-        name, fit = MODELS[m]
-        model = fit(train, features)
-        met = regression_metrics(score(model, test)).first().asDict()
-        fitted[name], metrics[name] = model, met
+    try:
+        for m in models:
+            name, fit = MODELS[m]
+            model = fit(train, features)
+            met = regression_metrics(score(model, test)).first().asDict()
+            fitted[name], metrics[name] = model, met
+    finally:
+        train.unpersist()
     return {"models": fitted, "metrics": metrics, "comparison": compare(spark, metrics),
             "train": train, "test": test}
