@@ -3,6 +3,7 @@
     python -m ratelake.jobs etl --landing L --lake K --dlq D --topic T --checkpoint C
     python -m ratelake.jobs consume --topic T --out O [--fused]
     python -m ratelake.jobs train --lake K [--models lr rf]
+    python -m ratelake.jobs profile --input RAW [--column avg_rating --by price_level]
 
 Paths are Hadoop paths (``file:``, ``hdfs:``, object stores). The session is
 taken from ``spark-submit`` (master, memory, ``spark.checkpoint.dir``); only
@@ -80,6 +81,24 @@ def cmd_train(spark, a) -> None:
     res["comparison"].show(truncate=False)
 
 
+def cmd_profile(spark, a) -> None:
+    from ratelake.operators.profile import boxplot_stats, corr_matrix, describe_column, histogram
+    from ratelake.plans.q_profile import EDA_COLUMNS, eda_frame
+
+    r = spark.read.option("header", "true")
+    if a.schema:
+        from pyspark.sql.types import StructType
+
+        r = r.schema(StructType.fromDDL(a.schema))
+    elif a.format == "csv":
+        r = r.option("inferSchema", "true")
+    raw = r.format(a.format).load(a.input)
+    describe_column(raw, a.column).show(truncate=False)
+    histogram(raw, a.column, a.bins).show(truncate=False)
+    boxplot_stats(raw, a.column, a.by).show(truncate=False)
+    corr_matrix(eda_frame(raw), EDA_COLUMNS).show(50, truncate=False)
+
+
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="ratelake.jobs")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -107,13 +126,21 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--lake", required=True)
     t.add_argument("--models", nargs="+", default=["lr", "rf"], choices=["lr", "rf"])
     t.add_argument("--save", default=None, help="folder to save the fitted models")
+
+    f = sub.add_parser("profile", help="raw rows -> describe, histogram, box plot, correlation")
+    f.add_argument("--input", required=True)
+    f.add_argument("--format", default="csv", choices=["parquet", "csv"])
+    f.add_argument("--schema", default=None, help="DDL of the rows (CSV: inferred if omitted)")
+    f.add_argument("--column", default="avg_rating")
+    f.add_argument("--by", default="price_level")
+    f.add_argument("--bins", type=int, default=10)
     return ap
 
 
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = build_session(app_name=f"ratelake-{a.cmd}")
-    {"etl": cmd_etl, "consume": cmd_consume, "train": cmd_train}[a.cmd](spark, a)
+    {"etl": cmd_etl, "consume": cmd_consume, "train": cmd_train, "profile": cmd_profile}[a.cmd](spark, a)
 
 
 if __name__ == "__main__":

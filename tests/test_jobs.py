@@ -25,3 +25,12 @@ def test_jobs_end_to_end(spark, tmp_shared, capsys):
     jobs.main(["train", "--lake", f"{tmp_shared}/lake", "--save", f"{tmp_shared}/models"])
     out = capsys.readouterr().out
     assert "linear_regression" in out and "random_forest" in out and "is_best" in out
+
+
+def test_profile_job(spark, tmp_shared, capsys):
+    raw = venue_rows(spark, SF001)
+    raw.write.mode("overwrite").parquet(f"{tmp_shared}/raw")
+    jobs.main(["profile", "--input", f"{tmp_shared}/raw", "--format", "parquet"])
+    out = capsys.readouterr().out
+    for word in ("null_count", "bin_lo", "whisker_lo", "col_a"):
+        assert word in out
