@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ratelake.contract import CRITICAL_COLUMNS, NUMERIC_COLUMNS
 from ratelake.functions.encode import FLAG_RULES, binary_flags, impute_zero, ordinal_encode
 from ratelake.operators.context import group_context, leave_one_out_context
+from ratelake.operators.joins import join_on_keys
 from ratelake.operators.quality import batch_audit, split
 from ratelake.plans.venue import VENUE_SQL, venue_pipeline, venue_rows
 from ratelake.sources.tables import table
@@ -144,9 +145,12 @@ _DOC_LABELS = """documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 
 def _doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    """Whole documents (texts included, as a DLQ stores whole rows) with
+    their labels. The label table joins through the size-checked broadcast,
+    so the documents - and their texts - are not shuffled when it fits."""
+    docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
-    return docs.join(labels, "doc_id", "left")
+    return join_on_keys(docs, labels, ["doc_id"], how="left")
 
 
 _LABEL_CRITICAL = ["quality", "toxic"]
@@ -154,7 +158,7 @@ _LABEL_CRITICAL = ["quality", "toxic"]
 
 @register(
     "dlq_good",
-    f"""SELECT d.doc_id, lang, source, n_chars, quality, toxic FROM {_DOC_LABELS}
+    f"""SELECT d.doc_id, d.text, lang, source, n_chars, quality, toxic FROM {_DOC_LABELS}
     WHERE quality IS NOT NULL AND toxic IS NOT NULL""",
 )
 def q_dlq_good(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +168,7 @@ def q_dlq_good(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "dlq_bad",
-    f"""SELECT d.doc_id, lang, source, n_chars, quality, toxic,
+    f"""SELECT d.doc_id, d.text, lang, source, n_chars, quality, toxic,
       concat_ws(',', CASE WHEN quality IS NULL THEN 'quality' END,
                      CASE WHEN toxic IS NULL THEN 'toxic' END) AS dlq_reason
     FROM {_DOC_LABELS} WHERE quality IS NULL OR toxic IS NULL""",
