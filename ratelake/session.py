@@ -21,12 +21,14 @@ def build_session(
     app_name: str = "ratelake",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    state_store: str | None = None,
 ) -> SparkSession:
     """Session with the settings this library is written for.
 
     ``master`` is only set when given (a cluster submit supplies its own).
     AQE stays on so shuffle partition counts, skewed joins and broadcast
-    conversions are re-planned from runtime statistics.
+    conversions are re-planned from runtime statistics. ``state_store=
+    "rocksdb"`` keeps streaming state (dedup keys) off the JVM heap.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -44,6 +46,10 @@ def build_session(
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if state_store == "rocksdb":
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        )
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

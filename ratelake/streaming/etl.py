@@ -108,17 +108,28 @@ def run_etl_stream(
     trigger: str = "availableNow",
     timeout_s: float | None = None,
     malformed_to_dlq: bool = False,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
     **processor_options,
 ) -> StreamingQuery:
     """Start (and for ``availableNow`` wait for) the ETL query.
 
     ``source_format="csv"`` reads the landing files with the declared schema
     in PERMISSIVE mode (a bad cell reads as null, the run goes on); with
-    ``malformed_to_dlq`` the raw line is kept and such rows go to the DLQ."""
+    ``malformed_to_dlq`` the raw line is kept and such rows go to the DLQ.
+
+    ``clean_source`` (``"archive"`` with ``archive_dir``, or ``"delete"``)
+    moves landing files out once their batch is committed, so the listing
+    the file source does on every trigger stays small on a long-running
+    ingestion."""
     schema = source_schema
     r = spark.readStream.format(source_format)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if clean_source:
+        r = r.option("cleanSource", clean_source)
+        if archive_dir:
+            r = r.option("sourceArchiveDir", archive_dir)
     if source_format == "csv":
         r = r.option("header", "true").option("mode", "PERMISSIVE")
         if malformed_to_dlq:

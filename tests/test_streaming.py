@@ -224,3 +224,39 @@ def test_etl_all_bad_batch_still_commits(spark, tmp_shared):
     # committed: a restart has nothing left to do
     q2 = run_etl_stream(spark, *args, timeout_s=300)
     assert q2.lastProgress is None or q2.lastProgress["numInputRows"] == 0
+
+
+def test_etl_archives_committed_landing_files(spark, tmp_shared):
+    import glob
+
+    raw = _landing(spark, tmp_shared, 2)
+    topic = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    run_etl_stream(spark, f"{tmp_shared}/landing", raw.schema, f"{tmp_shared}/lake", f"{tmp_shared}/dlq",
+                   topic, f"{tmp_shared}/ckpt", max_files_per_trigger=1, timeout_s=300,
+                   clean_source="archive", archive_dir=f"{tmp_shared}/archive")
+    assert read_lake(spark, f"{tmp_shared}/lake").count() == 147
+    local = tmp_shared.replace("file:", "")
+    # files of committed batches are moved out (the last may await the next batch)
+    left = glob.glob(f"{local}/landing/*.parquet")
+    assert len(left) <= 1 and glob.glob(f"{local}/archive/**/*.parquet", recursive=True)
+
+
+def test_dedup_with_rocksdb_state(spark, tmp_shared):
+    from ratelake.operators.model import VENUE_KEY
+    from ratelake.streaming.consumer import dedup, parsed_stream, start_raw_audit
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        rows = venue_pipeline(venue_rows(spark, SF001))
+        spec = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+        publish(encode_json(rows), spec)
+        publish(encode_json(rows), spec)  # redelivery
+        q = start_raw_audit(dedup(parsed_stream(spark, spec, max_per_trigger=1), VENUE_KEY),
+                            f"{tmp_shared}/out", f"{tmp_shared}/ck")
+        q.awaitTermination(300)
+        assert q.exception() is None
+        assert spark.read.parquet(f"{tmp_shared}/out").count() == rows.count()
+    finally:
+        spark.conf.set(key, old)
