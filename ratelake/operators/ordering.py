@@ -9,8 +9,9 @@ put a whole group (or the whole table) into one task.
 
 Plan:
 
-1. ``repartitionByRange(n, *groups, *order)`` + ``sortWithinPartitions``:
-   sampled range bounds spread even a hot group over many tasks.
+1. ``repartitionByRange(*groups, *order)`` + ``sortWithinPartitions``:
+   sampled range bounds spread even a hot group over many tasks (AQE may
+   coalesce adjacent small ranges, which keeps them ordered).
 2. ``mapInPandas`` computes the running sum inside each sorted partition
    (vectorised numpy/pandas per Arrow batch, state carried across batches).
 3. The result is written once as Parquet to the shared folder, so the
@@ -42,11 +43,6 @@ PID = "_pid"
 CUM = "_cum"
 
 
-def _default_parts(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-
-
 def _running_sum_fn(group_cols: list[str], weight_col: str | None):
     def fn(batches):
         prev_key = None  # group key of the last row of the previous batch
@@ -106,11 +102,15 @@ def prefix_sums_total(
     """``prefix_sums`` plus the grand total of ``weight`` when ungrouped
     (known from the partition summary, so it costs no extra job)."""
     groups, order = list(groups), list(order)
-    n = num_partitions or _default_parts(df)
     keys = [*groups, *order]
+    # without an explicit count AQE may coalesce adjacent ranges to the
+    # advisory size: partitions stay contiguous and ordered, so the result is
+    # the same and the task count follows the data size
+    ranged = (
+        df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    )
     ranged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+        ranged.sortWithinPartitions(*keys)
         .withColumn(PID, F.spark_partition_id())
     )
     out_schema = StructType([*ranged.schema.fields, StructField(CUM, LongType(), False)])
