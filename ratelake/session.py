@@ -41,8 +41,11 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # lineage cuts of small tables go through RDD checkpoints: compress them
+        # lineage cuts of small tables go through RDD checkpoints: compress
+        # them, and delete them once no plan references them (a long-running
+        # ETL cuts one per micro-batch)
         "spark.checkpoint.compress": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
