@@ -156,6 +156,22 @@ def compare(spark: SparkSession, results: Mapping[str, Mapping[str, float]]) ->
 MODELS = {"lr": ("linear_regression", fit_linear), "rf": ("random_forest", fit_forest)}
 
 
+def prepared_split(
+    lake: DataFrame,
+    features: Sequence[str] = FEATURE_COLUMNS,
+    keys: Sequence[str] = VENUE_KEY,
+    train_fraction: float = 0.8,
+    seed: int = 42,
+) -> tuple[DataFrame, DataFrame]:
+    """Training rows in the canonical layout, split by key hash, each side
+    checkpointed once: every model fits and scores these very rows, and
+    nothing upstream (lake scan, layout shuffle) is recomputed per model or
+    after a lost executor."""
+    rows = canonical_layout(training_rows(lake, features, keys=keys), keys)
+    train, test = hash_split(rows, keys, train_fraction, seed)
+    return train.checkpoint(eager=True), test.checkpoint(eager=True)
+
+
 def train_and_compare(
     spark: SparkSession,
     lake: DataFrame,
@@ -167,12 +183,7 @@ def train_and_compare(
 ) -> dict:
     """Fit the chosen models on the same split and layout; return fitted
     models, metrics rows and the comparison table."""
-    rows = canonical_layout(training_rows(lake, features, keys=keys), keys)
-    train, test = hash_split(rows, keys, train_fraction, seed)
-    # lineage cut: both models fit and score the very same rows, and a lost
-    # executor re-reads them from the shared folder instead of re-shuffling
-    train = train.checkpoint(eager=True)
-    test = test.checkpoint(eager=True)
+    train, test = prepared_split(lake, features, keys, train_fraction, seed)
     # the fits pass over the training rows many times (one per tree level,
     # one per solver step): keep them in executor memory while fitting
     train.persist(StorageLevel.MEMORY_AND_DISK)

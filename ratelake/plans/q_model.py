@@ -9,12 +9,11 @@ from ratelake.contract import FEATURE_COLUMNS
 from ratelake.operators.context import train_only_context
 from ratelake.operators.model import (
     VENUE_KEY,
-    canonical_layout,
     fit_forest,
     fit_linear,
     forest_importances,
-    hash_split,
     linear_coefficients,
+    prepared_split,
     regression_metrics,
     score,
     train_and_compare,
@@ -103,8 +102,7 @@ def q_ml_linear_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _venue_train_test(spark: SparkSession, sf_dir: str):
-    rows = canonical_layout(training_rows(_lake(spark, sf_dir)), VENUE_KEY)
-    return hash_split(rows, VENUE_KEY)
+    return prepared_split(_lake(spark, sf_dir))
 
 
 @register("ml_linear_coefficients")
