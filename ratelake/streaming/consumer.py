@@ -38,7 +38,10 @@ def parsed_stream(
     return parse_json(stream_topic(spark, spec, max_per_trigger=max_per_trigger), schema)
 
 
-def _trigger(writer, trigger: str | None):
+def with_trigger(writer, trigger: str | None):
+    """``availableNow`` (drain what is there, then stop), ``once``, a
+    processing-time interval such as ``"30 seconds"``, or None (run
+    micro-batches back to back)."""
     if trigger == "availableNow":
         return writer.trigger(availableNow=True)
     if trigger == "once":
@@ -61,7 +64,7 @@ def start_raw_audit(
         w = w.option("path", path)
     if name:
         w = w.queryName(name)
-    return _trigger(w, trigger).start()
+    return with_trigger(w, trigger).start()
 
 
 def start_filter_append(
@@ -81,7 +84,7 @@ def start_filter_append(
     )
     if name:
         w = w.queryName(name)
-    return _trigger(w, trigger).start()
+    return with_trigger(w, trigger).start()
 
 
 def running_count(parsed: DataFrame, key: str = "country") -> DataFrame:
@@ -113,7 +116,7 @@ def start_count(
         w = w.foreachBatch(write_snapshot)
     else:
         w = w.format(fmt)
-    return _trigger(w, trigger).start()
+    return with_trigger(w, trigger).start()
 
 
 @dataclass
@@ -228,7 +231,7 @@ def run_consumer_fused(
             batch.unpersist()
 
     w = parsed.writeStream.foreachBatch(body).option("checkpointLocation", paths.checkpoint("fused"))
-    q = _trigger(w, trigger).start()
+    q = with_trigger(w, trigger).start()
     if trigger == "availableNow":
         q.awaitTermination(timeout_s)
         if q.exception() is not None:

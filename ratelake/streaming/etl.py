@@ -37,6 +37,7 @@ from ratelake.session import path_exists
 from ratelake.sources.ingest import CORRUPT_COLUMN
 from ratelake.sources.lake import batch_path, read_lake, write_batch, write_dlq
 from ratelake.sources.topic import TopicSpec, publish
+from ratelake.streaming.consumer import with_trigger
 
 
 def make_batch_processor(
@@ -139,8 +140,7 @@ def run_etl_stream(
     stream = r.schema(schema).load(source_path)
     body = make_batch_processor(spark, lake, dlq, topic, **processor_options)
     w = stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=trigger)
-    q = w.start()
+    q = with_trigger(w, trigger).start()
     if trigger == "availableNow":
         q.awaitTermination(timeout_s)
         if q.exception() is not None:

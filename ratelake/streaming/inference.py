@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ratelake.streaming.consumer import with_trigger
+
 
 def score_stream(parsed: DataFrame, model_path: str, features: Sequence[str],
                  keep: Sequence[str] = ()) -> DataFrame:
@@ -29,8 +31,4 @@ def score_stream(parsed: DataFrame, model_path: str, features: Sequence[str],
 def start_scoring(scored: DataFrame, path: str, checkpoint: str, trigger: str | None = "availableNow") -> StreamingQuery:
     w = scored.writeStream.outputMode("append").format("parquet").option("path", path)
     w = w.option("checkpointLocation", checkpoint)
-    if trigger == "availableNow":
-        w = w.trigger(availableNow=True)
-    elif trigger:
-        w = w.trigger(processingTime=trigger)
-    return w.start()
+    return with_trigger(w, trigger).start()
