@@ -166,3 +166,38 @@ def test_window_strategy_falls_back_on_big_groups(spark):
     assert "Window" in ref._jdf.queryExecution().executedPlan().toString()
     r = lambda d: d.withColumns({"m": F.round("m", 9), "d": F.round("d", 9)})
     assert r(capped).exceptAll(r(ref)).count() == 0
+
+
+def test_hot_key_beyond_broadcast_bound_uses_skew_join(spark):
+    """A key holding a third of all rows, statistics too big to broadcast:
+    the shuffle join must be split by AQE's skew handling, results unchanged."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        src = table(spark, SF01, "lineitem").repartition(16)
+        li = src.select(
+            F.when(F.col("l_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("l_suppkey")).alias("k"), "l_quantity"
+        )
+        out = group_context(li, "l_quantity", ["k"], "m", "d", max_broadcast_rows=0)
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+        pdf = li.toPandas()
+        want = pdf.groupby("k")["l_quantity"].mean().to_dict()
+        assert len(rows) == len(pdf)
+        assert all(abs(r.m - want[r.k]) < 1e-9 for r in rows)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
