@@ -64,7 +64,7 @@ TOPIC_FILES = 4  # the topic is written as several files -> several micro-batche
 def _contract_topic(spark: SparkSession, sf_dir: str, name: str) -> TopicSpec:
     spec = TopicSpec(kind="files", path=shared_path(spark, name))
     rows = venue_pipeline(venue_rows(spark, sf_dir))
-    publish(encode_json(rows).repartition(TOPIC_FILES), spec)
+    publish(encode_json(rows), spec, files=TOPIC_FILES)
     return spec
 
 
@@ -133,7 +133,7 @@ def q_stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_path(spark, "stream_parse")
     spec = TopicSpec(kind="files", path=f"{root}/topic")
     ev = table(spark, sf_dir, "events")
-    publish(ev.select(to_json_value(ev.columns).alias("value")).repartition(TOPIC_FILES), spec)
+    publish(ev.select(to_json_value(ev.columns).alias("value")), spec, files=TOPIC_FILES)
     parsed = parsed_stream(spark, spec, EVENTS_SCHEMA, max_per_trigger=1)
     _await(start_raw_audit(parsed, f"{root}/out", f"{root}/_ckpt"))
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{root}/out")
@@ -242,8 +242,8 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduplicating consumer must emit each venue once."""
     spec = TopicSpec(kind="files", path=shared_path(spark, "topic_dup"))
     rows = venue_pipeline(venue_rows(spark, sf_dir))
-    publish(encode_json(rows).repartition(TOPIC_FILES), spec)
-    publish(encode_json(rows).repartition(TOPIC_FILES), spec)
+    publish(encode_json(rows), spec, files=TOPIC_FILES)
+    publish(encode_json(rows), spec, files=TOPIC_FILES)
     root = shared_path(spark, "stream_dedup")
     parsed = dedup(parsed_stream(spark, spec, max_per_trigger=2), VENUE_KEY)
     _await(start_raw_audit(parsed, f"{root}/out", f"{root}/_ckpt"))

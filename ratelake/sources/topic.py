@@ -35,10 +35,12 @@ class TopicSpec:
         return opts
 
 
-def publish(encoded: DataFrame, spec: TopicSpec) -> None:
+def publish(encoded: DataFrame, spec: TopicSpec, files: int | None = None) -> None:
     """Publish a ``value`` column of JSON text. The job fails unless every
     record was written (Kafka: acknowledged under ``acks``), so a caller that
-    commits progress only after ``publish`` returns never skips a record."""
+    commits progress only after ``publish`` returns never skips a record.
+    For the folder topic ``files`` fixes the number of files written (e.g. to
+    drive several micro-batches downstream); by default AQE sizes them."""
     values = encoded.select("value")
     if spec.kind == "kafka":
         w = values.write.format("kafka").option("topic", spec.topic)
@@ -46,7 +48,9 @@ def publish(encoded: DataFrame, spec: TopicSpec) -> None:
             w = w.option(k, v)
         w.save()
     elif spec.kind == "files":
-        values.write.mode("append").text(spec.path)
+        # advisory-size files (AQE rebalance), not one small file per task
+        out = values.repartition(int(files)) if files else values.hint("rebalance")
+        out.write.mode("append").text(spec.path)
     else:
         raise ValueError(f"unknown topic kind {spec.kind!r}")
 

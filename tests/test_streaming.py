@@ -18,8 +18,10 @@ from ratelake.streaming.etl import run_etl_stream
 def test_consumer_three_queries_match_batch(spark, tmp_shared):
     rows = venue_pipeline(venue_rows(spark, SF001))
     spec = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
-    publish(encode_json(rows).repartition(3), spec)
-    run_consumer(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300)
+    publish(encode_json(rows), spec, files=3)
+    qs = run_consumer(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300)
+    # three files, one per trigger: the running count crossed micro-batches
+    assert sum(1 for p in qs[2].recentProgress if p["numInputRows"] > 0) == 3
     p = ConsumerPaths(f"{tmp_shared}/out")
     audit = spark.read.schema(CONTRACT_SCHEMA).parquet(p.audit)
     assert audit.count() == rows.count()
@@ -164,7 +166,7 @@ def test_count_update_mode_and_console_sink(spark, tmp_shared):
 
     rows = venue_pipeline(venue_rows(spark, SF001))
     spec = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
-    publish(encode_json(rows).repartition(2), spec)
+    publish(encode_json(rows), spec, files=2)
     parsed = parsed_stream(spark, spec, max_per_trigger=1)
     q = start_count(parsed, f"{tmp_shared}/ck_upd", mode="update", fmt="memory", name="upd_counts")
     q.awaitTermination(300)
@@ -194,7 +196,7 @@ def test_fused_consumer_equals_three_queries(spark, tmp_shared):
 
     rows = venue_pipeline(venue_rows(spark, SF001))
     spec = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
-    publish(encode_json(rows).repartition(3), spec)
+    publish(encode_json(rows), spec, files=3)
     run_consumer_fused(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300)
     p = ConsumerPaths(f"{tmp_shared}/out")
     assert spark.read.parquet(p.audit).count() == rows.count()
