@@ -16,9 +16,14 @@ from pyspark.sql.types import (
     StructType,
 )
 
-# Fixed values that must equal the reference's: contract column names, order
-# and types; the critical columns (a null sends the row to the DLQ); the
-# numeric columns imputed with 0; the model features in order; the label.
+# ---------------------------------------------------------------------------
+# Fixed values that must equal the reference's for the same results, kept
+# together: contract column names, order and types; the critical columns (a
+# null sends the row to the DLQ); the numeric columns imputed with 0; the
+# price-level texts and codes; the flag columns and their "yes" texts; the
+# niche filter of the append query; the model features, label, split and
+# forest parameters; the histogram bin count.
+# ---------------------------------------------------------------------------
 CONTRACT_SCHEMA = StructType(
     [
         StructField("restaurant_name", StringType(), True),
@@ -49,6 +54,21 @@ FEATURE_COLUMNS = [
 ]
 LABEL_COLUMN = "avg_rating"
 PARTITION_COLUMN = "country"
+PRICE_LEVELS = {"$": 1, "$$ - $$$": 2, "$$$$": 3}  # any other text, or null: 0
+FLAG_RULES = {
+    "is_claimed": ("claimed", "Claimed"),
+    "is_veg_friendly": ("vegetarian_friendly", "Y"),
+    "is_gluten_free": ("gluten_free", "Y"),
+}
+NICHE_FLAG = "is_gluten_free"  # append query: flag == 1 and rating >= minimum
+NICHE_MIN_RATING = 4.5
+TRAIN_FRACTION = 0.8
+SPLIT_SEED = 42
+FOREST_TREES = 50
+FOREST_DEPTH = 5
+FOREST_SEED = 42
+HISTOGRAM_BINS = 10
+# ---------------------------------------------------------------------------
 
 # Spark writes an empty-string partition value as __HIVE_DEFAULT_PARTITION__
 # and reads it back as null; the lake maps '' to this sentinel and back.

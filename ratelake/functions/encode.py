@@ -9,14 +9,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference's: price-level texts and codes
-# (any other text, or null, is 0) and the flag columns with their "yes" value.
-PRICE_LEVELS = {"$": 1, "$$ - $$$": 2, "$$$$": 3}
-FLAG_RULES = {
-    "is_claimed": ("claimed", "Claimed"),
-    "is_veg_friendly": ("vegetarian_friendly", "Y"),
-    "is_gluten_free": ("gluten_free", "Y"),
-}
+from ratelake.contract import FLAG_RULES, PRICE_LEVELS  # fixed values
 
 # Unicode-aware whitespace at either end. Spark's trim() strips spaces only,
 # so a tab or newline around the text would survive it.

@@ -25,20 +25,28 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.contract import FEATURE_COLUMNS, LABEL_COLUMN
+from ratelake.contract import (
+    FEATURE_COLUMNS,
+    FOREST_DEPTH,
+    FOREST_SEED,
+    FOREST_TREES,
+    LABEL_COLUMN,
+    SPLIT_SEED,
+    TRAIN_FRACTION,
+)
 
 # the identity of a venue in the contract (no surrogate key travels)
 VENUE_KEY = ["restaurant_name", "country", "city", "latitude", "longitude"]
 SPLIT_COLUMN = "split"
 
 
-def hash_bucket(keys: Sequence[str], seed: int = 42, buckets: int = 100) -> Column:
+def hash_bucket(keys: Sequence[str], seed: int = SPLIT_SEED, buckets: int = 100) -> Column:
     """``0 .. buckets-1`` from the first 32 bits of md5(seed:key...)."""
     text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % F.lit(buckets)
 
 
-def with_split(df: DataFrame, keys: Sequence[str], train_fraction: float = 0.8, seed: int = 42) -> DataFrame:
+def with_split(df: DataFrame, keys: Sequence[str], train_fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED) -> DataFrame:
     """Add ``split`` = 'train' / 'test' by key hash."""
     cut = int(round(train_fraction * 100))
     return df.withColumn(
@@ -48,7 +56,7 @@ def with_split(df: DataFrame, keys: Sequence[str], train_fraction: float = 0.8,
 
 
 def hash_split(
-    df: DataFrame, keys: Sequence[str], train_fraction: float = 0.8, seed: int = 42
+    df: DataFrame, keys: Sequence[str], train_fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED
 ) -> tuple[DataFrame, DataFrame]:
     s = with_split(df, keys, train_fraction, seed)
     return (
@@ -57,7 +65,7 @@ def hash_split(
     )
 
 
-def random_split(df: DataFrame, train_fraction: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def random_split(df: DataFrame, train_fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """MLlib-style split; reproducible only for an unchanged layout."""
     tr, te = df.randomSplit([train_fraction, 1 - train_fraction], seed=seed)
     return tr, te
@@ -98,9 +106,9 @@ def fit_linear(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, **pa
 def fit_forest(
     train: DataFrame,
     features: Sequence[str] = FEATURE_COLUMNS,
-    num_trees: int = 50,
-    max_depth: int = 5,
-    seed: int = 42,
+    num_trees: int = FOREST_TREES,
+    max_depth: int = FOREST_DEPTH,
+    seed: int = FOREST_SEED,
     **params,
 ) -> PipelineModel:
     rf = RandomForestRegressor(
@@ -160,8 +168,8 @@ def prepared_split(
     lake: DataFrame,
     features: Sequence[str] = FEATURE_COLUMNS,
     keys: Sequence[str] = VENUE_KEY,
-    train_fraction: float = 0.8,
-    seed: int = 42,
+    train_fraction: float = TRAIN_FRACTION,
+    seed: int = SPLIT_SEED,
 ) -> tuple[DataFrame, DataFrame]:
     """Training rows in the canonical layout, split by key hash, each side
     checkpointed once: every model fits and scores these very rows, and
@@ -178,8 +186,8 @@ def train_and_compare(
     models: Sequence[str] = ("lr", "rf"),
     features: Sequence[str] = FEATURE_COLUMNS,
     keys: Sequence[str] = VENUE_KEY,
-    train_fraction: float = 0.8,
-    seed: int = 42,
+    train_fraction: float = TRAIN_FRACTION,
+    seed: int = SPLIT_SEED,
 ) -> dict:
     """Fit the chosen models on the same split and layout; return fitted
     models, metrics rows and the comparison table."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.contract import FEATURE_COLUMNS
+from ratelake.contract import FEATURE_COLUMNS, SPLIT_SEED, TRAIN_FRACTION
 from ratelake.operators.context import train_only_context
 from ratelake.operators.model import (
     VENUE_KEY,
@@ -25,7 +25,7 @@ from ratelake.plans.venue import venue_pipeline, venue_rows
 from ratelake.sources.tables import table
 
 
-def _sql_split(key_sql: str, seed: int = 42, cut: int = 80) -> str:
+def _sql_split(key_sql: str, seed: int = SPLIT_SEED, cut: int = round(TRAIN_FRACTION * 100)) -> str:
     return (
         f"CASE WHEN ('0x' || substr(md5('{seed}:' || {key_sql}), 1, 8))::BIGINT % 100 < {cut} "
         "THEN 'train' ELSE 'test' END"

@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ratelake.contract import CONTRACT_SCHEMA
+from ratelake.contract import CONTRACT_SCHEMA, LABEL_COLUMN, NICHE_FLAG, NICHE_MIN_RATING
 from ratelake.functions.wire import parse_json
 from ratelake.sources.topic import TopicSpec, stream_topic
 
 
 def niche_filter() -> Column:
     """The append query's predicate."""
-    return (F.col("is_gluten_free") == 1) & (F.col("avg_rating") >= 4.5)
+    return (F.col(NICHE_FLAG) == 1) & (F.col(LABEL_COLUMN) >= NICHE_MIN_RATING)
 
 
 def parsed_stream(
