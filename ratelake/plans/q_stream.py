@@ -17,10 +17,11 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from ratelake.contract import CONTRACT_COLUMNS, CONTRACT_SCHEMA
+from ratelake.contract import CONTRACT_COLUMNS, CONTRACT_SCHEMA, CRITICAL_COLUMNS
 from ratelake.functions.wire import encode_json, parse_json, to_json_value
 from ratelake.plans.registry import (
     PIPELINE_CTE,
+    VENUE_CTE,
     _CONTRACT_ROUNDED_SQL,
     register,
     rnd,
@@ -29,10 +30,11 @@ from ratelake.plans.registry import (
 )
 from ratelake.plans.venue import venue_pipeline, venue_rows
 from ratelake.session import shared_path
-from ratelake.sources.lake import read_lake
+from ratelake.sources.lake import read_dlq, read_lake
 from ratelake.sources.topic import TopicSpec, publish, read_topic
 from ratelake.operators.model import VENUE_KEY, fit_linear, hash_split, training_rows
 from ratelake.streaming.consumer import (
+    ConsumerPaths,
     dedup,
     latest_counts,
     parsed_stream,
@@ -186,6 +188,21 @@ def q_stream_consumer_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_counts(spark, root)
 
 
+@register(
+    "stream_consumer_fused_niche",
+    f"WITH {PIPELINE_CTE} SELECT {_CONTRACT_ROUNDED_SQL} FROM pipeline "
+    "WHERE is_gluten_free = 1 AND avg_rating >= 4.5",
+)
+def q_stream_consumer_fused_niche(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filtered (append) output of the single-pass consumer."""
+    spec = _contract_topic(spark, sf_dir, "topic_fused_niche")
+    root = shared_path(spark, "stream_fused_niche")
+    run_consumer_fused(spark, spec, root, max_per_trigger=1, timeout_s=600)
+    # batch_id=N folders: partition discovery, then the contract columns
+    niche = spark.read.schema(CONTRACT_SCHEMA).csv(ConsumerPaths(root).niche)
+    return round_contract(niche.select(*CONTRACT_COLUMNS))
+
+
 # --------------------------------------------------------------------------
 # ETL stream (foreachBatch): landing folder -> DLQ + lake + topic
 # --------------------------------------------------------------------------
@@ -224,6 +241,26 @@ def q_etl_stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_contract(read_lake(spark, f"{root}/lake").select(*CONTRACT_COLUMNS))
 
 
+@register(
+    "etl_stream_dlq",
+    f"""WITH {VENUE_CTE}
+    SELECT venue_id, restaurant_name, country, latitude, longitude,
+      concat_ws(',', """
+    + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in CRITICAL_COLUMNS)
+    + """) AS dlq_reason
+    FROM venue WHERE """
+    + " OR ".join(f"{c} IS NULL" for c in CRITICAL_COLUMNS),
+)
+def q_etl_stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows the streaming ETL dead-lettered, with their reasons."""
+    root, _ = _run_etl(spark, sf_dir, "etl_dlq")
+    dlq = read_dlq(spark, f"{root}/dlq")
+    return dlq.select(
+        "venue_id", "restaurant_name", "country", "latitude", "longitude",
+        F.array_join("dlq_reason", ",").alias("dlq_reason"),
+    )
+
+
 @register("etl_stream_published", _PIPELINE_SQL)
 def q_etl_stream_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, topic = _run_etl(spark, sf_dir, "etl_topic")
