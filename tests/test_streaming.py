@@ -262,3 +262,30 @@ def test_dedup_with_rocksdb_state(spark, tmp_shared):
         assert spark.read.parquet(f"{tmp_shared}/out").count() == rows.count()
     finally:
         spark.conf.set(key, old)
+
+
+def test_etl_increment_walks_capped_slices_and_recovers(spark, tmp_shared):
+    from ratelake.streaming.etl import run_etl_increment
+
+    raw = venue_rows(spark, SF001)
+    topic = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    args = (spark, raw, "venue_id", f"{tmp_shared}/lake", f"{tmp_shared}/dlq", topic, f"{tmp_shared}/state")
+
+    def boom(batch_id):
+        if batch_id == 1:
+            raise RuntimeError("injected failure after the lake write")
+
+    assert run_etl_increment(*args, cap=60) == 0
+    with pytest.raises(RuntimeError):
+        run_etl_increment(*args, cap=60, after_lake_write=boom)
+    ids = []
+    while (b := run_etl_increment(*args, cap=60)) is not None:
+        ids.append(b)
+    assert ids == [1, 2]  # the failed batch 1 was repeated, then batch 2
+    lake = read_lake(spark, f"{tmp_shared}/lake")
+    assert lake.count() == 147 and lake.select("restaurant_name").distinct().count() == 147
+    per_batch = {r.batch_id: r["count"] for r in lake.groupBy("batch_id").count().collect()}
+    dlq = read_dlq(spark, f"{tmp_shared}/dlq")
+    bad = {r.batch_id: r["count"] for r in dlq.groupBy("batch_id").count().collect()}
+    # 60 + 60 + 30 source rows per batch, split between lake and DLQ
+    assert {b: per_batch.get(b, 0) + bad.get(b, 0) for b in (0, 1, 2)} == {0: 60, 1: 60, 2: 30}
