@@ -97,16 +97,16 @@ def leave_one_out_context(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Leak-free variant: each row against the mean of the *other* rows of its
-    group, ``(sum - x) / (n - 1)`` (null for a group of one or a null value),
-    so a row's own label never enters its feature."""
+    group - the group's sum and count without the row's own value - so a
+    row's own label never enters its feature. Null when no other row has a
+    value; a row with a null value is compared with the whole group."""
     keys = list(keys)
     stats = group_stats(df, value, keys)
     j = join_on_keys(df, stats, keys, how="left", max_broadcast_rows=max_broadcast_rows)
     x = F.col(value)
-    loo = F.when(x.isNull(), F.lit(None)).otherwise(
-        F.try_divide(F.col("_sum") - x, (F.col("_n") - 1).cast("double"))
-    )
-    out = j.withColumn(mean_col, F.when(F.col("_n") > 1, loo)).drop("_sum", "_n")
+    others_sum = F.col("_sum") - F.coalesce(x, F.lit(0))
+    others_n = F.col("_n") - F.when(x.isNull(), F.lit(0)).otherwise(F.lit(1))
+    out = j.withColumn(mean_col, F.try_divide(others_sum, others_n.cast("double"))).drop("_sum", "_n")
     return out.withColumn(diff_col, x - F.col(mean_col))
 
 

@@ -266,13 +266,18 @@ def q_group_context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_context(spark, sf_dir, "window")
 
 
+# mean of the other rows: the group's sum and count without the row's own value
+_LOO = (
+    "(SUM(l_quantity) OVER w - COALESCE(l_quantity, 0)) / "
+    "NULLIF(COUNT(l_quantity) OVER w - CASE WHEN l_quantity IS NULL THEN 0 ELSE 1 END, 0)"
+)
+
+
 @register(
     "group_context_loo",
     f"""SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity,
-      {sql_rnd("(SUM(l_quantity) OVER w - l_quantity) / NULLIF(COUNT(l_quantity) OVER w - 1, 0)")}
-        AS supp_loo_quantity,
-      {sql_rnd("l_quantity - (SUM(l_quantity) OVER w - l_quantity) / NULLIF(COUNT(l_quantity) OVER w - 1, 0)")}
-        AS quantity_diff_loo
+      {sql_rnd(_LOO)} AS supp_loo_quantity,
+      {sql_rnd(f"l_quantity - {_LOO}")} AS quantity_diff_loo
     FROM lineitem WINDOW w AS (PARTITION BY l_suppkey)""",
 )
 def q_group_context_loo(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,3 +153,15 @@ def test_r2_constant_label_is_null(spark):
     r = regression_metrics(df).collect()[0]
     assert r.r2 is None
     assert abs(r.rmse - math.sqrt(0.5)) < 1e-12
+
+
+def test_leave_one_out_mean(spark):
+    from ratelake.operators.context import leave_one_out_context
+
+    df = spark.createDataFrame(
+        [("a", 1.0), ("a", 3.0), ("a", None), ("b", 5.0)], "g string, x double"
+    )
+    got = {(r.g, r.x): r.m for r in leave_one_out_context(df, "x", ["g"], "m", "d").collect()}
+    assert got[("a", 1.0)] == 3.0 and got[("a", 3.0)] == 1.0
+    assert got[("a", None)] == 2.0  # a null row is compared with the whole group
+    assert got[("b", 5.0)] is None  # no other row
