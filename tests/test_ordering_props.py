@@ -62,3 +62,31 @@ def test_exact_quantiles_equal_numpy(spark, rows, probs):
         assert len(row) == 1
         want = np.quantile(grp["v"].to_numpy(), probs, method="linear")
         assert np.allclose(row.iloc[0, 1:].to_numpy(dtype=float), want, atol=1e-9)
+
+
+_countries = st.lists(
+    st.one_of(
+        st.sampled_from(["", " ", "ES", "a/b", "k=v", "100%", "Côte d'Ivoire", "日本", "x y"]),
+        st.text(alphabet=st.characters(blacklist_categories=("Cs", "Cc")), max_size=6),
+    ),
+    min_size=1,
+    max_size=12,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(countries=_countries)
+def test_lake_roundtrip_any_country_text(spark, countries):
+    from ratelake.contract import CONTRACT_SCHEMA
+    from ratelake.session import shared_path
+    from ratelake.sources.lake import read_lake, write_batch
+
+    rows = [
+        tuple({"restaurant_name": f"r{i}", "country": c}.get(f.name) for f in CONTRACT_SCHEMA.fields)
+        for i, c in enumerate(countries)
+    ]
+    df = spark.createDataFrame(rows, CONTRACT_SCHEMA)
+    root = shared_path(spark, "lake_prop")
+    write_batch(df, root, 7)
+    got = sorted((r.restaurant_name, r.country) for r in read_lake(spark, root).collect())
+    assert got == sorted((f"r{i}", c) for i, c in enumerate(countries))
