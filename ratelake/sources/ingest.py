@@ -3,7 +3,8 @@
 The reference re-reads its whole CSV and slices it by row position. Row
 position has no stable meaning in a distributed file scan, so a slice here is
 defined on a key: rows with ``key > after`` in key order, ``cap`` at a time
-(``cap = 0``: everything pending). For streams, the file source's offset log
+(``cap = 0``: everything pending), taken as a range filter once the slice's
+last key is known. For streams, the file source's offset log
 plays the watermark's role instead (see ``ratelake.streaming.etl``).
 """
 
@@ -47,13 +48,36 @@ def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.1
     )
 
 
+# a top-k over the key column alone stays cheap up to this many keys per
+# task; beyond it the boundary comes from exact distributed positions
+TOPK_KEY_LIMIT = 20_000_000
+
+
+def slice_boundary(df: DataFrame, key: str, after=None, cap: int = 0):
+    """The last key of the next slice: the ``cap``-th smallest key above
+    ``after`` (the largest pending key when fewer are pending; None when
+    nothing is pending). Only the narrow key column is ordered: a per-task
+    top-``cap`` of keys for moderate caps, distributed positions beyond."""
+    keys = (df if after is None else df.filter(F.col(key) > F.lit(after))).select(key)
+    if cap <= TOPK_KEY_LIMIT:
+        return keys.orderBy(F.col(key)).limit(int(cap)).agg(F.max(key)).first()[0]
+    pos = global_position(keys, [key], out="_pos")
+    last = pos.filter(F.col("_pos") < F.lit(int(cap))).agg(F.max(key)).first()[0]
+    return last
+
+
 def next_slice(df: DataFrame, key: str, after=None, cap: int = 0) -> DataFrame:
     """The next pending slice: ``key > after`` in key order, at most ``cap``
-    rows (``cap = 0``: all pending rows, no ordering needed). With a cap the
-    plan is a per-task top-``cap`` merged in one task, bounded by ``cap``."""
+    rows (``cap = 0``: all pending rows). With a cap, the slice's last key is
+    found first on the key column alone, and the slice itself is a range
+    filter: rows stay in their partitions and are never gathered in one task
+    (``key`` must be unique for exactly ``cap`` rows)."""
     pending = df if after is None else df.filter(F.col(key) > F.lit(after))
     if cap and cap > 0:
-        return pending.orderBy(F.col(key)).limit(int(cap))
+        last = slice_boundary(df, key, after, cap)
+        if last is None:
+            return pending.filter(F.lit(False))
+        return pending.filter(F.col(key) <= F.lit(last))
     return pending
 
 
