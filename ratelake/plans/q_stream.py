@@ -351,7 +351,10 @@ def q_etl_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.streaming.etl import run_etl_increment
 
     root = shared_path(spark, "etl_increment")
-    raw = venue_rows(spark, sf_dir)
+    # the source table the scheduled job reads (as the reference reads its
+    # exported file): each run's key filter is pushed into this scan
+    venue_rows(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/source")
+    raw = spark.read.parquet(f"{root}/source")
     cap = max(1, math.ceil(raw.count() / INCREMENT_RUNS))
     topic = TopicSpec(kind="files", path=f"{root}/topic")
     args = (spark, raw, "venue_id", f"{root}/lake", f"{root}/dlq", topic, f"{root}/state")

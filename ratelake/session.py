@@ -132,3 +132,54 @@ def list_batch_ids(spark: SparkSession, root: str, column: str = "batch_id") ->
             except ValueError:
                 pass
     return sorted(out)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_marker(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file atomically (temp file, then rename), the way a
+    streaming offset log commits: a reader sees the old state or the new one,
+    never half a file. Metadata-sized; no Spark job."""
+    final, fs = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex[:8]}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(final):
+        fs.delete(final, False)
+    if not fs.rename(tmp, final):
+        raise OSError(f"could not commit {path}")
+
+
+def read_marker(spark: SparkSession, path: str) -> str:
+    """Read a marker written by ``write_marker``."""
+    p, fs = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        while (line := reader.readLine()) is not None:
+            lines.append(line)
+        return "\n".join(lines)
+    finally:
+        stream.close()
+
+
+def list_markers(spark: SparkSession, root: str, suffix: str = ".json") -> list[str]:
+    """Names of the committed markers under ``root`` (temp files excluded)."""
+    p, fs = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    return sorted(
+        st.getPath().getName()
+        for st in fs.listStatus(p)
+        if st.isFile() and st.getPath().getName().endswith(suffix)
+    )

@@ -162,35 +162,41 @@ def run_etl_increment(
     """One run of the ETL as a scheduled batch job (the streaming form's
     twin for sources that are tables rather than landing files).
 
-    The committed progress is ``<state>/commits/batch_id=N`` (one row: the
-    last key of batch N). A run takes the next slice - rows with ``key``
+    The committed progress is ``<state>/commits/<N>.json`` (the last key of
+    batch N), written atomically by rename after the batch's writes, like a
+    streaming offset log. A run takes the next slice - rows with ``key``
     greater than the last committed key, in key order, at most ``cap`` rows
     (``cap = 0``: everything pending) - processes it as batch N+1 with the
-    same body as the stream (DLQ, lake, publish) and only then writes the
-    commit. A failed run leaves no commit, so the next run repeats the same
-    slice under the same batch id and replaces its lake and DLQ folders.
-    Returns the batch id, or None when there was nothing new.
+    same body as the stream (DLQ, lake, publish) and only then commits. A
+    failed run leaves no commit, so the next run repeats the same slice
+    under the same batch id and replaces its lake and DLQ folders. Returns
+    the batch id, or None when there was nothing new.
     """
+    import json
+
     from pyspark.sql import functions as F
 
-    from ratelake.session import list_batch_ids
-    from ratelake.sources.ingest import next_slice
+    from ratelake.session import list_markers, read_marker, write_marker
+    from ratelake.sources.ingest import slice_boundary
 
     commits = f"{state.rstrip('/')}/commits"
-    done = list_batch_ids(spark, commits)
-    after = None
+    done = list_markers(spark, commits)
+    after, batch_id = None, 0
     if done:
-        after = spark.read.parquet(batch_path(commits, done[-1])).first()["last_key"]
-    batch_id = done[-1] + 1 if done else 0
-
-    pending = next_slice(source, key, after, cap).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        last = pending.agg(F.max(F.col(key)).alias("last_key")).first()["last_key"]
-        if last is None:
-            return None  # no new data: nothing written, nothing committed
-        make_batch_processor(spark, lake, dlq, topic, **processor_options)(pending, batch_id)
-        marker = spark.createDataFrame([(last,)], f"last_key {source.schema[key].dataType.simpleString()}")
-        marker.coalesce(1).write.mode("overwrite").parquet(batch_path(commits, batch_id))
-        return batch_id
-    finally:
-        pending.unpersist()
+        last_commit = json.loads(read_marker(spark, f"{commits}/{done[-1]}"))
+        after = F.lit(last_commit["last_key"]).cast(source.schema[key].dataType)
+        batch_id = int(last_commit["batch_id"]) + 1
+
+    pending = source if after is None else source.filter(F.col(key) > after)
+    last = (
+        slice_boundary(pending, key, None, cap)
+        if cap and cap > 0
+        else pending.agg(F.max(F.col(key))).first()[0]
+    )
+    if last is None:
+        return None  # no new data: nothing written, nothing committed
+    batch = pending.filter(F.col(key) <= F.lit(last))
+    make_batch_processor(spark, lake, dlq, topic, **processor_options)(batch, batch_id)
+    marker = {"batch_id": batch_id, "last_key": last if isinstance(last, (int, float, str)) else str(last)}
+    write_marker(spark, f"{commits}/{batch_id:020d}.json", json.dumps(marker))
+    return batch_id
