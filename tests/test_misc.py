@@ -62,3 +62,19 @@ def test_next_slice_is_a_range_filter(spark):
     assert got2 == got
     assert next_slice(ev, "event_id", 10**9, 5).count() == 0
     assert next_slice(ev.filter(F.col("event_id") < 120), "event_id", 99, 250).count() == 20
+
+
+def test_describe_approx_quartiles_within_rank_error(spark):
+    from ratelake.operators.profile import describe_column
+
+    li = table(spark, SF001, "lineitem")
+    exact = describe_column(li, "l_extendedprice").first()
+    approx = describe_column(li, "l_extendedprice", approx_accuracy=10_000).first()
+    vals = sorted(r.l_extendedprice for r in li.select("l_extendedprice").collect())
+    n = len(vals)
+    for name, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75)):
+        # the approximate value's rank is within n / accuracy (+1) of p * n
+        rank = sum(1 for v in vals if v <= approx[name])
+        assert abs(rank - p * n) <= n / 10_000 + 1
+        assert abs(approx[name] - exact[name]) <= (vals[-1] - vals[0])
+    assert approx["count"] == exact["count"] and approx["mean"] == exact["mean"]
