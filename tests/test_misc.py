@@ -78,3 +78,16 @@ def test_describe_approx_quartiles_within_rank_error(spark):
         assert abs(rank - p * n) <= n / 10_000 + 1
         assert abs(approx[name] - exact[name]) <= (vals[-1] - vals[0])
     assert approx["count"] == exact["count"] and approx["mean"] == exact["mean"]
+
+
+def test_boxplot_approx_matches_exact_on_few_values(spark):
+    from ratelake.operators.profile import boxplot_stats
+
+    ev = table(spark, SF001, "events")
+    exact = {r.event_type: r for r in boxplot_stats(ev, "value", "event_type").collect()}
+    approx = {r.event_type: r for r in boxplot_stats(ev, "value", "event_type", approx_accuracy=100_000).collect()}
+    assert exact.keys() == approx.keys()
+    for k in exact:
+        assert exact[k].n == approx[k].n and exact[k]["min"] == approx[k]["min"]
+        # with small groups the sketch is exact up to interpolation between neighbours
+        assert approx[k].q1 <= exact[k].q3 and approx[k].q3 >= exact[k].q1
