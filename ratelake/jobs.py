@@ -15,7 +15,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from ratelake.contract import CONTRACT_COLUMNS
+from ratelake.contract import CONTRACT_COLUMNS, HISTOGRAM_BINS
 from ratelake.session import build_session
 from ratelake.sources.topic import TopicSpec
 
@@ -93,9 +93,9 @@ def cmd_profile(spark, a) -> None:
     elif a.format == "csv":
         r = r.option("inferSchema", "true")
     raw = r.format(a.format).load(a.input)
-    describe_column(raw, a.column).show(truncate=False)
+    describe_column(raw, a.column, approx_accuracy=a.approx_accuracy).show(truncate=False)
     histogram(raw, a.column, a.bins).show(truncate=False)
-    boxplot_stats(raw, a.column, a.by).show(truncate=False)
+    boxplot_stats(raw, a.column, a.by, approx_accuracy=a.approx_accuracy).show(truncate=False)
     corr_matrix(eda_frame(raw), EDA_COLUMNS).show(50, truncate=False)
 
 
@@ -133,7 +133,9 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--schema", default=None, help="DDL of the rows (CSV: inferred if omitted)")
     f.add_argument("--column", default="avg_rating")
     f.add_argument("--by", default="price_level")
-    f.add_argument("--bins", type=int, default=10)
+    f.add_argument("--bins", type=int, default=HISTOGRAM_BINS)
+    f.add_argument("--approx-accuracy", type=int, default=None,
+                   help="percentile_approx quartiles (one pass) instead of exact ones")
     return ap
 
 
