@@ -91,3 +91,14 @@ def test_boxplot_approx_matches_exact_on_few_values(spark):
         assert exact[k].n == approx[k].n and exact[k]["min"] == approx[k]["min"]
         # with small groups the sketch is exact up to interpolation between neighbours
         assert approx[k].q1 <= exact[k].q3 and approx[k].q3 >= exact[k].q1
+
+
+def test_xxhash_split_is_layout_independent(spark):
+    from ratelake.operators.model import with_split
+
+    o = table(spark, SF001, "orders").select("o_orderkey")
+    a = with_split(o.repartition(1), ["o_orderkey"], method="xxhash64")
+    b = with_split(o.repartition(7), ["o_orderkey"], method="xxhash64")
+    assert a.exceptAll(b).count() == 0
+    frac = a.filter("split = 'train'").count() / o.count()
+    assert 0.7 < frac < 0.9
