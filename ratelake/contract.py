@@ -81,9 +81,12 @@ def to_contract(
     """Project ``df`` to the contract columns, in order, cast to the contract
     types. Casting the integer columns here (before any JSON encoding) keeps a
     float-typed count from being lost by the strict reader downstream.
-    ``keep`` names extra columns (e.g. a row key) carried in front."""
+    ``try_cast``: a value the contract type cannot hold (e.g. a count beyond
+    the int range) becomes null, as it would on the wire, instead of failing
+    the whole job under ANSI mode. ``keep`` names extra columns (e.g. a row
+    key) carried in front."""
     return df.select(
-        *keep, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        *keep, *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
     )
 
 

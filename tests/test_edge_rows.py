@@ -165,3 +165,12 @@ def test_leave_one_out_mean(spark):
     assert got[("a", 1.0)] == 3.0 and got[("a", 3.0)] == 1.0
     assert got[("a", None)] == 2.0  # a null row is compared with the whole group
     assert got[("b", 5.0)] is None  # no other row
+
+
+def test_contract_projection_does_not_fail_on_out_of_range(spark):
+    from ratelake.contract import to_contract
+
+    df = spark.createDataFrame([(1e10,), (26.0,)], "total_reviews_count double")
+    full = df.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in CONTRACT_SCHEMA.fields if f.name != "total_reviews_count"], "total_reviews_count")
+    got = [r.total_reviews_count for r in to_contract(full).collect()]
+    assert got == [None, 26]
