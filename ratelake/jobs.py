@@ -51,6 +51,7 @@ def cmd_etl(spark, a) -> None:
     run_etl_stream(
         spark, a.landing, _landing_schema(spark, a), a.lake, a.dlq, _topic(a), a.checkpoint,
         source_format=a.format, max_files_per_trigger=a.max_files_per_trigger,
+        max_bytes_per_trigger=a.max_bytes_per_trigger,
         trigger=a.trigger, context_scope=a.context_scope, malformed_to_dlq=a.malformed_to_dlq,
     )
 
@@ -111,6 +112,8 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--dlq", required=True)
     e.add_argument("--checkpoint", required=True)
     e.add_argument("--max-files-per-trigger", type=int, default=None)
+    e.add_argument("--max-bytes-per-trigger", type=int, default=None,
+                   help="bound each micro-batch by input bytes (at least one file)")
     e.add_argument("--trigger", default="availableNow")
     e.add_argument("--context-scope", default="batch", choices=["batch", "lake"])
     e.add_argument("--malformed-to-dlq", action="store_true")

@@ -109,6 +109,7 @@ def run_etl_stream(
     trigger: str = "availableNow",
     timeout_s: float | None = None,
     malformed_to_dlq: bool = False,
+    max_bytes_per_trigger: int | None = None,
     clean_source: str | None = None,
     archive_dir: str | None = None,
     **processor_options,
@@ -127,6 +128,9 @@ def run_etl_stream(
     r = spark.readStream.format(source_format)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        # size-bounded micro-batches (at least one file each)
+        r = r.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger)))
     if clean_source:
         r = r.option("cleanSource", clean_source)
         if archive_dir:

@@ -289,3 +289,12 @@ def test_etl_increment_walks_capped_slices_and_recovers(spark, tmp_shared):
     bad = {r.batch_id: r["count"] for r in dlq.groupBy("batch_id").count().collect()}
     # 60 + 60 + 30 source rows per batch, split between lake and DLQ
     assert {b: per_batch.get(b, 0) + bad.get(b, 0) for b in (0, 1, 2)} == {0: 60, 1: 60, 2: 30}
+
+
+def test_etl_byte_capped_micro_batches(spark, tmp_shared):
+    raw = _landing(spark, tmp_shared, 3)
+    topic = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    q = run_etl_stream(spark, f"{tmp_shared}/landing", raw.schema, f"{tmp_shared}/lake", f"{tmp_shared}/dlq",
+                       topic, f"{tmp_shared}/ckpt", max_bytes_per_trigger=1024, timeout_s=300)
+    assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) == 3  # one file per batch
+    assert read_lake(spark, f"{tmp_shared}/lake").count() == 147
