@@ -28,11 +28,12 @@ from ratelake.plans.registry import (
     round_contract,
     sql_rnd,
 )
+from ratelake.operators.model import VENUE_KEY, fit_linear, hash_split, training_rows
 from ratelake.plans.venue import venue_pipeline, venue_rows
 from ratelake.session import shared_path
 from ratelake.sources.lake import read_dlq, read_lake
+from ratelake.sources.tables import table
 from ratelake.sources.topic import TopicSpec, publish, read_topic
-from ratelake.operators.model import VENUE_KEY, fit_linear, hash_split, training_rows
 from ratelake.streaming.consumer import (
     ConsumerPaths,
     dedup,
@@ -43,8 +44,7 @@ from ratelake.streaming.consumer import (
     start_filter_append,
     start_raw_audit,
 )
-from ratelake.sources.tables import table
-from ratelake.streaming.etl import run_etl_stream
+from ratelake.streaming.etl import run_etl_increment, run_etl_stream
 from ratelake.streaming.inference import score_stream, start_scoring
 
 EVENTS_SCHEMA = StructType(
@@ -346,16 +346,12 @@ b AS (SELECT *, CAST((ROW_NUMBER() OVER (ORDER BY venue_id) - 1)
 
 @register("etl_increment", f"WITH {_INCREMENT_SQL} SELECT batch_id, {_CONTRACT_ROUNDED_SQL} FROM pipeline")
 def q_etl_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import math
-
-    from ratelake.streaming.etl import run_etl_increment
-
     root = shared_path(spark, "etl_increment")
     # the source table the scheduled job reads (as the reference reads its
     # exported file): each run's key filter is pushed into this scan
     venue_rows(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/source")
     raw = spark.read.parquet(f"{root}/source")
-    cap = max(1, math.ceil(raw.count() / INCREMENT_RUNS))
+    cap = max(1, -(-raw.count() // INCREMENT_RUNS))  # ceiling division
     topic = TopicSpec(kind="files", path=f"{root}/topic")
     args = (spark, raw, "venue_id", f"{root}/lake", f"{root}/dlq", topic, f"{root}/state")
     while run_etl_increment(*args, cap=cap) is not None:
