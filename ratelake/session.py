@@ -183,3 +183,9 @@ def list_markers(spark: SparkSession, root: str, suffix: str = ".json") -> list[
         for st in fs.listStatus(p)
         if st.isFile() and st.getPath().getName().endswith(suffix)
     )
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` if it exists (metadata operation)."""
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p) and fs.delete(p, True))

@@ -198,7 +198,8 @@ def run_consumer_fused(
     * ``audit/batch_id=N`` - every parsed row (Parquet),
     * ``niche_csv/batch_id=N`` - the filtered rows (CSV, no header),
     * ``counts/batch_id=N`` - running counts by ``key``: the batch's counts
-      merged with ``counts/batch_id=N-1`` (one row per key).
+      merged with ``counts/batch_id=N-1`` (one row per key); versions older
+      than N-1 are deleted, so two versions exist at any time.
 
     Every write overwrites its own batch folder, so a replayed batch leaves
     no duplicates; the latest ``counts`` folder is the complete-mode table.
@@ -207,7 +208,7 @@ def run_consumer_fused(
     """
     from pyspark import StorageLevel
 
-    from ratelake.session import path_exists
+    from ratelake.session import delete_path, path_exists
     from ratelake.sources.lake import batch_path
 
     paths = ConsumerPaths(root)
@@ -227,6 +228,9 @@ def run_consumer_fused(
                     .agg(F.sum("count").alias("count"))
                 )
             counts.write.mode("overwrite").parquet(batch_path(paths.counts, batch_id))
+            # a replay of this batch needs only version N-1: older ones can go
+            if batch_id >= 2:
+                delete_path(spark, batch_path(paths.counts, batch_id - 2))
         finally:
             batch.unpersist()
 

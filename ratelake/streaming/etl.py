@@ -33,7 +33,7 @@ from ratelake.functions.wire import encode_json
 from ratelake.operators.context import group_stats, merge_stats
 from ratelake.operators.quality import split
 from ratelake.plans.venue import transform_good
-from ratelake.session import path_exists
+from ratelake.session import delete_path, path_exists
 from ratelake.sources.ingest import CORRUPT_COLUMN
 from ratelake.sources.lake import batch_path, read_lake, write_batch, write_dlq
 from ratelake.sources.topic import TopicSpec, publish
@@ -71,6 +71,9 @@ def make_batch_processor(
             if batch_id > 0 and path_exists(spark, prev_path):
                 cur = merge_stats(cur, spark.read.parquet(prev_path), keys)
             cur.write.mode("overwrite").parquet(batch_path(stats_root, batch_id))
+            # a retry of this batch needs only version N-1: older ones can go
+            if batch_id >= 2:
+                delete_path(spark, batch_path(stats_root, batch_id - 2))
             return spark.read.parquet(batch_path(stats_root, batch_id))
 
         return build

@@ -298,3 +298,15 @@ def test_etl_byte_capped_micro_batches(spark, tmp_shared):
                        topic, f"{tmp_shared}/ckpt", max_bytes_per_trigger=1024, timeout_s=300)
     assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) == 3  # one file per batch
     assert read_lake(spark, f"{tmp_shared}/lake").count() == 147
+
+
+def test_versioned_state_keeps_two_versions(spark, tmp_shared):
+    from ratelake.session import list_batch_ids
+    from ratelake.streaming.consumer import latest_counts, run_consumer_fused
+
+    rows = venue_pipeline(venue_rows(spark, SF001))
+    spec = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    publish(encode_json(rows), spec, files=4)
+    run_consumer_fused(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300)
+    assert list_batch_ids(spark, ConsumerPaths(f"{tmp_shared}/out").counts) == [2, 3]
+    assert sum(r["count"] for r in latest_counts(spark, f"{tmp_shared}/out").collect()) == rows.count()
