@@ -53,6 +53,7 @@ def cmd_etl(spark, a) -> None:
         source_format=a.format, max_files_per_trigger=a.max_files_per_trigger,
         max_bytes_per_trigger=a.max_bytes_per_trigger,
         trigger=a.trigger, context_scope=a.context_scope, malformed_to_dlq=a.malformed_to_dlq,
+        audit=a.audit,
     )
 
 
@@ -117,6 +118,7 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--trigger", default="availableNow")
     e.add_argument("--context-scope", default="batch", choices=["batch", "lake"])
     e.add_argument("--malformed-to-dlq", action="store_true")
+    e.add_argument("--audit", default=None, help="folder for per-batch row counts")
     _add_topic(e)
 
     c = sub.add_parser("consume", help="topic -> audit, filtered CSV, running counts")

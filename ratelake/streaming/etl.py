@@ -31,7 +31,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ratelake.contract import CONTRACT_COLUMNS, CRITICAL_COLUMNS, NUMERIC_COLUMNS, require_columns
 from ratelake.functions.wire import encode_json
 from ratelake.operators.context import group_stats, merge_stats
-from ratelake.operators.quality import split
+from ratelake.operators.quality import batch_audit, split
 from ratelake.plans.venue import transform_good
 from ratelake.session import delete_path, path_exists
 from ratelake.sources.ingest import CORRUPT_COLUMN
@@ -52,6 +52,7 @@ def make_batch_processor(
     context_scope: str = "batch",
     corrupt_column: str | None = None,
     after_lake_write: Callable[[int], None] | None = None,
+    audit: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body. ``after_lake_write`` is a hook called
     between the lake write and the publish (tests inject failures there).
@@ -60,7 +61,11 @@ def make_batch_processor(
     reference's behaviour with a per-run cap). ``"lake"``: means over every
     row ingested so far, from a cumulative ``(keys, sum, n)`` table kept under
     ``<lake>/_group_stats/batch_id=N`` (a retry of N rebuilds it from N-1).
-    Rows written by earlier batches keep the mean of their time."""
+    Rows written by earlier batches keep the mean of their time.
+
+    ``audit`` (a folder) receives ``batch_id=N`` with the batch's row counts
+    (total, good, bad, nulls per critical column): one small aggregate over
+    the persisted batch, the run report as a table."""
     keys = list(context_keys)
     stats_root = f"{lake.rstrip('/')}/_group_stats"
 
@@ -81,6 +86,10 @@ def make_batch_processor(
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if audit:
+                batch_audit(batch, critical).coalesce(1).write.mode("overwrite").parquet(
+                    batch_path(audit, batch_id)
+                )
             good, bad = split(batch, critical, with_reason=True, corrupt_column=corrupt_column)
             write_dlq(bad, dlq, batch_id)
             stats_fn = cumulative_stats(batch_id) if context_scope == "lake" else None

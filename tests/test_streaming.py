@@ -275,7 +275,9 @@ def test_etl_increment_walks_capped_slices_and_recovers(spark, tmp_shared):
         if batch_id == 1:
             raise RuntimeError("injected failure after the lake write")
 
-    assert run_etl_increment(*args, cap=60) == 0
+    assert run_etl_increment(*args, cap=60, audit=f"{tmp_shared}/audit") == 0
+    a0 = spark.read.parquet(f"{tmp_shared}/audit/batch_id=0").first()
+    assert (a0.n_rows, a0.n_good + a0.n_bad) == (60, 60)
     with pytest.raises(RuntimeError):
         run_etl_increment(*args, cap=60, after_lake_write=boom)
     ids = []
