@@ -14,6 +14,9 @@ Plan:
    coalesce adjacent small ranges, which keeps them ordered).
 2. ``mapInPandas`` computes the running sum inside each sorted partition
    (vectorised numpy/pandas per Arrow batch, state carried across batches).
+   The built-in equivalent, a window partitioned by the partition id, needs
+   its own hash exchange on that id, which is a second full shuffle; the
+   in-task cumsum keeps the range partitioning it runs on.
 3. The result is written once as Parquet to the shared folder, so the
    summary pass and the final pass read the very same rows (lineage cut,
    retry-safe, compressed and columnar).
