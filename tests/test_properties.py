@@ -201,3 +201,10 @@ def test_hot_key_beyond_broadcast_bound_uses_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_global_position_composite_key(spark):
+    li = table(spark, SF01, "lineitem").select("l_orderkey", "l_linenumber")
+    pdf = global_position(li, ["l_orderkey", "l_linenumber"], out="pos").toPandas()
+    pdf = pdf.sort_values(["l_orderkey", "l_linenumber"]).reset_index(drop=True)
+    assert (pdf["pos"].to_numpy() == np.arange(len(pdf))).all() and len(pdf) == 60000
