@@ -25,14 +25,18 @@ class TopicSpec:
     idempotent: bool = True
     extra: dict[str, str] = field(default_factory=dict)
 
+    def kafka_source_options(self) -> dict[str, str]:
+        """Client options shared by readers and writers (servers plus
+        ``extra``, e.g. ``kafka.security.protocol``)."""
+        return {"kafka.bootstrap.servers": self.bootstrap_servers or "", **self.extra}
+
     def kafka_options(self) -> dict[str, str]:
-        opts = {
-            "kafka.bootstrap.servers": self.bootstrap_servers or "",
+        """Sink options: the shared ones plus acknowledgement settings."""
+        return {
+            **self.kafka_source_options(),
             "kafka.acks": self.acks,
             "kafka.enable.idempotence": str(self.idempotent).lower(),
         }
-        opts.update(self.extra)
-        return opts
 
 
 def publish(encoded: DataFrame, spec: TopicSpec, files: int | None = None) -> None:
@@ -60,9 +64,8 @@ def read_topic(spark: SparkSession, spec: TopicSpec) -> DataFrame:
     if spec.kind == "kafka":
         r = spark.read.format("kafka").option("subscribe", spec.topic)
         r = r.option("startingOffsets", "earliest")
-        for k, v in spec.kafka_options().items():
-            if k == "kafka.bootstrap.servers":
-                r = r.option(k, v)
+        for k, v in spec.kafka_source_options().items():
+            r = r.option(k, v)
         return r.load().selectExpr("CAST(value AS STRING) AS value")
     return spark.read.text(spec.path)
 
@@ -79,10 +82,11 @@ def stream_topic(
     if spec.kind == "kafka":
         r = (
             spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", spec.bootstrap_servers)
             .option("subscribe", spec.topic)
             .option("startingOffsets", starting_offsets)
         )
+        for k, v in spec.kafka_source_options().items():
+            r = r.option(k, v)
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(max_per_trigger))
         return r.load().selectExpr("CAST(value AS STRING) AS value")

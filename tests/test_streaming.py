@@ -181,10 +181,13 @@ def test_count_update_mode_and_console_sink(spark, tmp_shared):
 
 
 def test_kafka_options_and_missing_connector(spark):
-    spec = TopicSpec(kind="kafka", bootstrap_servers="broker:9092", topic="venues")
+    spec = TopicSpec(kind="kafka", bootstrap_servers="broker:9092", topic="venues",
+                     extra={"kafka.security.protocol": "SSL"})
     opts = spec.kafka_options()
     assert opts["kafka.acks"] == "all" and opts["kafka.enable.idempotence"] == "true"
-    assert opts["kafka.bootstrap.servers"] == "broker:9092"
+    assert opts["kafka.bootstrap.servers"] == "broker:9092" and opts["kafka.security.protocol"] == "SSL"
+    src = spec.kafka_source_options()
+    assert "kafka.acks" not in src and src["kafka.security.protocol"] == "SSL"
     df = spark.createDataFrame([("{}",)], "value string")
     with pytest.raises(Exception) as ei:
         publish(df, spec)
