@@ -12,6 +12,7 @@ state entry per country (a few hundred at most), never evicted.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -189,6 +190,7 @@ def run_consumer_fused(
     trigger: str | None = "availableNow",
     max_per_trigger: int | None = None,
     timeout_s: float | None = None,
+    after_audit: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """The three consumer outputs from **one** read of the topic.
 
@@ -204,7 +206,8 @@ def run_consumer_fused(
     Every write overwrites its own batch folder, so a replayed batch leaves
     no duplicates; the latest ``counts`` folder is the complete-mode table.
     Compared with three queries, the source is read once instead of three
-    times and there is one checkpoint instead of three.
+    times and there is one checkpoint instead of three. ``after_audit`` is
+    a hook between the first and the other writes (tests inject failures).
     """
     from pyspark import StorageLevel
 
@@ -218,6 +221,8 @@ def run_consumer_fused(
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             batch.write.mode("overwrite").parquet(batch_path(paths.audit, batch_id))
+            if after_audit is not None:
+                after_audit(batch_id)
             batch.filter(niche_filter()).write.mode("overwrite").csv(batch_path(paths.niche, batch_id))
             counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
             prev = batch_path(paths.counts, batch_id - 1)

@@ -315,3 +315,24 @@ def test_versioned_state_keeps_two_versions(spark, tmp_shared):
     run_consumer_fused(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300)
     assert list_batch_ids(spark, ConsumerPaths(f"{tmp_shared}/out").counts) == [2, 3]
     assert sum(r["count"] for r in latest_counts(spark, f"{tmp_shared}/out").collect()) == rows.count()
+
+
+def test_fused_consumer_replay_is_idempotent(spark, tmp_shared):
+    from ratelake.streaming.consumer import latest_counts, run_consumer_fused
+
+    rows = venue_pipeline(venue_rows(spark, SF001))
+    spec = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    publish(encode_json(rows), spec, files=3)
+
+    def boom(batch_id):
+        if batch_id == 1:
+            raise RuntimeError("injected failure after the audit write")
+
+    with pytest.raises(Exception):
+        run_consumer_fused(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300, after_audit=boom)
+    run_consumer_fused(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300)
+    p = ConsumerPaths(f"{tmp_shared}/out")
+    audit = spark.read.parquet(p.audit)
+    assert audit.count() == rows.count() and audit.select("restaurant_name").distinct().count() == rows.count()
+    want = {r.country: r["count"] for r in rows.groupBy("country").count().collect()}
+    assert {r.country: r["count"] for r in latest_counts(spark, f"{tmp_shared}/out").collect()} == want
