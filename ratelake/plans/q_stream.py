@@ -38,6 +38,7 @@ from ratelake.streaming.consumer import (
     ConsumerPaths,
     dedup,
     latest_counts,
+    latest_snapshot,
     parsed_stream,
     run_consumer_fused,
     start_count,
@@ -172,7 +173,7 @@ def q_stream_count_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_path(spark, "stream_count")
     parsed = parsed_stream(spark, spec, max_per_trigger=1)
     _await(start_count(parsed, f"{root}/_ckpt", snapshot_path=f"{root}/snapshot"))
-    return spark.read.parquet(f"{root}/snapshot")
+    return latest_snapshot(spark, f"{root}/snapshot")
 
 
 @register(

@@ -102,17 +102,35 @@ def start_count(
     trigger: str | None = "availableNow",
     name: str | None = None,
 ) -> StreamingQuery:
-    """Running count by ``key``. With ``snapshot_path`` every micro-batch's
-    full table (complete mode) replaces the snapshot folder, so readers always
-    see the latest counts; otherwise ``fmt`` (console / memory) is used."""
+    """Running count by ``key`` in ``complete`` or ``update`` mode.
+
+    With ``snapshot_path`` every micro-batch writes a full count table as
+    version ``<snapshot_path>/batch_id=N``: in complete mode the batch *is*
+    the table; in update mode the batch holds only the changed keys (with
+    their new running totals), merged over version N-1. Readers take the
+    newest version (``latest_snapshot``), so they never see a half-written
+    table, and a replayed batch rewrites its own version. Versions older than
+    N-1 are deleted. Without a path, ``fmt`` (console / memory) is used."""
     counts = running_count(parsed, key)
     w = counts.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     if snapshot_path:
+        spark = parsed.sparkSession
 
         def write_snapshot(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(snapshot_path)
+            from ratelake.session import delete_path, path_exists
+            from ratelake.sources.lake import batch_path
+
+            table = batch
+            prev = batch_path(snapshot_path, batch_id - 1)
+            if mode == "update" and batch_id > 0 and path_exists(spark, prev):
+                old = spark.read.parquet(prev)
+                kept = old.join(batch.select(key), old[key].eqNullSafe(batch[key]), "left_anti")
+                table = kept.unionByName(batch)
+            table.write.mode("overwrite").parquet(batch_path(snapshot_path, batch_id))
+            if batch_id >= 2:
+                delete_path(spark, batch_path(snapshot_path, batch_id - 2))
 
         w = w.foreachBatch(write_snapshot)
     else:
@@ -120,6 +138,16 @@ def start_count(
     return with_trigger(w, trigger).start()
 
 
+def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete count table written by ``start_count``."""
+    from ratelake.session import list_batch_ids
+
+    ids = list_batch_ids(spark, path)
+    if not ids:
+        raise FileNotFoundError(f"no snapshot written under {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/batch_id={ids[-1]}")
+
+
 @dataclass
 class ConsumerPaths:
     root: str

@@ -11,7 +11,7 @@ from ratelake.functions.wire import encode_json, parse_json
 from ratelake.plans.venue import venue_pipeline, venue_rows
 from ratelake.sources.lake import lake_schema, read_dlq, read_lake
 from ratelake.sources.topic import TopicSpec, publish, read_topic
-from ratelake.streaming.consumer import ConsumerPaths, niche_filter, run_consumer
+from ratelake.streaming.consumer import ConsumerPaths, latest_snapshot, niche_filter, run_consumer
 from ratelake.streaming.etl import run_etl_stream
 
 
@@ -27,7 +27,7 @@ def test_consumer_three_queries_match_batch(spark, tmp_shared):
     assert audit.count() == rows.count()
     niche = spark.read.schema(CONTRACT_SCHEMA).csv(p.niche)
     assert niche.count() == rows.filter(niche_filter()).count() == 3
-    counts = {r.country: r["count"] for r in spark.read.parquet(p.counts).collect()}
+    counts = {r.country: r["count"] for r in latest_snapshot(spark, p.counts).collect()}
     want = {r.country: r["count"] for r in rows.groupBy("country").count().collect()}
     assert counts == want
 
@@ -35,7 +35,7 @@ def test_consumer_three_queries_match_batch(spark, tmp_shared):
     publish(encode_json(rows), spec)
     run_consumer(spark, spec, f"{tmp_shared}/out", max_per_trigger=1, timeout_s=300)
     assert spark.read.schema(CONTRACT_SCHEMA).parquet(p.audit).count() == 2 * rows.count()
-    counts2 = {r.country: r["count"] for r in spark.read.parquet(p.counts).collect()}
+    counts2 = {r.country: r["count"] for r in latest_snapshot(spark, p.counts).collect()}
     assert counts2 == {k: 2 * v for k, v in want.items()}
 
 
@@ -336,3 +336,20 @@ def test_fused_consumer_replay_is_idempotent(spark, tmp_shared):
     assert audit.count() == rows.count() and audit.select("restaurant_name").distinct().count() == rows.count()
     want = {r.country: r["count"] for r in rows.groupBy("country").count().collect()}
     assert {r.country: r["count"] for r in latest_counts(spark, f"{tmp_shared}/out").collect()} == want
+
+
+def test_update_mode_snapshot_merges_changed_keys(spark, tmp_shared):
+    from ratelake.streaming.consumer import parsed_stream, start_count
+
+    rows = venue_pipeline(venue_rows(spark, SF001))
+    spec = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    # two batches whose countries differ: the second must not drop the first's keys
+    publish(encode_json(rows.filter("country <= 'ASIA'")), spec, files=1)
+    publish(encode_json(rows.filter("country > 'ASIA'")), spec, files=1)
+    q = start_count(parsed_stream(spark, spec, max_per_trigger=1), f"{tmp_shared}/ck",
+                    mode="update", snapshot_path=f"{tmp_shared}/snap")
+    q.awaitTermination(300)
+    assert q.exception() is None
+    want = {r.country: r["count"] for r in rows.groupBy("country").count().collect()}
+    got = {r.country: r["count"] for r in latest_snapshot(spark, f"{tmp_shared}/snap").collect()}
+    assert got == want
