@@ -187,6 +187,9 @@ def run_etl_increment(
     failed run leaves no commit, so the next run repeats the same slice
     under the same batch id and replaces its lake and DLQ folders. Returns
     the batch id, or None when there was nothing new.
+
+    ``key`` must be unique and non-null, and grow with new data (an id or an
+    ingestion time): rows with a null key are never selected.
     """
     import json
 
