@@ -206,6 +206,17 @@ def dedup(parsed: DataFrame, keys: list[str], event_time: str | None = None,
     ``event_time`` and ``delay`` the state is bounded by the watermark
     (``dropDuplicatesWithinWatermark``)."""
     if event_time and delay:
+        from pyspark.sql.types import TimestampNTZType
+
+        if isinstance(parsed.schema[event_time].dataType, TimestampNTZType):
+            # watermarks need TIMESTAMP: watermark a cast copy (session time
+            # zone), keep the original column as it is
+            marked = parsed.withColumn("_event_time", F.col(event_time).cast("timestamp"))
+            return (
+                marked.withWatermark("_event_time", delay)
+                .dropDuplicatesWithinWatermark(keys)
+                .drop("_event_time")
+            )
         return parsed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
     return parsed.dropDuplicates(keys)
 

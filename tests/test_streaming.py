@@ -353,3 +353,24 @@ def test_update_mode_snapshot_merges_changed_keys(spark, tmp_shared):
     want = {r.country: r["count"] for r in rows.groupBy("country").count().collect()}
     got = {r.country: r["count"] for r in latest_snapshot(spark, f"{tmp_shared}/snap").collect()}
     assert got == want
+
+
+def test_dedup_within_watermark_on_event_time(spark, tmp_shared):
+    from ratelake.functions.wire import to_json_value
+    from ratelake.plans.q_stream import EVENTS_SCHEMA
+    from ratelake.sources.tables import table
+    from ratelake.streaming.consumer import dedup, parsed_stream, start_raw_audit
+
+    ev = table(spark, SF001, "events")
+    spec = TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    msgs = ev.select(to_json_value(ev.columns).alias("value"))
+    publish(msgs, spec, files=2)
+    publish(msgs, spec, files=2)  # every event delivered twice
+    parsed = parsed_stream(spark, spec, EVENTS_SCHEMA, max_per_trigger=1)
+    # state bounded by the event-time watermark instead of growing forever
+    q = start_raw_audit(dedup(parsed, ["event_id"], event_time="ts", delay="365 days"),
+                        f"{tmp_shared}/out", f"{tmp_shared}/ck")
+    q.awaitTermination(300)
+    assert q.exception() is None
+    out = spark.read.parquet(f"{tmp_shared}/out")
+    assert out.count() == ev.count() and out.select("event_id").distinct().count() == ev.count()
