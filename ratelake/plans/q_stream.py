@@ -359,3 +359,61 @@ def q_etl_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
         pass
     lake = read_lake(spark, f"{root}/lake")
     return round_contract(lake.select("batch_id", *CONTRACT_COLUMNS))
+
+
+# --------------------------------------------------------------------------
+# the streaming ETL with lake-scope means: batch b's rows carry the city mean
+# over batches 0..b. The landing folder receives each third of the source
+# (in key order) as its own job of LANDING_FILES files, and the stream takes
+# LANDING_FILES files per trigger (oldest first), so batch b is slice b.
+# --------------------------------------------------------------------------
+
+LANDING_FILES = 4
+
+_LAKE_SCOPE_SQL = f"""WITH {VENUE_CTE},
+b AS (SELECT *, CAST((ROW_NUMBER() OVER (ORDER BY venue_id) - 1)
+                // CAST(CEIL(COUNT(*) OVER () / {float(INCREMENT_RUNS)!r}) AS BIGINT) AS BIGINT) AS batch_id
+      FROM venue),
+good AS (
+  SELECT batch_id, restaurant_name, country, city, latitude, longitude,
+    COALESCE(avg_rating, 0) AS avg_rating,
+    COALESCE(total_reviews_count, 0) AS total_reviews_count,
+    CASE trim(price_level) WHEN '$' THEN 1 WHEN '$$ - $$$' THEN 2 WHEN '$$$$' THEN 3 ELSE 0 END
+      AS price_level_num,
+    CASE WHEN claimed = 'Claimed' THEN 1 ELSE 0 END AS is_claimed,
+    CASE WHEN vegetarian_friendly = 'Y' THEN 1 ELSE 0 END AS is_veg_friendly,
+    CASE WHEN gluten_free = 'Y' THEN 1 ELSE 0 END AS is_gluten_free
+  FROM b WHERE {" AND ".join(f"{c} IS NOT NULL" for c in CRITICAL_COLUMNS)}
+),
+s AS (SELECT batch_id, city, SUM(avg_rating) AS s, COUNT(avg_rating) AS c FROM good GROUP BY batch_id, city),
+cum AS (SELECT batch_id, city,
+          SUM(s) OVER (PARTITION BY city ORDER BY batch_id) / SUM(c) OVER (PARTITION BY city ORDER BY batch_id)
+            AS m
+        FROM s)
+SELECT g.batch_id, restaurant_name, country, g.city, latitude, longitude, avg_rating,
+  {sql_rnd("cum.m")} AS city_avg_rating, {sql_rnd("avg_rating - cum.m")} AS rating_diff_city,
+  CAST(total_reviews_count AS INT) AS total_reviews_count, CAST(price_level_num AS INT) AS price_level_num,
+  CAST(is_claimed AS INT) AS is_claimed, CAST(is_veg_friendly AS INT) AS is_veg_friendly,
+  CAST(is_gluten_free AS INT) AS is_gluten_free
+FROM good g JOIN cum ON g.batch_id = cum.batch_id AND g.city IS NOT DISTINCT FROM cum.city"""
+
+
+@register("etl_stream_lake_scope", _LAKE_SCOPE_SQL)
+def q_etl_stream_lake_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.sources.ingest import slice_walk
+
+    root = shared_path(spark, "etl_lake_scope")
+    raw = venue_rows(spark, sf_dir)
+    cap = max(1, -(-raw.count() // INCREMENT_RUNS))
+    walked = slice_walk(raw, "venue_id", cap, out="_slice")  # materialised once
+    for b in range(INCREMENT_RUNS):
+        # one job per slice: its files are all older than the next slice's
+        walked.filter(F.col("_slice") == b).drop("_slice").repartition(LANDING_FILES).write.mode(
+            "append"
+        ).parquet(f"{root}/landing")
+    topic = TopicSpec(kind="files", path=f"{root}/topic")
+    run_etl_stream(
+        spark, f"{root}/landing", raw.schema, f"{root}/lake", f"{root}/dlq", topic, f"{root}/_ckpt",
+        max_files_per_trigger=LANDING_FILES, timeout_s=900, context_scope="lake",
+    )
+    return round_contract(read_lake(spark, f"{root}/lake").select("batch_id", *CONTRACT_COLUMNS))
