@@ -40,6 +40,7 @@ from ratelake.streaming.consumer import (
     latest_counts,
     latest_snapshot,
     parsed_stream,
+    run_consumer,
     run_consumer_fused,
     start_count,
     start_filter_append,
@@ -189,6 +190,33 @@ def q_stream_consumer_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_counts(spark, root)
 
 
+@register(
+    "stream_count_update",
+    f"WITH {PIPELINE_CTE} SELECT country, CAST(COUNT(*) AS BIGINT) AS count FROM pipeline GROUP BY country",
+)
+def q_stream_count_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running count in update mode: each micro-batch emits only the
+    countries it changed, merged over the previous snapshot version."""
+    spec = _contract_topic(spark, sf_dir, "topic_count_update")
+    root = shared_path(spark, "stream_count_update")
+    parsed = parsed_stream(spark, spec, max_per_trigger=1)
+    _await(start_count(parsed, f"{root}/_ckpt", mode="update", snapshot_path=f"{root}/snapshot"))
+    return latest_snapshot(spark, f"{root}/snapshot")
+
+
+@register(
+    "stream_consumer",
+    f"WITH {PIPELINE_CTE} SELECT country, CAST(COUNT(*) AS BIGINT) AS count FROM pipeline GROUP BY country",
+)
+def q_stream_consumer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three consumer queries started together on one topic in one
+    session (raw audit, filtered CSV, running count); the count table."""
+    spec = _contract_topic(spark, sf_dir, "topic_consumer")
+    root = shared_path(spark, "stream_consumer")
+    run_consumer(spark, spec, root, max_per_trigger=1, timeout_s=600)
+    return latest_snapshot(spark, ConsumerPaths(root).counts)
+
+
 @register(
     "stream_consumer_fused_niche",
     f"WITH {PIPELINE_CTE} SELECT {_CONTRACT_ROUNDED_SQL} FROM pipeline "
