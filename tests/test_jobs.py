@@ -22,6 +22,13 @@ def test_jobs_end_to_end(spark, tmp_shared, capsys):
     jobs.main(["consume", "--topic", f"{tmp_shared}/topic", "--out", f"{tmp_shared}/out",
                "--fused", "--trigger", "availableNow"])
     assert sum(r["count"] for r in latest_counts(spark, f"{tmp_shared}/out").collect()) == 147
+    # the three separate queries, as the reference runs them
+    jobs.main(["consume", "--topic", f"{tmp_shared}/topic", "--out", f"{tmp_shared}/out3",
+               "--trigger", "availableNow"])
+    from ratelake.streaming.consumer import ConsumerPaths, latest_snapshot
+
+    snap = latest_snapshot(spark, ConsumerPaths(f"{tmp_shared}/out3").counts)
+    assert sum(r["count"] for r in snap.collect()) == 147
     jobs.main(["train", "--lake", f"{tmp_shared}/lake", "--save", f"{tmp_shared}/models"])
     out = capsys.readouterr().out
     assert "linear_regression" in out and "random_forest" in out and "is_best" in out
