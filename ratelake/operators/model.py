@@ -5,8 +5,10 @@
   layout, partition count or executor loss (``randomSplit`` draws per
   partition and changes with the layout). ``random_split`` stays available.
 * Random forest bootstrap samples and binning also depend on row layout;
-  ``canonical_layout`` fixes it (hash-partition on the key, sort within
-  partitions) so a fit is reproducible across runs.
+  ``canonical_layout`` fixes it (hash-partition on the key into a given
+  number of partitions, sort within partitions), so a fit is reproducible
+  for any input file layout at a fixed partition count (the session's
+  ``spark.sql.shuffle.partitions`` unless ``num_partitions`` is passed).
 * Metrics are one aggregate over the predictions (RMSE, MSE, MAE and R2 in a
   single pass); R2 uses ``try_divide`` so a constant label gives null rather
   than an ANSI error.
@@ -191,12 +193,14 @@ def prepared_split(
     keys: Sequence[str] = VENUE_KEY,
     train_fraction: float = TRAIN_FRACTION,
     seed: int = SPLIT_SEED,
+    num_partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Training rows in the canonical layout, split by key hash, each side
     checkpointed once: every model fits and scores these very rows, and
     nothing upstream (lake scan, layout shuffle) is recomputed per model or
-    after a lost executor."""
-    rows = canonical_layout(training_rows(lake, features, keys=keys), keys)
+    after a lost executor. ``num_partitions`` fixes the layout's partition
+    count (and so the forest) independently of the session setting."""
+    rows = canonical_layout(training_rows(lake, features, keys=keys), keys, num_partitions)
     train, test = hash_split(rows, keys, train_fraction, seed)
     return train.checkpoint(eager=True), test.checkpoint(eager=True)
 
@@ -209,10 +213,11 @@ def train_and_compare(
     keys: Sequence[str] = VENUE_KEY,
     train_fraction: float = TRAIN_FRACTION,
     seed: int = SPLIT_SEED,
+    num_partitions: int | None = None,
 ) -> dict:
     """Fit the chosen models on the same split and layout; return fitted
     models, metrics rows and the comparison table."""
-    train, test = prepared_split(lake, features, keys, train_fraction, seed)
+    train, test = prepared_split(lake, features, keys, train_fraction, seed, num_partitions)
     # the fits pass over the training rows many times (one per tree level,
     # one per solver step): keep them in executor memory while fitting
     train.persist(StorageLevel.MEMORY_AND_DISK)
