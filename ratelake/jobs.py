@@ -72,7 +72,7 @@ def cmd_train(spark, a) -> None:
     from ratelake.sources.lake import read_lake
 
     lake = read_lake(spark, a.lake).select(*CONTRACT_COLUMNS)
-    res = train_and_compare(spark, lake, models=a.models)
+    res = train_and_compare(spark, lake, models=a.models, num_partitions=a.partitions)
     for name, model in res["models"].items():
         if name == "linear_regression":
             linear_coefficients(spark, model, FEATURE_COLUMNS).show(truncate=False)
@@ -131,6 +131,8 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--lake", required=True)
     t.add_argument("--models", nargs="+", default=["lr", "rf"], choices=["lr", "rf"])
     t.add_argument("--save", default=None, help="folder to save the fitted models")
+    t.add_argument("--partitions", type=int, default=None,
+                   help="fixed training layout (reproducible forests across session settings)")
 
     f = sub.add_parser("profile", help="raw rows -> describe, histogram, box plot, correlation")
     f.add_argument("--input", required=True)

@@ -29,7 +29,7 @@ def test_jobs_end_to_end(spark, tmp_shared, capsys):
 
     snap = latest_snapshot(spark, ConsumerPaths(f"{tmp_shared}/out3").counts)
     assert sum(r["count"] for r in snap.collect()) == 147
-    jobs.main(["train", "--lake", f"{tmp_shared}/lake", "--save", f"{tmp_shared}/models"])
+    jobs.main(["train", "--lake", f"{tmp_shared}/lake", "--save", f"{tmp_shared}/models", "--partitions", "4"])
     out = capsys.readouterr().out
     assert "linear_regression" in out and "random_forest" in out and "is_best" in out
 
