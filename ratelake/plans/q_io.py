@@ -96,14 +96,25 @@ def q_lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_contract(read_lake(spark, lake).select(*CONTRACT_COLUMNS))
 
 
-BATCH_CAP = 500  # rows per batch (the ETL's max records per run)
+# rows per batch (the ETL's max records per run), sized as a fixed share of
+# the source so the number of batch folders does not grow with the data
+LAKE_BATCHES = 4
+
+
+def _batch_cap(df: DataFrame) -> int:
+    return max(1, -(-df.count() // LAKE_BATCHES))  # ceiling division
+
+
+_SQL_BATCH = (
+    "(ROW_NUMBER() OVER (ORDER BY venue_id) - 1) // "
+    f"CAST(CEIL(COUNT(*) OVER () / {float(LAKE_BATCHES)!r}) AS BIGINT)"
+)
 
 
 @register(
     "lake_batch_read",
     f"""WITH {PIPELINE_CTE},
-    b AS (SELECT *, (ROW_NUMBER() OVER (ORDER BY venue_id) - 1) // {BATCH_CAP} AS batch_id
-          FROM pipeline)
+    b AS (SELECT *, {_SQL_BATCH} AS batch_id FROM pipeline)
     SELECT CAST(batch_id AS BIGINT) AS batch_id, country, CAST(COUNT(*) AS BIGINT) AS n_rows,
       CAST(SUM(total_reviews_count) AS BIGINT) AS sum_reviews,
       CAST(SUM(is_gluten_free) AS BIGINT) AS n_gluten_free
@@ -112,7 +123,7 @@ BATCH_CAP = 500  # rows per batch (the ETL's max records per run)
 def q_lake_batch_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = shared_path(spark, "lake_batches")
     rows = venue_pipeline(venue_rows(spark, sf_dir), keep=("venue_id",))
-    batched = slice_walk(rows, "venue_id", BATCH_CAP, out=BATCH_COLUMN).drop("venue_id")
+    batched = slice_walk(rows, "venue_id", _batch_cap(rows), out=BATCH_COLUMN).drop("venue_id")
     write_batches(batched, lake)
     back = read_lake(spark, lake)  # batch_id and country rebuilt from the path
     return back.groupBy(BATCH_COLUMN, "country").agg(
@@ -137,8 +148,7 @@ def q_lake_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "dlq_by_batch",
     f"""WITH {VENUE_CTE},
-    b AS (SELECT *, (ROW_NUMBER() OVER (ORDER BY venue_id) - 1) // {BATCH_CAP} AS batch_id
-          FROM venue)
+    b AS (SELECT *, {_SQL_BATCH} AS batch_id FROM venue)
     SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(COUNT(*) AS BIGINT) AS n_bad,
     """
     + ",\n    ".join(
@@ -150,7 +160,8 @@ def q_lake_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_dlq_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     dlq = shared_path(spark, "dlq")
-    raw = slice_walk(venue_rows(spark, sf_dir), "venue_id", BATCH_CAP, out=BATCH_COLUMN)
+    venues = venue_rows(spark, sf_dir)
+    raw = slice_walk(venues, "venue_id", _batch_cap(venues), out=BATCH_COLUMN)
     _, bad = split(raw, CRITICAL_COLUMNS, with_reason=True)
     write_dlq_batches(bad, dlq)
     back = read_dlq(spark, dlq)
