@@ -128,30 +128,59 @@ def _anchors(buf: np.ndarray, off: np.ndarray, span: int):
 # --- 1: packed (anchor, stretch) entries per bucket --------------------------
 
 _SENT = "bucket int, kind int, ids binary, counts binary, keys binary, wholes binary"
+_SENT_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary()), ("wholes", pa.binary())])
+#: kinds of packed rows: entries to settle, stretches an earlier document holds, stretches to look into
+_OPEN, _GONE, _ASK = 0, 1, 2
 
 
-def _send(buckets: int):
-    def packed(bucket: np.ndarray, kind: int, ids: np.ndarray, key: np.ndarray, whole: np.ndarray) -> dict:
-        """One row per bucket; entries are grouped by document inside it."""
-        order = np.lexsort((ids, bucket))
-        bucket, ids, key, whole = bucket[order], ids[order], key[order], whole[order]
-        cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [bucket.size]])
-        rows: dict = {n: [] for n in ("bucket", "kind", "ids", "counts", "keys", "wholes")}
-        for a, b in zip(cut[:-1], cut[1:], strict=True):
-            if a == b:
-                continue
-            step = np.concatenate([[0], np.flatnonzero(np.diff(ids[a:b])) + 1, [b - a]])
-            rows["bucket"].append(int(bucket[a]))
-            rows["kind"].append(kind)
-            rows["ids"].append(ids[a:b][step[:-1]].astype("<i8").tobytes())
-            rows["counts"].append(np.diff(step).astype("<u4").tobytes())
-            # 48 bits of each hash, next to the bucket's own bits
-            rows["keys"].append(_six(key[a:b]) if kind == 0 else b"")
-            rows["wholes"].append(whole[a:b].astype("<u8").tobytes())
-        return rows
-
-    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary()), ("wholes", pa.binary())])
+def _bucket(x: np.ndarray, buckets: int) -> np.ndarray:
+    return (tk.mix(x.astype(_U)) % _U(buckets)).astype(np.int64)
+
+
+def _packed(bucket: np.ndarray, kind: int, ids: np.ndarray, whole: np.ndarray, key: np.ndarray | None = None) -> pa.RecordBatch:
+    """One row per bucket; entries are grouped by document inside it."""
+    order = np.lexsort((ids, bucket))
+    bucket, ids, whole = bucket[order], ids[order], whole[order]
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [bucket.size]])
+    rows: dict = {n: [] for n in _SENT_ARROW.names}
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        if a == b:
+            continue
+        step = np.concatenate([[0], np.flatnonzero(np.diff(ids[a:b])) + 1, [b - a]])
+        rows["bucket"].append(int(bucket[a]))
+        rows["kind"].append(kind)
+        rows["ids"].append(ids[a:b][step[:-1]].astype("<i8").tobytes())
+        rows["counts"].append(np.diff(step).astype("<u4").tobytes())
+        rows["keys"].append(b"" if key is None else _six(key[order[a:b]]))
+        rows["wholes"].append(_six(whole[a:b]))
+    return pa.RecordBatch.from_pydict(rows, _SENT_ARROW)
+
+
+def _six(x: np.ndarray) -> bytes:
+    """48 bits of each hash."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
+
+def _unsix(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8")
+
+
+def _unpacked(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, stretches and anchors of packed rows."""
+    ids = [np.repeat(np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["counts"], "<u4")) for r in rows]
+    return np.concatenate(ids), np.concatenate([_unsix(r["wholes"]) for r in rows]), np.concatenate([_unsix(r["keys"]) for r in rows])
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    for part in key_runs(batches, "bucket", 1):
+        bucket = part["bucket"].to_numpy()
+        for b in np.unique(bucket):
+            yield part.filter(pa.array(bucket == b)).to_pylist()
+
+
+def _send(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -171,65 +200,28 @@ def _send(buckets: int):
             least = np.minimum.reduceat(doc, begin)
             later = np.flatnonzero(doc > least[group])
             if later.size:  # the batch itself holds an earlier copy
-                spread = (tk.mix(doc[later].astype(_U)) % _U(buckets)).astype(np.int64)
-                yield pa.RecordBatch.from_pydict(packed(spread, 1, doc[later], key[later], whole[later]), schema)
-            yield pa.RecordBatch.from_pydict(
-                packed((tk.mix(key[begin]) % _U(buckets)).astype(np.int64), 0, least, key[begin], whole[begin]), schema
-            )
+                yield _packed(_bucket(doc[later], buckets), _GONE, doc[later], whole[later])
+            yield _packed(_bucket(key[begin], buckets), _OPEN, least, whole[begin], key[begin])
 
     return run
 
 
-def _six(x: np.ndarray) -> bytes:
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _unsix(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view("<u8")
-
-
 # --- 2: what each document is told ------------------------------------------
 
-_TOLD = "doc_id long, gone binary, ask binary"
-
 
-def _per_document(doc: np.ndarray, gone: np.ndarray, whole: np.ndarray) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((gone, doc))
-    doc, gone, whole = doc[order], gone[order], whole[order].astype("<u8")
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(doc)) + 1, [doc.size]])
-    asked = np.searchsorted(np.flatnonzero(gone), cut)  # gone entries before each cut
-    mids = cut[1:] - np.diff(asked)  # within a document those to ask come first
-    raw = whole.tobytes()
-    for a in range(0, cut.size - 1, 50_000):
-        z = min(a + 50_000, cut.size - 1)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(doc[cut[a:z]], pa.int64()),
-                pa.array([raw[8 * m : 8 * e] or None for m, e in zip(mids[a:z], cut[a + 1 : z + 1], strict=True)], pa.binary()),
-                pa.array([raw[8 * b : 8 * m] or None for b, m in zip(cut[a:z], mids[a:z], strict=True)], pa.binary()),
-            ],
-            ["doc_id", "gone", "ask"],
-        )
+def _settle(buckets: int):
+    """Answers to the entries, packed by bucket of the document; answers that
+    came along are passed on."""
 
-
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in key_runs(batches, "bucket", 1):
-        bucket = part["bucket"].to_numpy()
-        for b in np.unique(bucket):
-            rows = part.filter(pa.array(bucket == b)).to_pylist()
-            own = [r for r in rows if r["kind"] == 1]
-            if own:
-                doc = np.concatenate([np.repeat(np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["counts"], "<u4")) for r in own])
-                whole = np.concatenate([np.frombuffer(r["wholes"], "<u8") for r in own])
-                yield from _per_document(doc, np.ones(doc.size, bool), whole)
-            sent = [r for r in rows if r["kind"] == 0]
-            if not sent:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_bucket(batches):
+            for r in rows:
+                if r["kind"] != _OPEN:
+                    yield pa.RecordBatch.from_pylist([r], _SENT_ARROW)
+            rows = [r for r in rows if r["kind"] == _OPEN]
+            if not rows:
                 continue
-            doc = np.concatenate([np.repeat(np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["counts"], "<u4")) for r in sent])
-            key = np.concatenate([_unsix(r["keys"]) for r in sent])
-            whole = np.concatenate([np.frombuffer(r["wholes"], "<u8") for r in sent])
+            doc, whole, key = _unpacked(rows)
             order = np.argsort(key, kind="stable")
             key, whole, doc = key[order], whole[order], doc[order]
             # anchors of one document only take part in nothing
@@ -244,14 +236,43 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             other = np.concatenate([[True], key[1:] != key[:-1]])
             fresh = other | np.concatenate([[True], whole[1:] != whole[:-1]])
             begin = np.flatnonzero(fresh)
-            group = np.cumsum(fresh) - 1
-            gone = doc > doc[begin][group]
-            # texts per anchor: stretches that share it
+            gone = doc > doc[begin][np.cumsum(fresh) - 1]
+            # stretches that share their anchor with another one
             anchor = np.cumsum(other) - 1
             texts = np.bincount(anchor[begin])
-            keep = gone | ((texts > 1)[anchor] & np.concatenate([[True], (doc[1:] != doc[:-1]) | fresh[1:]]))
-            if keep.any():
-                yield from _per_document(doc[keep], gone[keep], whole[keep])
+            ask = (texts > 1)[anchor] & ~gone & np.concatenate([[True], (doc[1:] != doc[:-1]) | fresh[1:]])
+            for kind, use in ((_GONE, gone), (_ASK, ask)):
+                if use.any():
+                    yield _packed(_bucket(doc[use], buckets), kind, doc[use], whole[use])
+
+    return run
+
+
+_TOLD = "doc_id long, gone binary, ask binary"
+
+
+def _tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document out of the packed answers."""
+    for rows in _by_bucket(batches):
+        parts = [(_unpacked(own)[:2], kind) for kind in (_ASK, _GONE) if (own := [r for r in rows if r["kind"] == kind])]
+        doc = np.concatenate([p[0] for p, _ in parts])
+        gone = np.concatenate([np.full(p[0].size, kind == _GONE) for p, kind in parts])
+        order = np.lexsort((gone, doc))
+        doc, gone = doc[order], gone[order]
+        raw = np.concatenate([p[1] for p, _ in parts])[order].astype("<u8").tobytes()
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(doc)) + 1, [doc.size]])
+        asked = np.searchsorted(np.flatnonzero(gone), cut)  # gone entries before each cut
+        mids = cut[1:] - np.diff(asked)  # within a document those to look into come first
+        for a in range(0, cut.size - 1, 5_000):
+            z = min(a + 5_000, cut.size - 1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(doc[cut[a:z]], pa.int64()),
+                    pa.array([raw[8 * m : 8 * e] or None for m, e in zip(mids[a:z], cut[a + 1 : z + 1], strict=True)], pa.binary()),
+                    pa.array([raw[8 * b : 8 * m] or None for b, m in zip(cut[a:z], mids[a:z], strict=True)], pa.binary()),
+                ],
+                ["doc_id", "gone", "ask"],
+            )
 
 
 # --- 3: byte ranges that are settled, and pieces that the suffix order decides
@@ -264,8 +285,7 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def told(column: pa.Array, s: tk.Slice) -> np.ndarray:
         """Stretch hashes of the slice's rows, salted with the row."""
-        part = column.slice(s.lo, s.hi - s.lo)
-        got = [(r, b"".join(v)) for r, v in enumerate(part.to_pylist()) if v]
+        got = [(r, v) for r, v in enumerate(column.slice(s.lo, s.hi - s.lo).to_pylist()) if v]
         if not got:
             return np.zeros(0, _U)
         row = np.repeat(np.array([r for r, _ in got]), [len(v) // 8 for _, v in got])
@@ -283,7 +303,7 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if gone.size + ask.size == 0:
                 continue
             first, last, pos, _, whole, row = anchors(s.buf, s.off)
-            salted = whole + tk.mix(row)
+            salted = (whole & _U((1 << 48) - 1)) + tk.mix(row)
             out = among(salted, gone)
             if out.any():
                 a, z, r = first[out], last[out] + SPAN, row[out]
@@ -391,8 +411,8 @@ def repeated_ranges(docs: DataFrame, hot_pieces: int = HOT_PIECES) -> DataFrame:
     named = texts.where(F.col("doc_id") != no_id)
     buckets = shuffle_partitions(spark)
     sent = named.mapInArrow(_send(buckets), _SENT)
-    told = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_settle, _TOLD)
-    told = told.groupBy("doc_id").agg(F.collect_list("gone").alias("gone"), F.collect_list("ask").alias("ask"))
+    settled = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_settle(buckets), _SENT)
+    told = settled.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_tell, _TOLD)
     met = named.join(told, "doc_id").select("doc_id", F.xxhash64("text").alias("tkey"), "text", "gone", "ask")
     marked = materialize(met.mapInArrow(_mark, _MARKED), "lpf-marked")
     pieces = marked.where("core is not null")
