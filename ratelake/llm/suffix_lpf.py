@@ -7,7 +7,7 @@ previous factor of each, and factors of ``span`` bytes mark what is removed.
 
 To order suffixes on many machines without shipping ``span`` bytes for each of
 them, each ``span``-byte window is assigned to the place of the smallest hash
-among its 16-byte strings (its anchor). Equal windows have equal anchors at
+among its 24-byte strings (its anchor). Equal windows have equal anchors at
 equal offsets, so windows can only match inside one anchor value:
 
 1. Each batch sends (anchor, hash of the stretch of windows around it) packed
@@ -39,7 +39,7 @@ from ratelake.llm import textkit as tk
 from ratelake.llm.sparkkit import id_column, key_runs, materialize, no_id, shuffle_partitions
 
 SPAN = 50
-_GRAM = 16
+_GRAM = 24
 #: window starts that share one shipped piece; pieces are grouped by their common bytes
 _PIECE = 8
 #: documents' texts handled at once in the anchor step
@@ -96,9 +96,10 @@ def _anchors(buf: np.ndarray, off: np.ndarray, span: int):
     x = _words(buf)
     m = n - _GRAM + 1
     h = x[:m] * _C1
-    h ^= h >> _U(29)
-    h += x[8 : 8 + m]
-    h *= _C2
+    for o in range(8, _GRAM, 8):
+        h ^= h >> _U(29)
+        h += x[o : o + m]
+        h *= _C2
     h ^= h >> _U(32)
     h *= _C3
     # smallest hash of each window, leftmost on ties: the position is in the low bits
