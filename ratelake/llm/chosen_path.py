@@ -46,7 +46,7 @@ COORDS = 128
 DEPTH = 3
 SMALL = 256
 #: buckets that reach the last level are compared in blocks of so many sets
-BLOCK = 4096
+BLOCK = 512
 #: sketch estimate from which a pair is a candidate: five deviations under the threshold
 LOOSE = THRESHOLD - 5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / COORDS)
 #: exact comparison: rows and bytes of text of one block

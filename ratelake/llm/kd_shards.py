@@ -61,7 +61,8 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int |
     """``doc_id, size, text_crc32, shard, slot`` for every document; shards
     number the leaves from left to right, slots count from 0 in each."""
     spark = docs.sparkSession
-    rows = materialize(described(docs), f"{name}-rows")
+    # the root cell is a stored column, so that cells join by equality from the first level on
+    rows = materialize(described(docs).withColumn("first", F.lit(0).cast("long")), f"{name}-rows")
     n_dims = sum(c[0] == "d" and c[1:].isdigit() for c in rows.columns)
     span = rows.agg(F.count("*").alias("n"), F.sum("size").alias("w"), *(f(f"d{i}") for i in range(n_dims) for f in (F.min, F.max))).first()
     if not span["n"]:
@@ -75,7 +76,7 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int |
         lo, hi = span[2 + 2 * i], span[3 + 2 * i]
         unit = F.lit(0.0) if hi <= lo else (F.col(f"d{i}") - F.lit(lo)) / F.lit(hi - lo)
         coords.append(F.floor(unit * scale).alias(f"c{i}"))
-    cells = rows.select("doc_id", "size", "text_crc32", "tie", *coords, F.lit(0).cast("long").alias("first"), F.lit(n_shards).cast("long").alias("due"))
+    cells = rows.select("doc_id", "size", "text_crc32", "tie", *coords, "first", F.lit(n_shards).cast("long").alias("due"))
     level = 0
     while n_shards > 1 and level < math.ceil(math.log2(n_shards)):
         cells = _split(cells, n_dims)
