@@ -50,7 +50,7 @@ BLOCK = 512
 #: sketch estimate from which a pair is a candidate: five deviations under the threshold
 LOOSE = THRESHOLD - 5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / COORDS)
 #: exact comparison: rows and bytes of text of one block
-EXACT_ROWS, EXACT_BYTES = 1024, 4 << 20
+EXACT_ROWS, EXACT_BYTES = 256, 4 << 20
 _U = np.uint64
 _A = (tk.mix(np.arange(1, COORDS + 1)) >> _U(32)).astype(np.uint32) | np.uint32(1)
 _B = (tk.mix(np.arange(1001, COORDS + 1001)) >> _U(32)).astype(np.uint32)

@@ -297,8 +297,14 @@ def _search(kind: str, b: Benchmark, basis: np.ndarray, idf: np.ndarray):
                             need = PARAPHRASED * n
                             span = np.arange((blocks + 4) * BLOCK)
                             grid = np.minimum(a[:, None] + span, z[:, None] - 1)
-                            seen = np.bitwise_count(np.bitwise_or.reduce(places[i][words[grid]], axis=1))
-                            for k in np.flatnonzero(seen >= need):
+                            held = np.bitwise_or.reduce(places[i][words[grid]], axis=1)
+                            seen = np.bitwise_count(held)
+                            maybe = seen >= COPIED * n
+                            # a paraphrase needs most of the passage's IDF among the words that occur
+                            rest = np.flatnonzero((seen >= need) & ~maybe)
+                            bits = (held[rest, None] >> np.arange(n, dtype=_U)) & _U(1)
+                            maybe[rest] = bits @ idf[b.words[i]] >= COPIED * idf[b.words[i]].sum()
+                            for k in np.flatnonzero(maybe):
                                 text = words[a[k] : z[k]].tolist()
                                 common = _common(text, masks[i], n)
                                 if common < need:
@@ -306,9 +312,9 @@ def _search(kind: str, b: Benchmark, basis: np.ndarray, idf: np.ndarray):
                                 answer = _common(text, answers[i], b.answers[i].size) / b.answers[i].size
                                 share = common / n
                                 if share < COPIED:
-                                    held = np.isin(b.words[i], text)
+                                    there = np.isin(b.words[i], text)
                                     weight = idf[b.words[i]]
-                                    if answer < ANSWER or weight[held].sum() < COPIED * weight.sum():
+                                    if answer < ANSWER or weight[there].sum() < COPIED * weight.sum():
                                         continue
                                 key = (ids[s.lo + r[k]], i)
                                 found[key] = max(found.get(key, (0.0, 0.0)), (share, answer))
