@@ -257,14 +257,20 @@ def _search(kind: str, b: Benchmark, basis: np.ndarray, idf: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = [_masks(w) for w in b.words]
         answers = [_masks(w) for w in b.answers]
+        alive = basis.any(axis=1)
         places = {}
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for s, words, off, first, start in _blocks(batch.column(1), kind, BLOCK):
                 if words.size == 0:
                     continue
-                # latent sums of blocks; an empty tail never occurs
-                sums = np.add.reduceat(basis[words], start, axis=0)
+                # latent sums of blocks, over the words that carry weight
+                own = np.flatnonzero(alive[words])
+                block = np.repeat(np.arange(start.size), np.diff(np.append(start, words.size)))[own]
+                begin = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if own.size else own
+                sums = np.zeros((start.size, basis.shape[1]), np.float32)
+                if own.size:
+                    sums[block[begin]] = np.add.reduceat(basis[words[own]], begin, axis=0)
                 row = tk.owners(first)
                 found: dict[tuple, tuple] = {}
                 for blocks, chosen, q in groups:
@@ -280,11 +286,12 @@ def _search(kind: str, b: Benchmark, basis: np.ndarray, idf: np.ndarray):
                     norm = np.linalg.norm(y, axis=1)
                     some = norm > 0
                     at, y = at[some], y[some] / norm[some, None]
-                    for p in range(0, at.size, 4096):
-                        near, which = np.nonzero(y[p : p + 4096] @ q.T >= COSINE)
-                        for j in np.unique(which):
+                    for p in range(0, at.size, 16384):
+                        which, near = np.nonzero(q @ y[p : p + 16384].T >= COSINE)
+                        cut = np.searchsorted(which, np.arange(len(chosen) + 1))
+                        for j in np.flatnonzero(np.diff(cut)):
                             i = chosen[j]
-                            own = at[p + near[which == j]]
+                            own = at[p + near[cut[j] : cut[j + 1]]]
                             r = row[own]
                             a = np.maximum(start[own] - 2 * BLOCK, off[r])
                             z = np.minimum(start[own] + (blocks + 2) * BLOCK, off[r + 1])
