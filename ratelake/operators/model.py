@@ -95,9 +95,12 @@ def random_split(df: DataFrame, train_fraction: float = TRAIN_FRACTION, seed: in
 
 
 def canonical_layout(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None) -> DataFrame:
-    """Fixed partitioning and in-partition order, for layout-sensitive fits."""
+    """Fixed partitioning and in-partition order, for layout-sensitive fits.
+    The order is over the keys and then all other columns, so rows with tied
+    keys stand in the same order whatever the input's layout."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys).sortWithinPartitions(*keys)
+    rest = [c for c in df.columns if c not in keys]
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, *rest)
 
 
 def training_rows(
@@ -201,8 +204,10 @@ def prepared_split(
     after a lost executor. ``num_partitions`` fixes the layout's partition
     count (and so the forest) independently of the session setting."""
     rows = canonical_layout(training_rows(lake, features, keys=keys), keys, num_partitions)
-    train, test = hash_split(rows, keys, train_fraction, seed)
-    return train.checkpoint(eager=True), test.checkpoint(eager=True)
+    # one evaluation of everything upstream; both sides filter the same rows
+    rows = with_split(rows, keys, train_fraction, seed).checkpoint(eager=True)
+    train = rows.filter(F.col(SPLIT_COLUMN) == "train").drop(SPLIT_COLUMN)
+    return train, rows.filter(F.col(SPLIT_COLUMN) == "test").drop(SPLIT_COLUMN)
 
 
 def train_and_compare(

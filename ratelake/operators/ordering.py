@@ -12,8 +12,9 @@ Plan:
 1. ``repartitionByRange(*groups, *order)`` + ``sortWithinPartitions``:
    sampled range bounds spread even a hot group over many tasks (AQE may
    coalesce adjacent small ranges, which keeps them ordered).
-2. ``mapInPandas`` computes the running sum inside each sorted partition
-   (vectorised numpy/pandas per Arrow batch, state carried across batches).
+2. ``mapInArrow`` computes the running sum inside each sorted partition
+   (numpy over the weight of each Arrow batch, state carried across batches;
+   all other columns pass through as they are, whatever their type).
    The built-in equivalent, a window partitioned by the partition id, needs
    its own hash exchange on that id, which is a second full shuffle; the
    in-task cumsum keeps the range partitioning it runs on.
@@ -35,7 +36,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -46,39 +48,56 @@ PID = "_pid"
 CUM = "_cum"
 
 
+def _same_as_before(col: pa.Array) -> np.ndarray:
+    """Whether each value but the first equals the one before it (nulls, and
+    NaNs, equal each other)."""
+    prev, cur = col.slice(0, len(col) - 1), col.slice(1)
+    same = pc.fill_null(pc.equal(prev, cur), False)
+    same = pc.or_(same, pc.and_(pc.is_null(prev), pc.is_null(cur)))
+    if pa.types.is_floating(col.type):
+        nan = pc.and_(pc.fill_null(pc.is_nan(prev), False), pc.fill_null(pc.is_nan(cur), False))
+        same = pc.or_(same, nan)
+    return same.to_numpy(zero_copy_only=False)
+
+
 def _running_sum_fn(group_cols: list[str], weight_col: str | None):
+    """Arrow in, Arrow out: the columns of the table pass through unchanged,
+    whatever their type; only the weight is read as numbers."""
+
     def fn(batches):
-        prev_key = None  # group key of the last row of the previous batch
+        last: pa.RecordBatch | None = None  # last row of the previous batch
         carry = 0
-        for pdf in batches:
-            n = len(pdf)
+        for batch in batches:
+            n = batch.num_rows
             if n == 0:
-                yield pdf.assign(**{CUM: pd.Series([], dtype="int64")})
                 continue
-            w = (
-                pdf[weight_col].to_numpy(dtype="int64", na_value=0)
-                if weight_col
-                else np.ones(n, dtype="int64")
-            )
+            if weight_col:
+                w = pc.fill_null(batch.column(weight_col), 0).cast(pa.int64()).to_numpy(zero_copy_only=False)
+            else:
+                w = np.ones(n, dtype="int64")
+            cum = np.cumsum(w)
             if group_cols:
                 change = np.zeros(n, dtype=bool)
+                change[0] = last is None
                 for c in group_cols:
-                    s = pdf[c]
-                    sh = s.shift(1)
-                    same = (s == sh) | (s.isna() & sh.isna())
-                    change |= ~same.to_numpy(dtype=bool, na_value=False)
-                first_key = tuple(None if pd.isna(v) else v for v in pdf[group_cols].iloc[0])
-                continues = prev_key is not None and first_key == prev_key
-                change[0] = not continues
-                seg = np.cumsum(change)
-                cum = pd.Series(w).groupby(seg).cumsum().to_numpy(dtype="int64")
-                if continues:
-                    cum[seg == seg[0]] += carry
-                prev_key = tuple(None if pd.isna(v) else v for v in pdf[group_cols].iloc[-1])
+                    col = batch.column(c)
+                    if last is not None:
+                        change |= ~_same_as_before(pa.concat_arrays([last.column(c), col]))
+                    else:
+                        change[1:] |= ~_same_as_before(col)
+                # what the running sum was before each segment of the batch
+                start = np.flatnonzero(change)
+                base, number = (cum - w)[start], np.cumsum(change) - 1
+                if not change[0]:  # the batch goes on with the last segment
+                    base, number = np.concatenate([[-carry], base]), number + 1
+                cum = cum - base[number]
             else:
-                cum = np.cumsum(w) + carry
+                cum = cum + carry
             carry = int(cum[-1])
-            yield pdf.assign(**{CUM: cum})
+            last = batch.slice(n - 1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(cum, pa.int64())], names=[*batch.schema.names, CUM]
+            )
 
     return fn
 
@@ -117,7 +136,7 @@ def prefix_sums_total(
         .withColumn(PID, F.spark_partition_id())
     )
     out_schema = StructType([*ranged.schema.fields, StructField(CUM, LongType(), False)])
-    local = materialize(ranged.mapInPandas(_running_sum_fn(groups, weight), out_schema), "prefix_sums")
+    local = materialize(ranged.mapInArrow(_running_sum_fn(groups, weight), out_schema), "prefix_sums")
 
     # per-partition summary: bounded by the partition count
     if groups:

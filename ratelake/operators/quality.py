@@ -21,10 +21,21 @@ REASON = "dlq_reason"
 MALFORMED = "malformed"
 
 
-def bad_condition(critical: Sequence[str], corrupt_column: str | None = None) -> Column:
+OUT_OF_RANGE = "out_of_range"
+
+
+def _beyond_int(c: str) -> Column:
+    """A value that the contract's integer type cannot hold."""
+    return F.col(c).isNotNull() & F.col(c).try_cast("int").isNull()
+
+
+def bad_condition(
+    critical: Sequence[str], corrupt_column: str | None = None, integers: Sequence[str] = ()
+) -> Column:
     """OR of ``isNull`` over the critical columns (false when none given);
-    with ``corrupt_column`` a row the reader could not parse is bad too."""
-    conds = [F.col(c).isNull() for c in critical]
+    with ``corrupt_column`` a row the reader could not parse is bad too, and
+    with ``integers`` one whose value does not fit an int."""
+    conds = [F.col(c).isNull() for c in critical] + [_beyond_int(c) for c in integers]
     if corrupt_column:
         conds.append(F.col(corrupt_column).isNotNull())
     if not conds:
@@ -32,10 +43,13 @@ def bad_condition(critical: Sequence[str], corrupt_column: str | None = None) ->
     return reduce(lambda a, b: a | b, conds)
 
 
-def null_reasons(critical: Sequence[str], corrupt_column: str | None = None) -> Column:
+def null_reasons(
+    critical: Sequence[str], corrupt_column: str | None = None, integers: Sequence[str] = ()
+) -> Column:
     """Array of the critical column names that are null in this row (plus
-    ``malformed`` when the reader kept the raw line)."""
+    ``malformed`` when the reader kept the raw line, and ``<column>:out_of_range``)."""
     items = [F.when(F.col(c).isNull(), F.lit(c)) for c in critical]
+    items += [F.when(_beyond_int(c), F.lit(f"{c}:{OUT_OF_RANGE}")) for c in integers]
     if corrupt_column:
         items.append(F.when(F.col(corrupt_column).isNotNull(), F.lit(MALFORMED)))
     return F.filter(F.array(*items), lambda x: x.isNotNull())
@@ -51,17 +65,19 @@ def split(
     critical: Sequence[str],
     with_reason: bool = False,
     corrupt_column: str | None = None,
+    integers: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(good, bad)``. ``with_reason`` adds ``dlq_reason`` (array of
     the null critical columns) to the bad side. ``corrupt_column`` (the CSV
     reader's raw-line column) also sends unparsable rows to the bad side,
     with reason ``malformed``; by default such a row only loses the bad
-    cells (they read as null) and is judged on its critical columns."""
-    cond = bad_condition(critical, corrupt_column)
+    cells (they read as null) and is judged on its critical columns.
+    ``integers`` sends rows whose value the contract would lose there too."""
+    cond = bad_condition(critical, corrupt_column, integers)
     good = df.filter(~cond)
     bad = df.filter(cond)
     if with_reason:
-        bad = bad.withColumn(REASON, null_reasons(critical, corrupt_column))
+        bad = bad.withColumn(REASON, null_reasons(critical, corrupt_column, integers))
     return good, bad
 
 

@@ -6,6 +6,8 @@ fresh sub-folder per call) and returns a DataFrame read back from them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
@@ -125,7 +127,8 @@ def q_lake_batch_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = venue_pipeline(venue_rows(spark, sf_dir), keep=("venue_id",))
     batched = slice_walk(rows, "venue_id", _batch_cap(rows), out=BATCH_COLUMN).drop("venue_id")
     write_batches(batched, lake)
-    back = read_lake(spark, lake)  # batch_id and country rebuilt from the path
+    # one pruned read per batch; batch_id and country are rebuilt from the path
+    back = reduce(DataFrame.unionAll, [read_lake(spark, lake, batch_id=b) for b in range(LAKE_BATCHES)])
     return back.groupBy(BATCH_COLUMN, "country").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("total_reviews_count").cast("long").alias("sum_reviews"),

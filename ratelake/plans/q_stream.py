@@ -30,13 +30,14 @@ from ratelake.plans.registry import (
 )
 from ratelake.operators.model import VENUE_KEY, fit_linear, hash_split, training_rows
 from ratelake.plans.venue import venue_pipeline, venue_rows
-from ratelake.session import shared_path
+from ratelake.session import materialize, shared_path
 from ratelake.sources.lake import read_dlq, read_lake
 from ratelake.sources.tables import table
 from ratelake.sources.topic import TopicSpec, publish, read_topic
 from ratelake.streaming.consumer import (
     ConsumerPaths,
     dedup,
+    drain,
     latest_counts,
     latest_snapshot,
     parsed_stream,
@@ -62,20 +63,19 @@ EVENTS_SCHEMA = StructType(
 PROPS_SCHEMA = StructType([StructField("k", LongType(), True)])
 
 _PIPELINE_SQL = f"WITH {PIPELINE_CTE} SELECT {_CONTRACT_ROUNDED_SQL} FROM pipeline"
-TOPIC_FILES = 4  # the topic is written as several files -> several micro-batches
+TOPIC_WRITES = 4  # the topic is published in several goes -> several micro-batches
 
 
 def _contract_topic(spark: SparkSession, sf_dir: str, name: str) -> TopicSpec:
     spec = TopicSpec(kind="files", path=shared_path(spark, name))
-    rows = venue_pipeline(venue_rows(spark, sf_dir))
-    publish(encode_json(rows), spec, files=TOPIC_FILES)
+    rows = materialize(encode_json(venue_pipeline(venue_rows(spark, sf_dir))), f"{name}-rows")
+    for k in range(TOPIC_WRITES):  # each go writes as many files as its size asks for
+        publish(rows.filter(F.pmod(F.xxhash64("value"), F.lit(TOPIC_WRITES)) == k), spec)
     return spec
 
 
-def _await(q, timeout_s: float = 600) -> None:
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+def _await(q) -> None:
+    drain(q)
 
 
 # --------------------------------------------------------------------------
@@ -137,7 +137,7 @@ def q_stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_path(spark, "stream_parse")
     spec = TopicSpec(kind="files", path=f"{root}/topic")
     ev = table(spark, sf_dir, "events")
-    publish(ev.select(to_json_value(ev.columns).alias("value")), spec, files=TOPIC_FILES)
+    publish(ev.select(to_json_value(ev.columns).alias("value")), spec)
     parsed = parsed_stream(spark, spec, EVENTS_SCHEMA, max_per_trigger=1)
     _await(start_raw_audit(parsed, f"{root}/out", f"{root}/_ckpt"))
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{root}/out")
@@ -186,7 +186,7 @@ def q_stream_consumer_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit, filter and count outputs)."""
     spec = _contract_topic(spark, sf_dir, "topic_fused")
     root = shared_path(spark, "stream_fused")
-    run_consumer_fused(spark, spec, root, max_per_trigger=1, timeout_s=600)
+    run_consumer_fused(spark, spec, root, max_per_trigger=1)
     return latest_counts(spark, root)
 
 
@@ -213,7 +213,7 @@ def q_stream_consumer(spark: SparkSession, sf_dir: str) -> DataFrame:
     session (raw audit, filtered CSV, running count); the count table."""
     spec = _contract_topic(spark, sf_dir, "topic_consumer")
     root = shared_path(spark, "stream_consumer")
-    run_consumer(spark, spec, root, max_per_trigger=1, timeout_s=600)
+    run_consumer(spark, spec, root, max_per_trigger=1)
     return latest_snapshot(spark, ConsumerPaths(root).counts)
 
 
@@ -226,7 +226,7 @@ def q_stream_consumer_fused_niche(spark: SparkSession, sf_dir: str) -> DataFrame
     """The filtered (append) output of the single-pass consumer."""
     spec = _contract_topic(spark, sf_dir, "topic_fused_niche")
     root = shared_path(spark, "stream_fused_niche")
-    run_consumer_fused(spark, spec, root, max_per_trigger=1, timeout_s=600)
+    run_consumer_fused(spark, spec, root, max_per_trigger=1)
     # batch_id=N folders: partition discovery, then the contract columns
     niche = spark.read.schema(CONTRACT_SCHEMA).csv(ConsumerPaths(root).niche)
     return round_contract(niche.select(*CONTRACT_COLUMNS))
@@ -253,7 +253,7 @@ def _run_etl(spark: SparkSession, sf_dir: str, name: str, fmt: str = "parquet")
     topic = TopicSpec(kind="files", path=f"{root}/topic")
     run_etl_stream(
         spark, f"{root}/landing", raw.schema, f"{root}/lake", f"{root}/dlq", topic,
-        f"{root}/_ckpt", source_format=fmt, timeout_s=900,
+        f"{root}/_ckpt", source_format=fmt,
     )
     return root, topic
 
@@ -308,8 +308,8 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduplicating consumer must emit each venue once."""
     spec = TopicSpec(kind="files", path=shared_path(spark, "topic_dup"))
     rows = venue_pipeline(venue_rows(spark, sf_dir))
-    publish(encode_json(rows), spec, files=TOPIC_FILES)
-    publish(encode_json(rows), spec, files=TOPIC_FILES)
+    publish(encode_json(rows), spec)
+    publish(encode_json(rows), spec)
     root = shared_path(spark, "stream_dedup")
     parsed = dedup(parsed_stream(spark, spec, max_per_trigger=2), VENUE_KEY)
     _await(start_raw_audit(parsed, f"{root}/out", f"{root}/_ckpt"))
@@ -391,13 +391,10 @@ def q_etl_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------
 # the streaming ETL with lake-scope means: batch b's rows carry the city mean
-# over batches 0..b. The landing folder receives each third of the source
-# (in key order) as its own job of LANDING_FILES files, and the stream takes
-# LANDING_FILES files per trigger (oldest first), so batch b is slice b.
+# over batches 0..b. Each third of the source (in key order) lands in its own
+# go and the stream is run after it, so batch b is slice b.
 # --------------------------------------------------------------------------
 
-LANDING_FILES = 4
-
 _LAKE_SCOPE_SQL = f"""WITH {VENUE_CTE},
 b AS (SELECT *, CAST((ROW_NUMBER() OVER (ORDER BY venue_id) - 1)
                 // CAST(CEIL(COUNT(*) OVER () / {float(INCREMENT_RUNS)!r}) AS BIGINT) AS BIGINT) AS batch_id
@@ -434,14 +431,12 @@ def q_etl_stream_lake_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = venue_rows(spark, sf_dir)
     cap = max(1, -(-raw.count() // INCREMENT_RUNS))
     walked = slice_walk(raw, "venue_id", cap, out="_slice")  # materialised once
-    for b in range(INCREMENT_RUNS):
-        # one job per slice: its files are all older than the next slice's
-        walked.filter(F.col("_slice") == b).drop("_slice").repartition(LANDING_FILES).write.mode(
-            "append"
-        ).parquet(f"{root}/landing")
     topic = TopicSpec(kind="files", path=f"{root}/topic")
-    run_etl_stream(
-        spark, f"{root}/landing", raw.schema, f"{root}/lake", f"{root}/dlq", topic, f"{root}/_ckpt",
-        max_files_per_trigger=LANDING_FILES, timeout_s=900, context_scope="lake",
-    )
+    for b in range(INCREMENT_RUNS):
+        part = walked.filter(F.col("_slice") == b).drop("_slice").hint("rebalance")
+        part.write.mode("append").parquet(f"{root}/landing")
+        run_etl_stream(
+            spark, f"{root}/landing", raw.schema, f"{root}/lake", f"{root}/dlq", topic, f"{root}/_ckpt",
+            context_scope="lake",
+        )
     return round_contract(read_lake(spark, f"{root}/lake").select("batch_id", *CONTRACT_COLUMNS))

@@ -79,6 +79,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset
             conf = None
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share"
+            )
         conf = tempfile.mkdtemp(prefix="ratelake-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
@@ -134,6 +138,19 @@ def list_batch_ids(spark: SparkSession, root: str, column: str = "batch_id") ->
     return sorted(out)
 
 
+def complete_batch_ids(spark: SparkSession, root: str, column: str = "batch_id") -> list[int]:
+    """Ids of the batch folders whose write has ended (``_SUCCESS`` is there)."""
+    base = root.rstrip("/")
+    return [n for n in list_batch_ids(spark, root, column) if path_exists(spark, f"{base}/{column}={n}/_SUCCESS")]
+
+
+def require_version(spark: SparkSession, path: str) -> None:
+    """Raise unless the version folder ``path`` is there: running totals must
+    not start again from nothing when the version before is missing."""
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"the previous version {path} is missing; rebuild it before going on")
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -142,8 +159,9 @@ def _fs(spark: SparkSession, path: str):
 
 def write_marker(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file atomically (temp file, then rename), the way a
-    streaming offset log commits: a reader sees the old state or the new one,
-    never half a file. Metadata-sized; no Spark job."""
+    streaming offset log commits: a reader sees the whole file or none.
+    Raises ``FileExistsError`` if ``path`` is there already: of two runs of
+    the same batch only one commits. Metadata-sized; no Spark job."""
     final, fs = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex[:8]}")
@@ -153,7 +171,8 @@ def write_marker(spark: SparkSession, path: str, text: str) -> None:
     finally:
         out.close()
     if fs.exists(final):
-        fs.delete(final, False)
+        fs.delete(tmp, False)
+        raise FileExistsError(f"{path} has been committed by another run")
     if not fs.rename(tmp, final):
         raise OSError(f"could not commit {path}")
 

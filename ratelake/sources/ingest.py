@@ -10,60 +10,90 @@ plays the watermark's role instead (see ``ratelake.streaming.etl``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    DateType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from ratelake.operators.ordering import global_position
 
 CORRUPT_COLUMN = "_corrupt_record"
 
 
+def _csv_reader(spark: SparkSession, header: bool, multi_line: bool):
+    """Quoted cells as in RFC 4180: a quote inside is doubled; ``multi_line``
+    allows line breaks in quoted cells (such files are not split)."""
+    r = spark.read.option("header", str(header).lower()).option("quote", '"').option("escape", '"')
+    return r.option("multiLine", str(multi_line).lower())
+
+
 def read_csv_tolerant(
     spark: SparkSession,
     path: str,
     schema: StructType,
     header: bool = True,
     corrupt_column: str | None = CORRUPT_COLUMN,
+    multi_line: bool = False,
 ) -> DataFrame:
     """PERMISSIVE CSV scan with a declared schema: a cell that does not parse
     becomes null and the scan goes on; with ``corrupt_column`` the raw line of
-    such a row is kept there (null for clean rows)."""
+    such a row is kept there (null for clean rows).
+
+    With a header, columns are found by name, in any order and among others;
+    a declared column that is not there raises, and so does a file whose
+    header differs from the first one's."""
+    r = _csv_reader(spark, header, multi_line).option("mode", "PERMISSIVE")
     fields = list(schema.fields)
-    r = spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE")
+    if header:
+        names = _csv_reader(spark, True, multi_line).option("inferSchema", "false").csv(path).columns
+        missing = [f.name for f in fields if f.name not in names]
+        if missing:
+            raise ValueError(f"column(s) not in the header: {missing}; have {names}")
+        declared = {f.name: f for f in fields}
+        fields = [declared.get(n, StructField(n, StringType(), True)) for n in names]
+        r = r.option("enforceSchema", "false")
+    out = [f.name for f in schema.fields]
     if corrupt_column:
         fields.append(StructField(corrupt_column, StringType(), True))
         r = r.option("columnNameOfCorruptRecord", corrupt_column)
-    return r.schema(StructType(fields)).csv(path)
+        out.append(corrupt_column)
+    return r.schema(StructType(fields)).csv(path).select(*[F.col(f"`{c}`") for c in out])
 
 
-def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.1) -> StructType:
-    """Discovery only: infer types from a sample (production reads declare)."""
-    return (
-        spark.read.option("header", "true")
-        .option("inferSchema", "true")
-        .option("samplingRatio", str(sampling_ratio))
-        .csv(path)
-        .schema
-    )
+def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> StructType:
+    """Discovery: infer types from all rows (production reads declare). A
+    smaller ``sampling_ratio`` may miss the value that widens a type."""
+    r = _csv_reader(spark, True, False).option("inferSchema", "true")
+    return r.option("samplingRatio", str(sampling_ratio)).csv(path).schema
 
 
-# a top-k over the key column alone stays cheap up to this many keys per
-# task; beyond it the boundary comes from exact distributed positions
-TOPK_KEY_LIMIT = 20_000_000
+def order_value(df: DataFrame, key: str) -> Column:
+    """``key`` in a form that Python and JSON carry exactly: times as
+    microseconds since 1970, dates as days; other types as they are."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{key}`)")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(F.col(key))
+    if isinstance(kind, DateType):
+        return F.unix_date(F.col(key))
+    return F.col(key)
 
 
 def slice_boundary(df: DataFrame, key: str, after=None, cap: int = 0):
     """The last key of the next slice: the ``cap``-th smallest key above
     ``after`` (the largest pending key when fewer are pending; None when
-    nothing is pending). Only the narrow key column is ordered: a per-task
-    top-``cap`` of keys for moderate caps, distributed positions beyond."""
-    keys = (df if after is None else df.filter(F.col(key) > F.lit(after))).select(key)
-    if cap <= TOPK_KEY_LIMIT:
-        return keys.orderBy(F.col(key)).limit(int(cap)).agg(F.max(key)).first()[0]
-    pos = global_position(keys, [key], out="_pos")
-    last = pos.filter(F.col("_pos") < F.lit(int(cap))).agg(F.max(key)).first()[0]
-    return last
+    nothing is pending). The key column alone is range-sorted; positions come
+    from distributed prefix sums, so no task holds more than its range."""
+    keys = df.filter(F.col(key).isNotNull()) if after is None else df.filter(F.col(key) > F.lit(after))
+    pos = global_position(keys.select(key), [key], out="_pos")
+    return pos.filter(F.col("_pos") < F.lit(int(cap))).agg(F.max(key)).first()[0]
 
 
 def next_slice(df: DataFrame, key: str, after=None, cap: int = 0) -> DataFrame:

@@ -39,6 +39,19 @@ def parsed_stream(
     return parse_json(stream_topic(spark, spec, max_per_trigger=max_per_trigger), schema)
 
 
+def drain(query: StreamingQuery, timeout_s: float | None = None, what: str = "streaming query") -> StreamingQuery:
+    """Wait until ``query`` has taken all there is. Without ``timeout_s`` the
+    wait has no limit; a reached limit stops the query and raises, so a
+    partial result is never taken for a whole one."""
+    ended = query.awaitTermination() is None if timeout_s is None else query.awaitTermination(timeout_s)
+    if query.exception() is not None:
+        raise RuntimeError(f"{what} failed: {query.exception()}")
+    if not ended:
+        query.stop()
+        raise TimeoutError(f"{what} had not ended after {timeout_s} s; it was stopped")
+    return query
+
+
 def with_trigger(writer, trigger: str | None):
     """``availableNow`` (drain what is there, then stop), ``once``, a
     processing-time interval such as ``"30 seconds"``, or None (run
@@ -119,12 +132,13 @@ def start_count(
         spark = parsed.sparkSession
 
         def write_snapshot(batch: DataFrame, batch_id: int) -> None:
-            from ratelake.session import delete_path, path_exists
+            from ratelake.session import delete_path, require_version
             from ratelake.sources.lake import batch_path
 
             table = batch
             prev = batch_path(snapshot_path, batch_id - 1)
-            if mode == "update" and batch_id > 0 and path_exists(spark, prev):
+            if mode == "update" and batch_id > 0:
+                require_version(spark, prev)
                 old = spark.read.parquet(prev)
                 kept = old.join(batch.select(key), old[key].eqNullSafe(batch[key]), "left_anti")
                 table = kept.unionByName(batch)
@@ -139,10 +153,11 @@ def start_count(
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete count table written by ``start_count``."""
-    from ratelake.session import list_batch_ids
+    """The newest complete count table written by ``start_count``: versions
+    still being written (no ``_SUCCESS`` yet) are passed over."""
+    from ratelake.session import complete_batch_ids
 
-    ids = list_batch_ids(spark, path)
+    ids = complete_batch_ids(spark, path)
     if not ids:
         raise FileNotFoundError(f"no snapshot written under {path}")
     return spark.read.parquet(f"{path.rstrip('/')}/batch_id={ids[-1]}")
@@ -186,14 +201,19 @@ def run_consumer(
         start_filter_append(parsed, paths.niche, paths.checkpoint("niche"), trigger=trigger),
         start_count(parsed, paths.checkpoint("count"), snapshot_path=paths.counts, trigger=trigger),
     ]
-    if trigger == "availableNow":
+    try:
+        if trigger == "availableNow":
+            for q in qs:
+                drain(q, timeout_s)
+        else:
+            spark.streams.awaitAnyTermination(timeout_s) if timeout_s else spark.streams.awaitAnyTermination()
+            for q in qs:
+                if q.exception() is not None:
+                    raise RuntimeError(f"streaming query failed: {q.exception()}")
+    except Exception:
         for q in qs:
-            q.awaitTermination(timeout_s)
-    else:
-        spark.streams.awaitAnyTermination(timeout_s)
-    for q in qs:
-        if q.exception() is not None:
-            raise RuntimeError(f"streaming query failed: {q.exception()}")
+            q.stop()
+        raise
     return qs
 
 
@@ -250,7 +270,7 @@ def run_consumer_fused(
     """
     from pyspark import StorageLevel
 
-    from ratelake.session import delete_path, path_exists
+    from ratelake.session import delete_path, require_version
     from ratelake.sources.lake import batch_path
 
     paths = ConsumerPaths(root)
@@ -265,7 +285,8 @@ def run_consumer_fused(
             batch.filter(niche_filter()).write.mode("overwrite").csv(batch_path(paths.niche, batch_id))
             counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
             prev = batch_path(paths.counts, batch_id - 1)
-            if batch_id > 0 and path_exists(spark, prev):
+            if batch_id > 0:
+                require_version(spark, prev)
                 counts = (
                     counts.unionByName(spark.read.parquet(prev))
                     .groupBy(key)
@@ -281,19 +302,17 @@ def run_consumer_fused(
     w = parsed.writeStream.foreachBatch(body).option("checkpointLocation", paths.checkpoint("fused"))
     q = with_trigger(w, trigger).start()
     if trigger == "availableNow":
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise RuntimeError(f"streaming query failed: {q.exception()}")
+        drain(q, timeout_s)
     return q
 
 
 def latest_counts(spark: SparkSession, root: str) -> DataFrame:
     """The newest running-count table written by ``run_consumer_fused``
     (found by one folder listing; only that version is read)."""
-    from ratelake.session import list_batch_ids
+    from ratelake.session import complete_batch_ids
 
     counts_root = ConsumerPaths(root).counts
-    ids = list_batch_ids(spark, counts_root)
+    ids = complete_batch_ids(spark, counts_root)
     if not ids:
         raise FileNotFoundError(f"no counts written under {counts_root}")
     return spark.read.parquet(f"{counts_root}/batch_id={ids[-1]}")

@@ -26,18 +26,18 @@ from collections.abc import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ratelake.contract import CONTRACT_COLUMNS, CRITICAL_COLUMNS, NUMERIC_COLUMNS, require_columns
+from ratelake.contract import CONTRACT_COLUMNS, CONTRACT_SCHEMA, CRITICAL_COLUMNS, NUMERIC_COLUMNS, require_columns
 from ratelake.functions.wire import encode_json
 from ratelake.operators.context import group_stats, merge_stats
 from ratelake.operators.quality import batch_audit, split
 from ratelake.plans.venue import transform_good
-from ratelake.session import delete_path, path_exists
+from ratelake.session import delete_path, require_version
 from ratelake.sources.ingest import CORRUPT_COLUMN
 from ratelake.sources.lake import batch_path, read_lake, write_batch, write_dlq
 from ratelake.sources.topic import TopicSpec, publish
-from ratelake.streaming.consumer import with_trigger
+from ratelake.streaming.consumer import drain, with_trigger
 
 
 def make_batch_processor(
@@ -73,7 +73,8 @@ def make_batch_processor(
         def build(enc: DataFrame) -> DataFrame:
             cur = group_stats(enc, "avg_rating", keys)
             prev_path = batch_path(stats_root, batch_id - 1)
-            if batch_id > 0 and path_exists(spark, prev_path):
+            if batch_id > 0:
+                require_version(spark, prev_path)
                 cur = merge_stats(cur, spark.read.parquet(prev_path), keys)
             cur.write.mode("overwrite").parquet(batch_path(stats_root, batch_id))
             # a retry of this batch needs only version N-1: older ones can go
@@ -90,7 +91,11 @@ def make_batch_processor(
                 batch_audit(batch, critical).coalesce(1).write.mode("overwrite").parquet(
                     batch_path(audit, batch_id)
                 )
-            good, bad = split(batch, critical, with_reason=True, corrupt_column=corrupt_column)
+            # values the contract's int columns cannot hold are bad rows, not nulls
+            ints = [f.name for f in CONTRACT_SCHEMA.fields if isinstance(f.dataType, IntegerType) and f.name in batch.columns]
+            good, bad = split(
+                batch, critical, with_reason=True, corrupt_column=corrupt_column, integers=ints
+            )
             write_dlq(bad, dlq, batch_id)
             stats_fn = cumulative_stats(batch_id) if context_scope == "lake" else None
             rows = transform_good(
@@ -148,7 +153,7 @@ def run_etl_stream(
         if archive_dir:
             r = r.option("sourceArchiveDir", archive_dir)
     if source_format == "csv":
-        r = r.option("header", "true").option("mode", "PERMISSIVE")
+        r = r.option("header", "true").option("mode", "PERMISSIVE").option("escape", '"')
         if malformed_to_dlq:
             schema = StructType([*source_schema.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
             r = r.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
@@ -158,12 +163,14 @@ def run_etl_stream(
     w = stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     q = with_trigger(w, trigger).start()
     if trigger == "availableNow":
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise RuntimeError(f"ETL stream failed: {q.exception()}")
+        drain(q, timeout_s, "ETL stream")
     return q
 
 
+#: DLQ batch of the rows without a key
+NULL_KEY_BATCH = -1
+
+
 def run_etl_increment(
     spark: SparkSession,
     source: DataFrame,
@@ -179,7 +186,7 @@ def run_etl_increment(
     twin for sources that are tables rather than landing files).
 
     The committed progress is ``<state>/commits/<N>.json`` (the last key of
-    batch N), written atomically by rename after the batch's writes, like a
+    batch N), created after the batch's writes and never replaced, like a
     streaming offset log. A run takes the next slice - rows with ``key``
     greater than the last committed key, in key order, at most ``cap`` rows
     (``cap = 0``: everything pending) - processes it as batch N+1 with the
@@ -188,34 +195,48 @@ def run_etl_increment(
     under the same batch id and replaces its lake and DLQ folders. Returns
     the batch id, or None when there was nothing new.
 
-    ``key`` must be unique and non-null, and grow with new data (an id or an
-    ingestion time): rows with a null key are never selected.
+    ``key`` must be unique and grow with new data (an id or an ingestion
+    time). Times are compared and stored as integers (microseconds or days),
+    computed inside Spark, so no time zone of a driver takes part. Rows with a
+    null key have no place in the order: all of them are in the DLQ under
+    ``batch_id = NULL_KEY_BATCH`` with reason ``null_key``, renewed by every
+    run. A row that arrives late, with a key at or below the committed one,
+    raises: it would never be taken.
     """
     import json
 
     from pyspark.sql import functions as F
 
+    from ratelake.operators.quality import REASON
     from ratelake.session import list_markers, read_marker, write_marker
-    from ratelake.sources.ingest import slice_boundary
-
+    from ratelake.sources.ingest import order_value, slice_boundary
+
+    place = order_value(source, key)
+    kind = source.select(place).schema[0].dataType
+    if source.schema[key].nullable:
+        lost = source.filter(F.col(key).isNull()).withColumn(REASON, F.array(F.lit("null_key")))
+        if not lost.isEmpty():
+            write_dlq(lost, dlq, NULL_KEY_BATCH)
     commits = f"{state.rstrip('/')}/commits"
     done = list_markers(spark, commits)
-    after, batch_id = None, 0
+    after, batch_id, before = None, 0, 0
     if done:
-        last_commit = json.loads(read_marker(spark, f"{commits}/{done[-1]}"))
-        after = F.lit(last_commit["last_key"]).cast(source.schema[key].dataType)
-        batch_id = int(last_commit["batch_id"]) + 1
-
-    pending = source if after is None else source.filter(F.col(key) > after)
-    last = (
-        slice_boundary(pending, key, None, cap)
-        if cap and cap > 0
-        else pending.agg(F.max(F.col(key))).first()[0]
-    )
+        commit = json.loads(read_marker(spark, f"{commits}/{done[-1]}"))
+        after = F.lit(commit["last_key"]).cast(kind)
+        batch_id, before = int(commit["batch_id"]) + 1, commit.get("rows")
+        there = source.filter(place <= after).count() if before is not None else None
+        if before is not None and there > before:
+            raise ValueError(f"{there - before} rows of the source came late, with keys up to the committed {commit['last_key']}")
+
+    pending = source if after is None else source.filter(place > after)
+    keys = pending.select(place.alias("key"))
+    last = slice_boundary(keys, "key", None, cap) if cap and cap > 0 else keys.agg(F.max("key")).first()[0]
     if last is None:
         return None  # no new data: nothing written, nothing committed
-    batch = pending.filter(F.col(key) <= F.lit(last))
+    text = last if isinstance(last, (int, float, str)) else str(last)
+    batch = pending.filter(place <= F.lit(text).cast(kind))
     make_batch_processor(spark, lake, dlq, topic, **processor_options)(batch, batch_id)
-    marker = {"batch_id": batch_id, "last_key": last if isinstance(last, (int, float, str)) else str(last)}
+    rows = batch.count()
+    marker = {"batch_id": batch_id, "last_key": text, "rows": None if before is None else before + rows}
     write_marker(spark, f"{commits}/{batch_id:020d}.json", json.dumps(marker))
     return batch_id

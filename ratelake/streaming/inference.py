@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,13 +20,17 @@ from ratelake.streaming.consumer import with_trigger
 
 def score_stream(parsed: DataFrame, model_path: str, features: Sequence[str],
                  keep: Sequence[str] = ()) -> DataFrame:
-    """Rows with all ``features`` present, scored by the saved model (a row
-    with a missing feature would fail the assembler, so it is skipped)."""
+    """Every row, scored by the saved model; a row without one of the
+    ``features`` keeps a null prediction."""
     model = PipelineModel.load(model_path)
-    ready = parsed
+    for stage in model.stages:
+        if isinstance(stage, VectorAssembler):
+            stage.setHandleInvalid("keep")  # such rows get no prediction below
+    ready = F.lit(True)
     for f in features:
-        ready = ready.filter(F.col(f).isNotNull())
-    return model.transform(ready).select(*keep, "prediction")
+        ready = ready & F.col(f).isNotNull()
+    scored = model.transform(parsed)
+    return scored.select(*keep, F.when(ready, F.col("prediction")).alias("prediction"))
 
 
 def start_scoring(scored: DataFrame, path: str, checkpoint: str, trigger: str | None = "availableNow") -> StreamingQuery:
