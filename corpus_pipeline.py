@@ -39,8 +39,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays, the one with the smallest id."""
     uid, tkey = _fresh(docs, "uid"), _fresh(docs, "tkey")
-    # a stand-in id for rows without one, below all others of this table's kind
-    stand_in = F.lit(-(1 << 62)) + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    # rows without an id get a stand-in above all others, so ids name the classes
+    stand_in = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)
     named = docs.withColumn(uid, F.coalesce(F.col("doc_id").cast("long"), stand_in)).withColumn(tkey, F.xxhash64("text"))
     classes = chosen_path.jaccard_join(named.select(F.col(uid).alias("doc_id"), "text"))
     first = classes.where("doc_id = class_id").select(F.col("doc_id").alias(uid)).distinct()

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelake.llm import textkit as tk
-from ratelake.llm.sparkkit import components, id_column, key_runs, materialize, no_id, shuffle_partitions
+from ratelake.llm.sparkkit import components, key_runs, materialize, shuffle_partitions
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -51,6 +51,7 @@ BLOCK = 512
 LOOSE = THRESHOLD - 5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / COORDS)
 #: exact comparison: rows and bytes of text of one block
 EXACT_ROWS, EXACT_BYTES = 256, 4 << 20
+NO_ID = (1 << 63) - 1
 _U = np.uint64
 _A = (tk.mix(np.arange(1, COORDS + 1)) >> _U(32)).astype(np.uint32) | np.uint32(1)
 _B = (tk.mix(np.arange(1001, COORDS + 1001)) >> _U(32)).astype(np.uint32)
@@ -308,7 +309,8 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL, name: str = "cps") ->
     ``n_copies``, smallest id and size of its class of equal sets."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    texts = docs.select(id_column().alias("id"), "text")
+    # a null id counts as the largest, so that it names a class only if all ids are null
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
     rows = materialize(texts.mapInArrow(_sets, "id long, fp long, n int, sketch binary"), f"{name}-sets")
     known = rows.where("fp is not null")
     classes = known.groupBy("fp").agg(F.min("id").alias("copy_id"), F.count("*").alias("copies"), F.max("sketch").alias("sketch"))
@@ -342,11 +344,11 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL, name: str = "cps") ->
 
     def real(c: str):
         c = F.coalesce(F.col(c), F.col("id"))
-        return F.when(c != no_id, c)
+        return F.when(c != NO_ID, c)
 
     zero = F.lit(0).cast("long")
     return out.select(
-        F.when(F.col("id") != no_id, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
         real("class_id").alias("class_id"),
         (F.coalesce("n_docs", zero) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links"),
         F.coalesce("n_texts", zero).alias("n_link_texts"),

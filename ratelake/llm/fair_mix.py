@@ -72,7 +72,8 @@ class Mix(NamedTuple):
 
 
 def _order(epoch: int) -> list[Column]:
-    finish = (F.lit(epoch) * F.col("source_size") + F.col("upto")) / F.col("target")
+    # a source without words has target 0 and no finish time
+    finish = F.try_divide(F.lit(epoch) * F.col("source_size") + F.col("upto"), F.col("target"))
     return [finish, F.col("source_rank"), F.lit(epoch), F.col("shuffle"), F.col("doc_id"), F.col("upto")]
 
 

@@ -9,8 +9,8 @@
 3. A class is valid if its tokens stand in the same order on every page and
    fall into one place of the class around it; valid classes, nested this way,
    are the host's template.
-4. Extraction walks each page once more: tokens of the template are dropped,
-   what stands between them are slots. Slots inside menus, headers, footers,
+4. Extraction walks each page once more: what stands between tokens of the
+   template are slots; a block that is nothing but template is dropped. Slots inside menus, headers, footers,
    sidebars, notices, adverts, forms, comments, scripts and styles (by element,
    role, class or id) are no main text; of the others the article's are kept.
 
@@ -249,14 +249,16 @@ def main_text(html: str, template: frozenset) -> str:
     """The slots of a page that are main text."""
     blocks: dict[str, list[str]] = {"article": [], "main": [], "body": []}
     piece: list[str] = []
-    zone = "body"
+    zone, slot = "body", False  # slot: the block holds more than template
 
     def flush() -> None:
+        nonlocal slot
         if piece:
             text = _clean(piece)
             piece.clear()
-            if text:
+            if text and slot:
                 blocks[zone].append(text)
+        slot = False
 
     depth = {"article": False, "main": False}
     for kind, value, stack in walk(html):
@@ -268,10 +270,9 @@ def main_text(html: str, template: frozenset) -> str:
             if now != zone:
                 flush()
                 zone = now
-            if template and value.strip():
+            if not slot and value.strip():
                 path = "/".join(e[0] for e in stack[-4:])
-                if _code(f"node {path} {' '.join(value.split())}") in template:
-                    continue
+                slot = not template or _code(f"node {path} {' '.join(value.split())}") not in template
             piece.append(value)
         elif value == "br":
             piece.append(" ")

@@ -2,7 +2,9 @@
 log-likelihood ratio between a trusted target and the raw corpus.
 
 Both sides are multinomials over ``BUCKETS`` hashes of the texts' byte
-n-grams, with one added to every count. A document's score is the mean over
+n-grams. One is added to every raw count, and the target gets the raw
+distribution as a prior of the same mass, so that n-grams a small target has
+not seen count as rarer by a bounded factor only. A document's score is the mean over
 its n-grams of ``log p_target - log p_raw``; documents under ``MIN_SCORE`` are
 rejected, and so are those that fail the base rules (under 50 words, or more
 than half of the words inside repeated three-word windows).
@@ -118,13 +120,13 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     ids = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct()
     flagged = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
     counts = flagged.select("text", F.col("trusted_id").isNotNull().alias("trusted")).mapInArrow(_count, "bucket int, raw long, target long")
-    out = np.ones((2, BUCKETS))
+    out = np.zeros((2, BUCKETS))
     for row in counts.groupBy("bucket").agg(F.sum("raw"), F.sum("target")).collect():  # at most BUCKETS rows
         out[0, row[0]] += row[1]
         out[1, row[0]] += row[2]
-    if out[1].sum() == BUCKETS:
-        return np.zeros(BUCKETS)
-    return np.log(out[1] / out[1].sum()) - np.log(out[0] / out[0].sum())
+    raw = (out[0] + 1) / (out[0].sum() + BUCKETS)
+    target = (out[1] + BUCKETS * raw) / (out[1].sum() + BUCKETS)
+    return np.log(target) - np.log(raw)
 
 
 def trusted_sample(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
