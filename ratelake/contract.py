@@ -52,6 +52,14 @@ FEATURE_COLUMNS = [
     "is_gluten_free",
     "city_avg_rating",
 ]
+EDA_COLUMNS = [
+    "avg_rating",
+    "total_reviews_count",
+    "price_level_num",
+    "is_claimed",
+    "is_veg_friendly",
+    "is_gluten_free",
+]
 LABEL_COLUMN = "avg_rating"
 PARTITION_COLUMN = "country"
 PRICE_LEVELS = {"$": 1, "$$ - $$$": 2, "$$$$": 3}  # any other text, or null: 0

@@ -21,6 +21,7 @@ from ratelake.operators.model import (
     with_split,
 )
 from ratelake.plans.registry import PIPELINE_CTE, register, rnd, sql_rnd
+from ratelake.session import materialize
 from ratelake.plans.venue import venue_pipeline, venue_rows
 from ratelake.sources.tables import table
 
@@ -105,10 +106,114 @@ def _venue_train_test(spark: SparkSession, sf_dir: str):
     return prepared_split(_lake(spark, sf_dir))
 
 
-@register("ml_linear_coefficients")
+def _least_squares_cte(features: list[str]) -> str:
+    """``rated`` (features x0.., label y, split), ``mean`` and ``fit``: the
+    least-squares coefficients b0.. and the intercept a of the training rows.
+    The centred columns are made orthogonal one after another, then the
+    triangular system is solved from the last feature back."""
+    n = len(features)
+    x = [f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(features)]
+    parts = [
+        f"rated AS MATERIALIZED (SELECT {', '.join(VENUE_KEY)}, {', '.join(x)}, avg_rating AS y, "
+        f"{_sql_split(_VENUE_KEY_SQL)} AS split FROM pipeline WHERE avg_rating > 0)",
+        f"mean AS MATERIALIZED (SELECT {', '.join(f'AVG(x{i}) AS m{i}' for i in range(n))}, AVG(y) AS my "
+        "FROM rated WHERE split = 'train')",
+        f"g0 AS MATERIALIZED (SELECT {', '.join(f'x{i} - m{i} AS x{i}' for i in range(n))}, y - my AS y "
+        "FROM rated, mean WHERE split = 'train')",
+    ]
+    for k in range(n):
+        later = range(k + 1, n)
+        r = [f"SUM(x{k} * x{j}) / SUM(x{k} * x{k}) AS r{k}_{j}" for j in later]
+        parts.append(f"p{k} AS MATERIALIZED (SELECT {', '.join([*r, f'SUM(x{k} * y) / SUM(x{k} * x{k}) AS c{k}'])} FROM g{k})")
+        rest = [f"x{j} - r{k}_{j} * x{k} AS x{j}" for j in later]
+        parts.append(f"g{k + 1} AS MATERIALIZED (SELECT {', '.join([*rest, f'y - c{k} * x{k} AS y'])} FROM g{k}, p{k})")
+    parts.append(f"s{n - 1} AS (SELECT c{n - 1} AS b{n - 1} FROM p{n - 1})")
+    for k in range(n - 2, -1, -1):
+        known = "".join(f" - r{k}_{j} * b{j}" for j in range(k + 1, n))
+        parts.append(f"s{k} AS (SELECT s{k + 1}.*, c{k}{known} AS b{k} FROM p{k}, s{k + 1})")
+    a = "".join(f" - b{i} * m{i}" for i in range(n))
+    parts.append(f"fit AS MATERIALIZED (SELECT s0.*, my{a} AS a FROM s0, mean)")
+    return ",\n    ".join(parts)
+
+
+_FIT_CTE = f"WITH {PIPELINE_CTE},\n    {_least_squares_cte(FEATURE_COLUMNS)}"
+
+
+@register(
+    "ml_linear_coefficients",
+    f"{_FIT_CTE}\n    "
+    + "\n    UNION ALL ".join(
+        f"SELECT '{name}' AS feature, {sql_rnd(c)} AS coefficient FROM fit"
+        for name, c in [*((f, f"b{i}") for i, f in enumerate(FEATURE_COLUMNS)), ("(intercept)", "a")]
+    ),
+)
 def q_ml_linear_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _venue_train_test(spark, sf_dir)
-    return linear_coefficients(spark, fit_linear(train), FEATURE_COLUMNS)
+    coef = linear_coefficients(spark, fit_linear(train), FEATURE_COLUMNS)
+    return coef.withColumn("coefficient", rnd("coefficient"))
+
+
+@register(
+    "ml_score_linear",
+    f"""{_FIT_CTE}
+    SELECT {", ".join(VENUE_KEY)}, y AS label,
+      {sql_rnd("a" + "".join(f" + b{i} * x{i}" for i in range(len(FEATURE_COLUMNS))))} AS prediction
+    FROM rated, fit WHERE split = 'test'""",
+)
+def q_ml_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of the six-feature linear model for the held-out rows."""
+    train, test = _venue_train_test(spark, sf_dir)
+    return score(fit_linear(train), test, keep=VENUE_KEY).withColumn("prediction", rnd("prediction"))
+
+
+def _n_rated(split: str) -> str:
+    return f"SELECT CAST(COUNT(*) AS BIGINT) AS n FROM pipeline WHERE avg_rating > 0 AND {_sql_split(_VENUE_KEY_SQL)} = '{split}'"
+
+
+@register(
+    "ml_forest_checks",
+    f"""WITH {PIPELINE_CTE}, t AS ({_n_rated("train")})
+    SELECT n AS n_train, CAST({len(FEATURE_COLUMNS)} AS BIGINT) AS n_features,
+      CAST(1.0 AS DOUBLE) AS total, CAST(100.0 AS DOUBLE) AS total_pct, TRUE AS none_negative FROM t""",
+)
+def q_ml_forest_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of the importances whatever the trees are."""
+    train, _ = _venue_train_test(spark, sf_dir)
+    imp = forest_importances(spark, fit_forest(train), FEATURE_COLUMNS)
+    return imp.agg(
+        F.lit(train.count()).alias("n_train"),
+        F.countDistinct("feature").alias("n_features"),
+        rnd(F.sum("importance")).alias("total"),
+        rnd(F.sum("importance_pct"), 4).alias("total_pct"),
+        F.min(F.col("importance") >= 0).alias("none_negative"),
+    )
+
+
+@register(
+    "ml_compare_checks",
+    f"""WITH {PIPELINE_CTE}, t AS ({_n_rated("test")})
+    SELECT model, n AS n_test, TRUE AS rmse_agrees, TRUE AS r2_agrees, TRUE AS best_is_lowest
+    FROM t, (VALUES ('linear_regression'), ('random_forest')) AS m(model)""",
+)
+def q_ml_compare_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison against metrics computed anew from stored predictions."""
+    res = train_and_compare(spark, _lake(spark, sf_dir))
+    each = [score(m, res["test"]).withColumn("model", F.lit(name)) for name, m in res["models"].items()]
+    stored = materialize(each[0].unionByName(each[1]), "ml_compare_checks")
+    square = (F.col("label") - F.col("prediction")) ** 2
+    again = stored.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_test"),
+        F.sqrt(F.avg(square)).alias("_rmse"),
+        (1 - F.avg(square) / F.var_pop("label")).alias("_r2"),
+    )
+    told = res["comparison"].collect()  # one row per model
+    best = [r["rmse"] for r in told if r["is_best"]]
+    return again.join(F.broadcast(res["comparison"]), "model").select(
+        "model", "n_test",
+        (F.abs(F.col("rmse") - F.col("_rmse")) < 1e-9).alias("rmse_agrees"),
+        (F.abs(F.col("r2") - F.col("_r2")) < 1e-9).alias("r2_agrees"),
+        F.lit(best == [min(r["rmse"] for r in told)]).alias("best_is_lowest"),
+    )
 
 
 @register("ml_forest_importances")

@@ -6,25 +6,16 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratelake.contract import EDA_COLUMNS
 from ratelake.functions.encode import binary_flags, ordinal_encode
 from ratelake.operators.profile import boxplot_stats, corr_matrix, describe_column, histogram
 from ratelake.plans.registry import VENUE_CTE, register, rnd, sql_rnd
 from ratelake.plans.venue import venue_rows
 from ratelake.sources.tables import table
 
-# the exploratory frame of the reference: price text compared unstripped,
-# no imputation, so rows with a null rating or count drop out listwise
-EDA_COLUMNS = [
-    "avg_rating",
-    "total_reviews_count",
-    "price_level_num",
-    "is_claimed",
-    "is_veg_friendly",
-    "is_gluten_free",
-]
-
-
 def eda_frame(raw: DataFrame) -> DataFrame:
+    """The exploratory frame of the reference: price text compared unstripped,
+    no imputation, so rows with a null rating or count drop out listwise."""
     enc = raw.withColumn("price_level_num", ordinal_encode("price_level", strip=False))
     return binary_flags(enc)
 
@@ -154,7 +145,7 @@ def _round_corr(df: DataFrame) -> DataFrame:
     return df.withColumn("corr", rnd("corr"))
 
 
-@register("corr_matrix", _corr_sql("eda", EDA_COLUMNS, _EDA_SQL.replace(VENUE_CTE, "WITH " + VENUE_CTE, 1)))
+@register("corr_matrix", _corr_sql("eda", EDA_COLUMNS, "WITH " + _EDA_SQL))
 def q_corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_corr(corr_matrix(eda_frame(venue_rows(spark, sf_dir)), EDA_COLUMNS))
 

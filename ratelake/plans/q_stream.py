@@ -22,6 +22,8 @@ from ratelake.functions.wire import encode_json, parse_json, to_json_value
 from ratelake.plans.registry import (
     PIPELINE_CTE,
     VENUE_CTE,
+    batches_cte,
+    pipeline_cte,
     _CONTRACT_ROUNDED_SQL,
     register,
     rnd,
@@ -41,6 +43,7 @@ from ratelake.streaming.consumer import (
     latest_counts,
     latest_snapshot,
     parsed_stream,
+    rocksdb_state,
     run_consumer,
     run_consumer_fused,
     start_count,
@@ -311,11 +314,29 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish(encode_json(rows), spec)
     publish(encode_json(rows), spec)
     root = shared_path(spark, "stream_dedup")
-    parsed = dedup(parsed_stream(spark, spec, max_per_trigger=2), VENUE_KEY)
-    _await(start_raw_audit(parsed, f"{root}/out", f"{root}/_ckpt"))
+    with rocksdb_state(spark):
+        parsed = dedup(parsed_stream(spark, spec, max_per_trigger=2), VENUE_KEY)
+        _await(start_raw_audit(parsed, f"{root}/out", f"{root}/_ckpt"))
     return round_contract(spark.read.schema(CONTRACT_SCHEMA).parquet(f"{root}/out"))
 
 
+@register("stream_dedup_events", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def q_stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is delivered twice; state is bounded by the event time. The
+    delay is the span of the table, so that no order of files makes a row late."""
+    events = table(spark, sf_dir, "events")
+    span = events.select(F.timestamp_diff("SECOND", F.min(F.col("ts").cast("timestamp")), F.max(F.col("ts").cast("timestamp")))).first()[0]
+    spec = TopicSpec(kind="files", path=shared_path(spark, "topic_dup_events"))
+    messages = events.select(to_json_value(events.columns).alias("value"))
+    publish(messages, spec)
+    publish(messages, spec)
+    root = shared_path(spark, "stream_dedup_events")
+    parsed = parsed_stream(spark, spec, EVENTS_SCHEMA, max_per_trigger=2)
+    once = dedup(parsed, ["event_id"], event_time="ts", delay=f"{(span or 0) + 3600} seconds")
+    _await(start_raw_audit(once, f"{root}/out", f"{root}/_ckpt"))
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{root}/out").select("event_id", "ts", "user_id", "event_type", "value")
+
+
 _TRAIN_SQL = (
     "('0x' || substr(md5('42:' || concat_ws(':', restaurant_name, country, city, "
     "CAST(latitude AS VARCHAR), CAST(longitude AS VARCHAR))), 1, 8))::BIGINT % 100 < 80"
@@ -355,22 +376,7 @@ def q_stream_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 INCREMENT_RUNS = 3  # the cap is a third of the source, whatever its size
 
-_INCREMENT_SQL = PIPELINE_CTE.replace(
-    "FROM venue WHERE", "FROM b WHERE"
-).replace(
-    "SELECT venue_id, restaurant_name, country, city, latitude, longitude,\n    COALESCE",
-    "SELECT batch_id, venue_id, restaurant_name, country, city, latitude, longitude,\n    COALESCE",
-).replace(
-    "SELECT venue_id, restaurant_name, country, city, latitude, longitude, avg_rating,",
-    "SELECT batch_id, venue_id, restaurant_name, country, city, latitude, longitude, avg_rating,",
-).replace("PARTITION BY city", "PARTITION BY batch_id, city").replace(
-    f"{VENUE_CTE},",
-    f"""{VENUE_CTE},
-b AS (SELECT *, CAST((ROW_NUMBER() OVER (ORDER BY venue_id) - 1)
-                // CAST(CEIL(COUNT(*) OVER () / {float(INCREMENT_RUNS)!r}) AS BIGINT) AS BIGINT) AS batch_id
-      FROM venue),""",
-    1,
-)
+_INCREMENT_SQL = pipeline_cte(batches=INCREMENT_RUNS)
 
 
 @register("etl_increment", f"WITH {_INCREMENT_SQL} SELECT batch_id, {_CONTRACT_ROUNDED_SQL} FROM pipeline")
@@ -396,9 +402,7 @@ def q_etl_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 _LAKE_SCOPE_SQL = f"""WITH {VENUE_CTE},
-b AS (SELECT *, CAST((ROW_NUMBER() OVER (ORDER BY venue_id) - 1)
-                // CAST(CEIL(COUNT(*) OVER () / {float(INCREMENT_RUNS)!r}) AS BIGINT) AS BIGINT) AS batch_id
-      FROM venue),
+{batches_cte(INCREMENT_RUNS)},
 good AS (
   SELECT batch_id, restaurant_name, country, city, latitude, longitude,
     COALESCE(avg_rating, 0) AS avg_rating,

@@ -60,28 +60,46 @@ def _load_all() -> None:
 VENUE_CTE = f"venue AS ({VENUE_SQL.strip()})"
 _GOOD_WHERE = " AND ".join(f"{c} IS NOT NULL" for c in CRITICAL_COLUMNS)
 _BAD_WHERE = " OR ".join(f"{c} IS NULL" for c in CRITICAL_COLUMNS)
-PIPELINE_CTE = f"""{VENUE_CTE},
+
+
+def batches_cte(batches: int) -> str:
+    """``b``: the venues in key order, cut into so many batches."""
+    return f"""b AS (SELECT *, CAST((ROW_NUMBER() OVER (ORDER BY venue_id) - 1)
+                // CAST(CEIL(COUNT(*) OVER () / {float(batches)!r}) AS BIGINT) AS BIGINT) AS batch_id
+      FROM venue)"""
+
+
+def pipeline_cte(rated_mean: bool = False, batches: int = 0) -> str:
+    """``venue``, ``good`` and ``pipeline``. With ``rated_mean`` imputed rows
+    do not count in the city's mean; with ``batches`` the means are per batch."""
+    batch = "batch_id, " if batches else ""
+    raw = "avg_rating AS raw_rating, " if rated_mean else ""
+    mean = f"AVG({'raw_rating' if rated_mean else 'avg_rating'}) OVER (PARTITION BY {batch}city)"
+    return f"""{VENUE_CTE},
+{batches_cte(batches) + "," if batches else ""}
 good AS (
-  SELECT venue_id, restaurant_name, country, city, latitude, longitude,
-    COALESCE(avg_rating, 0) AS avg_rating,
+  SELECT {batch}venue_id, restaurant_name, country, city, latitude, longitude,
+    {raw}COALESCE(avg_rating, 0) AS avg_rating,
     COALESCE(total_reviews_count, 0) AS total_reviews_count,
     CASE trim(price_level) WHEN '$' THEN 1 WHEN '$$ - $$$' THEN 2 WHEN '$$$$' THEN 3 ELSE 0 END
       AS price_level_num,
     CASE WHEN claimed = 'Claimed' THEN 1 ELSE 0 END AS is_claimed,
     CASE WHEN vegetarian_friendly = 'Y' THEN 1 ELSE 0 END AS is_veg_friendly,
     CASE WHEN gluten_free = 'Y' THEN 1 ELSE 0 END AS is_gluten_free
-  FROM venue WHERE {_GOOD_WHERE}
+  FROM {"b" if batches else "venue"} WHERE {_GOOD_WHERE}
 ),
 pipeline AS (
-  SELECT venue_id, restaurant_name, country, city, latitude, longitude, avg_rating,
-    AVG(avg_rating) OVER (PARTITION BY city) AS city_avg_rating,
-    avg_rating - AVG(avg_rating) OVER (PARTITION BY city) AS rating_diff_city,
+  SELECT {batch}venue_id, restaurant_name, country, city, latitude, longitude, avg_rating,
+    {mean} AS city_avg_rating, avg_rating - {mean} AS rating_diff_city,
     CAST(total_reviews_count AS INT) AS total_reviews_count,
     CAST(price_level_num AS INT) AS price_level_num, CAST(is_claimed AS INT) AS is_claimed,
     CAST(is_veg_friendly AS INT) AS is_veg_friendly, CAST(is_gluten_free AS INT) AS is_gluten_free
   FROM good
 )"""
 
+
+PIPELINE_CTE = pipeline_cte()
+
 # Half-up rounding with a guard band, written as plain double arithmetic so
 # Spark and DuckDB give identical digits. Data built from 2-decimal amounts
 # often puts a mean exactly on a half unit of the last kept digit, where the
@@ -128,13 +146,7 @@ def q_venue_pipeline_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_contract(venue_pipeline(venue_rows(spark, sf_dir), context_strategy="window"))
 
 
-_RATED_CTE = PIPELINE_CTE.replace(
-    "COALESCE(avg_rating, 0) AS avg_rating,",
-    "avg_rating AS raw_rating, COALESCE(avg_rating, 0) AS avg_rating,",
-).replace("AVG(avg_rating) OVER", "AVG(raw_rating) OVER")
-
-
-@register("venue_pipeline_rated_mean", f"WITH {_RATED_CTE} SELECT {_CONTRACT_ROUNDED_SQL} FROM pipeline")
+@register("venue_pipeline_rated_mean", f"WITH {pipeline_cte(rated_mean=True)} SELECT {_CONTRACT_ROUNDED_SQL} FROM pipeline")
 def q_venue_pipeline_rated_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pipeline with ``exclude_imputed``: unrated venues keep their
     imputed 0 but do not count in their city's mean."""

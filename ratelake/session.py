@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SUBDIR = "ratelake"
+#: paths written by ``materialize``, by application
+_made: dict[str, list[str]] = {}
 
 
 def build_session(
@@ -112,13 +114,23 @@ def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared folder and return a
     DataFrame reading it back: a lineage cut for large intermediates
     (columnar and compressed, unlike an RDD checkpoint), and every later pass
-    sees exactly the same rows even if executors are lost."""
+    sees exactly the same rows even if executors are lost. The table stays
+    until ``clean_up`` is called."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean_up(spark: SparkSession) -> int:
+    """Delete every table that ``materialize`` wrote in this application, and
+    return how many there were. To be called when no DataFrame built on them
+    is needed any more: after a job's results are written."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    return sum(delete_path(spark, path) for path in paths)
+
+
 def list_batch_ids(spark: SparkSession, root: str, column: str = "batch_id") -> list[int]:
     """Batch ids present as ``<root>/<column>=<N>`` folders (one listing call,
     no data read)."""

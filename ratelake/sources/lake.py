@@ -22,6 +22,8 @@ so a plain ``spark.read.parquet(lake)`` rebuilds both columns).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -32,6 +34,7 @@ from ratelake.contract import (
     PARTITION_COLUMN,
     require_columns,
 )
+from ratelake.session import delete_path, list_batch_ids
 
 BATCH_COLUMN = "batch_id"
 
@@ -79,17 +82,31 @@ def write_batch(
     return path
 
 
+def _drop_batches(df: DataFrame, root: str, retried: Sequence[int]) -> None:
+    """Delete the folders of the batches that ``df`` holds, or that are named,
+    if earlier runs wrote them (a fresh root costs one listing and no job)."""
+    spark = df.sparkSession
+    there = list_batch_ids(spark, root, BATCH_COLUMN)
+    if not there:
+        return
+    held = df.select(BATCH_COLUMN).where(F.col(BATCH_COLUMN).isin(there)).distinct()
+    for n in {r[0] for r in held.collect()} | set(retried) & set(there):  # batch ids only
+        delete_path(spark, batch_path(root, n))
+
+
 def write_batches(
     df: DataFrame,
     root: str,
     by: str | None = PARTITION_COLUMN,
+    retried: Sequence[int] = (),
 ) -> None:
     """Bulk backfill: many batches in one job (``batch_id`` column present)
-    into ``<root>/batch_id=<N>/<by>=<v>``. Dynamic overwrite replaces only the
-    (batch, country) folders present in ``df`` and leaves other batches
-    untouched; it does not remove a country an earlier attempt of the same
-    batch wrote, so retries of a single batch go through ``write_batch``."""
+    into ``<root>/batch_id=<N>/<by>=<v>``. Every batch in ``df`` is replaced
+    as a whole, countries of an earlier attempt included; other batches are
+    untouched. ``retried`` names batches to replace that may have no row in
+    ``df``. ``df`` must not read from ``root``."""
     require_columns(df, [BATCH_COLUMN])
+    _drop_batches(df, root, retried)
     out = df
     if by is not None:
         require_columns(df, [by])
@@ -140,10 +157,13 @@ def write_dlq(bad: DataFrame, root: str, batch_id: int) -> str:
     return path
 
 
-def write_dlq_batches(bad: DataFrame, root: str) -> None:
+def write_dlq_batches(bad: DataFrame, root: str, retried: Sequence[int] = ()) -> None:
     """Bad rows of many batches at once (``batch_id`` column present): each
-    batch's folder is replaced, other batches are untouched."""
+    batch's folder is replaced, other batches are untouched. A batch that is
+    run again and has no bad row any more is not in ``bad``: name it in
+    ``retried`` and its old rows go."""
     require_columns(bad, [BATCH_COLUMN])
+    _drop_batches(bad, root, retried)
     (
         rebalance_for_write(bad, BATCH_COLUMN)
         .write.mode("overwrite")

@@ -12,7 +12,8 @@ state entry per country (a few hundred at most), never evicted.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -221,10 +222,11 @@ def dedup(parsed: DataFrame, keys: list[str], event_time: str | None = None,
           delay: str | None = None) -> DataFrame:
     """Drop redelivered messages (the topic is at-least-once).
 
-    Without an event time the state holds every key seen (grows with the
-    distinct keys; use the RocksDB state store for large key sets). With
-    ``event_time`` and ``delay`` the state is bounded by the watermark
-    (``dropDuplicatesWithinWatermark``)."""
+    With ``event_time`` and ``delay`` the state is bounded by the watermark
+    (``dropDuplicatesWithinWatermark``); rows later than ``delay`` are dropped,
+    as any watermark does. Without them the state holds every key seen and
+    grows with the distinct keys: that form has to be asked for by choosing
+    the RocksDB state store (``rocksdb_state``), and raises otherwise."""
     if event_time and delay:
         from pyspark.sql.types import TimestampNTZType
 
@@ -238,9 +240,25 @@ def dedup(parsed: DataFrame, keys: list[str], event_time: str | None = None,
                 .drop("_event_time")
             )
         return parsed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    if parsed.isStreaming and "RocksDB" not in parsed.sparkSession.conf.get(_STATE_STORE):
+        raise ValueError("dedup keeps every key without event_time and delay: give both, or use rocksdb_state")
     return parsed.dropDuplicates(keys)
 
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, off the JVM heap."""
+    before = spark.conf.get(_STATE_STORE)
+    spark.conf.set(_STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_STATE_STORE, before)
+
+
 def run_consumer_fused(
     spark: SparkSession,
     spec: TopicSpec,
