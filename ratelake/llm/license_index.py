@@ -1,10 +1,10 @@
 """Licence scans with a positional index of rare words (built-in functions only).
 
 Templates are short licence notices. Every template word that is not a
-function word has postings (template, position). A file's licence words are
-looked up by corpus IDF, the ``RARE`` highest first; each occurrence votes for
-the places (its position minus the posting's) where a template could start, so
-postings meet at equal relative positions. The best place of a template is
+function word has postings (template, position). Every occurrence of such a
+word in a file votes with its corpus IDF for the places (its position minus the
+posting's) where a template could start, so postings meet at equal relative
+positions; no word of a file is left out. The best place of a template is
 scored by the IDF it has matched, and it counts only where all of the
 template's mandatory phrases stand at their places. Besides this, the base
 phrases are found wherever their words stand consecutively.
@@ -55,8 +55,6 @@ TEMPLATES = (
 )
 #: function words: no postings, but they count inside mandatory phrases
 FUNCTION_WORDS = frozenset("a and any any are by for in into is of or person the this to use with".split())
-#: rarest licence words of a file that are looked up
-RARE = 12
 
 
 def _runs(phrase: str, text: str) -> int:
@@ -120,12 +118,8 @@ def template_matches(hits: DataFrame, n_docs: int) -> DataFrame:
     idf = df.select("word", F.log((F.lit(n_docs) + 1) / (F.col("df") + F.lit(0.5))).alias("idf"))
     weights = postings.where("posted").join(F.broadcast(idf), "word", "left").fillna(0.0, ["idf"])
     total = weights.groupBy("template").agg(F.sum("idf").alias("total"))
-    posted = postings.where("posted").select("word").distinct().join(idf, "word")
-    of_file = hits.join(F.broadcast(posted), "word")
-    # the file's rarest licence words; hits of one word share a rank
-    rank = F.dense_rank().over(Window.partitionBy("id", "tkey").orderBy(F.desc("idf"), "word"))
-    rare = of_file.withColumn("rank", rank).where(F.col("rank") <= RARE)
-    votes = rare.join(F.broadcast(postings.where("posted").select("template", "tpos", "word")), "word")
+    posted = weights.select("template", "tpos", "word", "idf")
+    votes = hits.join(F.broadcast(posted), "word")
     places = votes.groupBy("id", "tkey", "template", (F.col("pos") - F.col("tpos")).alias("start")).agg(F.sum("idf").alias("matched"))
     need = postings.where("phrase").groupBy("template").agg(F.count("*").alias("need"))
     phrase = postings.where("phrase").select("template", "tpos", "word")

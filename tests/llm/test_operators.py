@@ -232,6 +232,17 @@ def test_license_templates(spark):
     assert out == {1: "cc-by,cc-by-nc-4.0", 2: "mit", 3: "", 4: "apache-2.0"}
 
 
+def test_license_files_of_many_notices(spark):
+    # every notice has its label, however many rarer licence words the file has
+    four = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software. Redistribution and use in source and binary forms, with or without modification, are permitted. Licensed under CC BY NC 4.0. Licensed under the Apache License Version 2.0"
+    every = " x ".join(t for _, t, _ in license_index.TEMPLATES)
+    data = [(1, four), (2, every)] + [(3 + i, "licensed under the apache license, version 2 0, or cc by nc 4 0") for i in range(20)]
+    out = {r.doc_id: r for r in license_index.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert set(out[1].labels.split(",")) >= {"mit", "bsd", "cc-by-nc-4.0", "apache-2.0"}
+    assert set(out[2].labels.split(",")) >= {label for label, _, _ in license_index.TEMPLATES}
+    assert abs(out[1].score - 1) < 1e-9 and abs(out[2].score - 1) < 1e-9
+
+
 def test_leaks(spark):
     rnd = random.Random(9)
     vocabulary = ["".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(900)] + ["the", "of", "and"] * 60
