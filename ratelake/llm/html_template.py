@@ -2,15 +2,18 @@
 
 1. Pages are token sequences: tags with their path, text nodes, and the single
    words of short text nodes. For each host and token the occurrence vector
-   over the host's pages is kept as a hash that adds up over pages, so a host
-   with a third of all pages is pre-aggregated like any other.
+   over the host's different pages (copies of one html count once) is kept as
+   a hash that adds up over pages, so a host with a third of all pages is
+   pre-aggregated like any other.
 2. Tokens of a host with one vector form an equivalence class; classes of
    enough tokens on enough pages are candidates for template parts.
 3. A class is valid if its tokens stand in the same order on every page and
    fall into one place of the class around it; valid classes, nested this way,
    are the host's template.
 4. Extraction walks each page once more: what stands between tokens of the
-   template are slots; a block that is nothing but template is dropped. Slots inside menus, headers, footers,
+   template are slots; a block that is nothing but template is dropped, unless
+   the article (the main part, the page) then had no slot at all: it is kept
+   whole. Slots inside menus, headers, footers,
    sidebars, notices, adverts, forms, comments, scripts and styles (by element,
    role, class or id) are no main text; of the others the article's are kept.
 
@@ -18,7 +21,8 @@ Character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by an empty line, empty ones left out.
 
 Nulls: null html gives an empty text; a null url is a host of its own. Rows
-that repeat an id are separate pages. Html without any tag is one block. An
+that repeat an id are separate pages; equal html is
+one page for the template. Html without any tag is one block. An
 empty table gives an empty result. Other columns are ignored.
 """
 
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ratelake.llm.sparkkit import materialize
 
-#: pages and share of a host's pages that a template class needs, and tokens of a class
+#: different pages and share of a host's different pages that a template class needs, and tokens of a class
 MIN_PAGES, MIN_SHARE, MIN_TOKENS = 8, 0.8, 3
 #: text nodes of up to so many words also count word by word
 SHORT_NODE = 8
@@ -181,10 +185,11 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def classes(pages: DataFrame) -> DataFrame:
     """``host, token, class`` of the equivalence classes that are large and
-    frequent enough; pages has host, page (unique number) and html."""
-    per = pages.select("host", "page", "html").mapInArrow(_occurrences, "host long, token long, pages long, vector long")
+    frequent enough; pages has host, page (a number of its content) and html."""
+    different = pages.select("host", "page", "html").dropDuplicates(["host", "page"])
+    per = different.mapInArrow(_occurrences, "host long, token long, pages long, vector long")
     per = per.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"))
-    counts = pages.groupBy("host").agg(F.count("*").alias("of")).where(F.col("of") >= MIN_PAGES)
+    counts = pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("of")).where(F.col("of") >= MIN_PAGES)
     enough = per.join(counts, "host").where(F.col("pages") >= F.col("of") * MIN_SHARE)
     enough = materialize(enough.select("host", "token", F.xxhash64("pages", "vector").alias("class")), "html-tokens")
     size = enough.groupBy("host", "class").agg(F.count("*").alias("size")).where(F.col("size") >= MIN_TOKENS)
@@ -247,7 +252,7 @@ def _clean(pieces: list[str]) -> str:
 
 def main_text(html: str, template: frozenset) -> str:
     """The slots of a page that are main text."""
-    blocks: dict[str, list[str]] = {"article": [], "main": [], "body": []}
+    blocks: dict[str, list[tuple[str, bool]]] = {"article": [], "main": [], "body": []}
     piece: list[str] = []
     zone, slot = "body", False  # slot: the block holds more than template
 
@@ -256,8 +261,8 @@ def main_text(html: str, template: frozenset) -> str:
         if piece:
             text = _clean(piece)
             piece.clear()
-            if text and slot:
-                blocks[zone].append(text)
+            if text:
+                blocks[zone].append((text, slot))
         slot = False
 
     depth = {"article": False, "main": False}
@@ -281,7 +286,15 @@ def main_text(html: str, template: frozenset) -> str:
             if kind == "open" and value in depth:
                 depth[value] = True
     flush()
-    chosen = blocks["article"] or blocks["main"] or blocks["body"]
+    chosen: list[str] = []
+    for part in ("article", "main", "body"):
+        slots = [text for text, own in blocks[part] if own]
+        if part != "body" or not chosen:
+            chosen += slots or [text for text, _ in blocks[part]]
+        else:
+            chosen += slots
+        if slots:
+            break
     return "\n\n".join(chosen)
 
 
@@ -304,7 +317,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     host = F.xxhash64(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)))
     html = F.coalesce("html", F.lit(""))
-    named = pages.select("page_id", "url", host.alias("host"), html.alias("html"), F.xxhash64("page_id", "url", "html").alias("page"))
+    named = pages.select("page_id", "url", host.alias("host"), html.alias("html"), F.xxhash64(html).alias("page"))
     known = materialize(templates(named), "html-templates")
     met = named.join(known, "host", "left").select("page_id", "url", "host", "html", "template")
     return met.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

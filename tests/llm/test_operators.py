@@ -302,6 +302,23 @@ def test_html(spark):
     assert all(r.n_chars == len(r.text) for r in out)
 
 
+def test_html_copies_are_no_template(spark):
+    page = "<html><body><nav>Menu</nav><article><h1>Title of %s</h1><p>First words of %s<p>More words of %s</article><div>Page %s of all</div></body></html>"
+    one = page % ("one", "one", "one", 1)
+    whole = lambda x: f"Title of {x}\n\nFirst words of {x}\n\nMore words of {x}"
+    data = [(i, f"http://copies.example/{i}", one) for i in range(20)] + [(20 + i, None, one) for i in range(10)]
+    # copies beside other pages, and copies that differ outside the article
+    data += [(40 + i, f"http://mixed.example/{i}", one) for i in range(20)] + [(60 + i, f"http://mixed.example/o{i}", page % (i, i, i, i)) for i in range(3)]
+    data += [(80 + i, f"http://near.example/{i}", page % ("one", "one", "one", i)) for i in range(12)]
+    # the same without an article
+    data += [(100 + i, f"http://plain.example/{i}", f"<body><p id=p{i}>Only this text<p>and no other</body>") for i in range(12)]
+    out = {r.page_id: r.text for r in html_template.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert all(out[i] == whole("one") for i in [*range(30), *range(40, 60)])
+    assert all(out[60 + i] == whole(i) for i in range(3))
+    assert all(out[80 + i].startswith(whole("one")) for i in range(12))
+    assert all(out[100 + i] == "Only this text\n\nand no other" for i in range(12))
+
+
 def test_empty_tables(spark, docs, labels):
     none = docs.limit(0)
     bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
