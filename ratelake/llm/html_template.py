@@ -16,6 +16,8 @@
    whole. Slots inside menus, headers, footers,
    sidebars, notices, adverts, forms, comments, scripts and styles (by element,
    role, class or id) are no main text; of the others the article's are kept.
+   A class or id never excludes html, body, main or article. Around an article
+   or main part it only puts it behind those that no such element surrounds.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by an empty line, empty ones left out.
@@ -32,6 +34,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -54,13 +57,24 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td "
     "tfoot th thead tr ul".split()
 )
-#: parts of a class or id that mark what is no main text
+#: classes and ids, or head words of them, that mark what is no main text
 MARKS = frozenset(
     "ad ads adbox advert adverts advertisement advertising banner promo promotion sponsor sponsored sidebar side menu nav navbar navigation "
     "breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices alert newsletter subscribe signup paywall "
     "share sharing social comment comments commentlist disqus respond replies related recommended widget popup modal overlay login search "
     "searchbox pagination pager copyright toolbar skip".split()
 )
+#: words after the head word of a class (``sidebar-left``, ``footer-links``)
+AFTER = frozenset(
+    "area bar bottom box button buttons center col column container field fixed form grid group holder icon icons inner inside input item "
+    "items left link links list mobile outer panel post posts primary region right root row secondary section slot sticky top unit wrap "
+    "wrapper zone block".split()
+)
+#: words that make a class name a state (``has-sidebar``, ``comments-open``): before and after the others
+STATE = frozenset("has have with without no not is show hide".split())
+STATED = frozenset("open opened close closed active inactive enabled disabled visible hidden shown on off".split())
+#: elements that no class or id excludes
+NEVER_NAMED = frozenset("html body main article".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 _TOKEN = re.compile(
@@ -72,28 +86,47 @@ _ATTR = re.compile(r"([A-Za-z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 _PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
-def _marked(attrs: str) -> bool:
-    """Whether class, id, role or visibility say that this is no main text."""
+#: why an element is no main text: by its class or id, or by element, role or visibility
+NAMED, EXCLUDED = 1, 2
+
+
+@lru_cache(1 << 14)
+def _names_mark(token: str) -> bool:
+    """Whether a class or id is a mark or has one as its head word."""
+    if token.lower() in MARKS:
+        return True
+    parts = [p.lower() for p in _PART.findall(token)]
+    if not parts or parts[-1] in STATED or any(p in STATE for p in parts[:-1]):
+        return False
+    while len(parts) > 1 and (parts[-1] in AFTER or len(parts[-1]) == 1):
+        parts.pop()
+    return parts[-1] in MARKS
+
+
+def _marked(attrs: str) -> int:
+    """What of class, id (NAMED), role and visibility (EXCLUDED) say that this
+    is no main text; 0 if nothing does."""
+    named = 0
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            if any(p.lower() in MARKS for p in _PART.findall(value)):
-                return True
+            if any(_names_mark(t) for t in value.split()):
+                named = NAMED
         elif name == "role":
             if value.lower() in ROLES:
-                return True
+                return EXCLUDED
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return EXCLUDED
         elif name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+            return EXCLUDED
+    return named
 
 
 def walk(html: str) -> Iterator[tuple[str, str, list]]:
     """Events of a page: (kind, value, open elements), kind one of open, close
-    and text. Open elements are (name, is no main text) pairs; missing end
+    and text. Open elements are (name, 0 or why it is no main text) pairs; missing end
     tags of paragraphs, list items and cells are supplied."""
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, int]] = []
     at = 0
     for m in _TOKEN.finditer(html):
         if m.start() < at:  # inside raw text
@@ -128,9 +161,10 @@ def walk(html: str) -> Iterator[tuple[str, str, list]]:
                     break
         attrs = m["attrs"] or ""
         if name in VOID or attrs.endswith("/") and name not in BLOCKS and name not in RAW:
-            yield "open", name, [*stack, (name, False)]
+            yield "open", name, [*stack, (name, 0)]
             continue
-        stack.append((name, name in NOT_MAIN or bool(attrs.strip()) and _marked(attrs)))
+        why = EXCLUDED if name in NOT_MAIN else _marked(attrs) if attrs.strip() else 0
+        stack.append((name, 0 if why == NAMED and name in NEVER_NAMED else why))
         yield "open", name, stack
         if name in RAW:  # no tags inside but its own end
             stop = re.compile(rf"</{re.escape(name)}\s*[^>]*(?:>|\Z)", re.I).search(html, at)
@@ -252,7 +286,8 @@ def _clean(pieces: list[str]) -> str:
 
 def main_text(html: str, template: frozenset) -> str:
     """The slots of a page that are main text."""
-    blocks: dict[str, list[tuple[str, bool]]] = {"article": [], "main": [], "body": []}
+    parts = ("article", "main", "article inside a mark", "main inside a mark", "body")
+    blocks: dict[str, list[tuple[str, bool]]] = {part: [] for part in parts}
     piece: list[str] = []
     zone, slot = "body", False  # slot: the block holds more than template
 
@@ -269,9 +304,18 @@ def main_text(html: str, template: frozenset) -> str:
     for kind, value, stack in walk(html):
         if kind == "text":
             names = [e[0] for e in stack]
-            if any(e[1] for e in stack) or "header" in names and not ("article" in names and names[-1] in ("h1", "h2", "h3", "h4", "h5", "h6")):
+            why = [e[1] for e in stack]
+            inside = any(why)
+            if inside:
+                # marks around the innermost article or main part only put it behind others
+                own = max((k for k, name in enumerate(names) if name in ("article", "main")), default=0)
+                if EXCLUDED in why or any(why[own:]):
+                    continue
+            if "header" in names and not ("article" in names and names[-1] in ("h1", "h2", "h3", "h4", "h5", "h6")):
                 continue
             now = "article" if "article" in names else "main" if "main" in names else "body"
+            if inside:
+                now += " inside a mark"
             if now != zone:
                 flush()
                 zone = now
@@ -287,14 +331,16 @@ def main_text(html: str, template: frozenset) -> str:
                 depth[value] = True
     flush()
     chosen: list[str] = []
-    for part in ("article", "main", "body"):
+    for part in parts:
         slots = [text for text, own in blocks[part] if own]
-        if part != "body" or not chosen:
+        if part in ("article", "main"):
+            chosen += slots or [text for text, _ in blocks[part]]
+            if slots:
+                break
+        elif part == "body":
+            chosen += slots if chosen else slots or [text for text, _ in blocks[part]]
+        elif not chosen:
             chosen += slots or [text for text, _ in blocks[part]]
-        else:
-            chosen += slots
-        if slots:
-            break
     return "\n\n".join(chosen)
 
 

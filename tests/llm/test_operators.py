@@ -319,6 +319,28 @@ def test_html_copies_are_no_template(spark):
     assert all(out[100 + i] == "Only this text\n\nand no other" for i in range(12))
 
 
+def test_html_marks_do_not_exclude_the_article():
+    text = lambda html: html_template.main_text(html, frozenset())
+    inner = '<article><h1>Title</h1><div class="article-sidebar">Side</div><p>Words</p><div id="comments">Nice</div></article>'
+    for page in (
+        '<html class="no-sidebar"><body class="has-sidebar">%s</body></html>',
+        '<body class="single comments-open">%s</body>',
+        '<body id="search">%s</body>',
+        '<body><div id="page" class="with-header">%s</div></body>',
+        '<body><div class="social">%s</div></body>',
+        '<body><div class="menu-open"><main class="search">%s</main></div></body>',
+        '<body><div class="sidebar"><article>Teaser</article></div><main>%s</main><section class="comments"><article class="comment">I</article></section></body>',
+    ):
+        want = "Teaser\n\nTitle\n\nWords" if "<article>Teaser" in page and "<main>" not in page else "Title\n\nWords"
+        assert text(page % inner) == want, page
+    assert text('<body class="blog"><article class="post social-news">News<p>More</article></body>') == "News\n\nMore"
+    assert text('<body><div class="sidebar"><article>Teaser</article></div><p>Real text</body>') == "Teaser\n\nReal text"
+    assert text('<body><div class="side-effects">Effects</div><p class="alert-story">Story</body>') == "Effects\n\nStory"
+    marked = ["ad", "Sidebar", "left-sidebar", "sidebar-left", "mainNav", "footer-links", "ad-slot-300x250", "share-buttons", "cookie_banner", "x comments"]
+    assert [text(f'<body><div class="{c}">Out</div><p>In</body>') for c in marked] == ["In"] * len(marked)
+    assert text('<body><article role="dialog">Out</article><article hidden class="a">Out</article><p>In</body>') == "In"
+
+
 def test_empty_tables(spark, docs, labels):
     none = docs.limit(0)
     bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
