@@ -19,7 +19,8 @@ the passages carry no weight, unless a benchmark passage has little else).
 
 The benchmark is read in blocks of ``ITEMS`` rows, each searched against all
 documents, so that what tasks and the driver hold of it is bounded. Items of
-fewer than ``MIN_WORDS`` words are no passage. Only matrices of the size of
+fewer than ``MIN_WORDS`` words are no passage: they are leaks where all their
+words stand consecutively. Only matrices of the size of
 the benchmark's vocabulary reach the driver.
 
 Nulls: null texts are empty and null ids have no result; a null item id is
@@ -93,6 +94,16 @@ def benchmark_passages(rows: list) -> Benchmark:
     return Benchmark(vocabulary, items, [number(w) for w in words], [number(w) for w in answers])
 
 
+def short_items(rows: list) -> list:
+    """Item and word hashes of the (item_id, text) rows too short for a passage."""
+    out = []
+    for item, text in rows:
+        h = _tokens(next(tk.slices(pa.array([text or ""]))))[0]
+        if 0 < h.size < MIN_WORDS:
+            out.append((item, h))
+    return out
+
+
 def _numbers(vocabulary: np.ndarray):
     """Documents as vocabulary numbers; 0 is any other word."""
     kind = "<u2" if vocabulary.size < (1 << 16) - 1 else "<u4"
@@ -356,6 +367,46 @@ def _leaks_of(docs: DataFrame, b: Benchmark, name: str) -> DataFrame:
     return found.join(F.broadcast(item), "passage").select("doc_id", "item", "lcs", "answer")
 
 
+def _whole_items(texts: list[tuple]):
+    """Documents that hold all words of a short item consecutively."""
+    sizes = []
+    for n in sorted({len(t) for t in texts}):
+        own = np.array([i for i, t in enumerate(texts) if len(t) == n], np.int32)
+        gram = np.array([tk.ngrams(np.array(texts[i], _U), n)[0] for i in own], _U)
+        order = np.argsort(gram)
+        sizes.append((n, gram[order], own[order]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for s in tk.slices(batch.column(1)):
+                h, first, _ = _tokens(s)
+                for n, gram, own in sizes:
+                    at, runs = tk.ngram_rows(first, n)
+                    if at.size == 0:
+                        continue
+                    g = tk.ngrams(h, n)[at]
+                    p = np.minimum(np.searchsorted(gram, g), gram.size - 1)
+                    hit = np.flatnonzero(gram[p] == g)
+                    pair = np.unique(np.stack([tk.owners(runs)[hit], own[p[hit]]], axis=1), axis=0)
+                    one = pa.array(np.ones(pair.shape[0]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[s.lo + pair[:, 0]]), pa.array(pair[:, 1].astype(np.int32)), one, one], ["doc_id", "passage", "lcs", "answer"]
+                    )
+
+    return run
+
+
+def _whole_of(docs: DataFrame, short: list) -> DataFrame:
+    texts: dict[tuple, list] = {}
+    for item, h in short:
+        texts.setdefault(tuple(h.tolist()), []).append(item)
+    found = docs.mapInArrow(_whole_items(list(texts)), "doc_id long, passage int, lcs double, answer double")
+    rows = [(i, None if v is None else str(v)) for i, items in enumerate(texts.values()) for v in items]
+    item = docs.sparkSession.createDataFrame(rows, "passage int, item string")
+    return found.join(F.broadcast(item), "passage").select("doc_id", "item", "lcs", "answer")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, name: str = "leaks") -> DataFrame:
     """One row per document and benchmark item that it leaks: ``doc_id,
     item_id``, share of the longest common subsequence, share of the answer."""
@@ -366,9 +417,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, name: str = "leaks") -> DataFra
 
     def search(rows: list) -> None:
         nonlocal out
-        b = benchmark_passages(rows)
-        if b.items:
-            one = _leaks_of(texts, b, name)
+        b, short = benchmark_passages(rows), short_items(rows)
+        found = [_leaks_of(texts, b, name)] if b.items else []
+        found += [_whole_of(texts, short)] if short else []
+        for one in found:
             out = one if out is None else out.union(one)
 
     for row in benchmark.select("item_id", "text").toLocalIterator():

@@ -268,6 +268,17 @@ def test_leaks(spark):
     assert latent_leaks.leaks(table, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_leaks_of_short_items(spark):
+    bench = [(1, "Who wrote Hamlet? William Shakespeare did."), (2, "who WROTE hamlet - william shakespeare did"), (3, "four"), (4, "?!"), (5, None), (6, " ".join(f"w{i}" for i in range(20)))]
+    docs = [(10, "Quiz: who wrote Hamlet? William Shakespeare did. Next"), (11, "who wrote hamlet? did william shakespeare"), (12, "one two three four"), (13, None), (14, "who wrote"), (15, "hamlet william shakespeare did")]
+    docs += [(16, "x y " + " ".join(f"w{i}" for i in range(20)))] + [(100 + i, f"other words {i}") for i in range(40)] + [(None, "four")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    out = latent_leaks.leaks(table, spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in out) == [(10, 1), (10, 2), (12, 3), (16, 6)]
+    only = latent_leaks.leaks(table, spark.createDataFrame(bench[:5], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.lcs_share) for r in only) == [(10, 1, 1.0), (10, 2, 1.0), (12, 3, 1.0)]
+
+
 def test_toxic_chain_on_held_out_rows(spark):
     rnd = random.Random(4)
     calm, rude = [f"w{i}" for i in range(400)], ["moron", "scum", "trash", "clown"]
