@@ -9,7 +9,7 @@ The models are logistic regressions over the presence of hashed words and of
 hashed word beginnings (``PREFIX`` bytes of longer words), fitted on at most ``SAMPLE`` labelled documents (those with the lowest hash of their
 id; a bounded sample, documented parameter). A word is a feature of a category
 when the Chernoff bound for its count among the category's documents stays
-under chance for the whole vocabulary. Every document is scored on its whole
+under chance for the whole vocabulary; every such word is one. Every document is scored on its whole
 text.
 
 Categories from the labels ``toxic`` and ``quality``: ``toxic``, then
@@ -37,7 +37,8 @@ from ratelake.llm import textkit as tk
 SAMPLE = 12_000
 FOLDS = 3
 FEATURES = 1 << 18
-MOST_WORDS = 256
+#: words of a model up to which Newton steps are solved with the whole matrix
+DENSE = 1024
 PREFIX = 6
 RIDGE = 0.3
 CATEGORIES = ("toxic", "toxic_prose", "toxic_junk")
@@ -83,7 +84,7 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 
 def _choose(word: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Words whose count among the positives is beyond chance, strongest first."""
+    """All words whose count among the positives is beyond chance."""
     n = np.bincount(word, minlength=FEATURES)
     k = np.bincount(word, weights=y[row], minlength=FEATURES)
     base, seen = y.mean(), np.flatnonzero(n)
@@ -92,8 +93,41 @@ def _choose(word: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
     p = np.clip(k[seen] / n[seen], 1e-12, 1 - 1e-12)
     bound = n[seen] * (p * np.log(p / base) + (1 - p) * np.log((1 - p) / (1 - base)))
     strong = bound > np.log(seen.size / 0.05)
-    order = np.lexsort((seen[strong], -bound[strong]))
-    return np.sort(seen[strong][order][:MOST_WORDS])
+    return seen[strong]
+
+
+def _solve(product, diagonal: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Conjugate gradients for a positive definite matrix known by its product
+    and its diagonal."""
+    x, r = np.zeros(right.size), right.copy()
+    z = r / diagonal
+    d, rz = z, r @ z
+    for _ in range(10 * right.size):
+        if np.linalg.norm(r) <= 1e-10 * np.linalg.norm(right):
+            break
+        hd = product(d)
+        a = rz / (d @ hd)
+        x, r = x + a * d, r - a * hd
+        z = r / diagonal
+        d, rz = z + (r @ z) / rz * d, r @ z
+    return x
+
+
+def _fit_sparse(at: np.ndarray, row: np.ndarray, n: int, y: np.ndarray, dense: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+    """The Newton steps of ``_fit`` without a matrix of rows by words: word
+    ``at`` of n is present in ``row``; ``dense`` has the other columns."""
+    times = lambda v: np.bincount(row, weights=v[at], minlength=y.size) + dense @ v[n:]
+    back = lambda u: np.concatenate([np.bincount(at, weights=u[row], minlength=n), dense.T @ u])
+    w = np.zeros(penalty.size)
+    for _ in range(12):
+        p = 1 / (1 + np.exp(-np.clip(times(w), -30, 30)))
+        v = p * (1 - p)
+        diagonal = np.concatenate([np.bincount(at, weights=v[row], minlength=n), (dense * dense).T @ v]) + penalty
+        step = _solve(lambda d, v=v: back(v * times(d)) + penalty * d, diagonal, back(p - y) + penalty * w)
+        w -= step
+        if np.abs(step).max() < 1e-4:
+            break
+    return w
 
 
 def _fit(word: np.ndarray, row: np.ndarray, y: np.ndarray, earlier: np.ndarray) -> Linear:
@@ -101,12 +135,15 @@ def _fit(word: np.ndarray, row: np.ndarray, y: np.ndarray, earlier: np.ndarray)
     words = _choose(word, row, y)
     at = np.searchsorted(words, word)
     own = np.zeros(word.size, bool) if words.size == 0 else words[np.minimum(at, words.size - 1)] == word
-    x = np.zeros((y.size, words.size + 1 + earlier.shape[1]))
+    penalty = np.full(words.size + 1 + earlier.shape[1], RIDGE)
+    penalty[words.size] = 1e-3
+    if words.size > DENSE:
+        w = _fit_sparse(at[own], row[own], words.size, y, np.column_stack([np.ones(y.size), earlier]), penalty)
+        return Linear(words, w[: words.size], w[words.size :])
+    x = np.zeros((y.size, penalty.size))
     x[row[own], at[own]] = 1
     x[:, words.size] = 1
     x[:, words.size + 1 :] = earlier
-    penalty = np.full(x.shape[1], RIDGE)
-    penalty[words.size] = 1e-3
     w = np.zeros(x.shape[1])
     for _ in range(12):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

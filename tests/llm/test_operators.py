@@ -10,6 +10,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -297,6 +298,22 @@ def test_toxic_chain_on_held_out_rows(spark):
     assert not any(r.toxic for r in toxic_chain.classify(docs, labels.limit(0)).collect())
 
 
+def test_toxic_words_beyond_chance_all_count(monkeypatch):
+    rnd = np.random.default_rng(3)
+    y = (np.arange(1200) % 3 == 0).astype(float)
+    pairs = [(r, 1000 + w) for r in range(1200) for w in rnd.choice(400, 60, replace=False)]
+    pairs += [(r, 5000 + w) for r in np.flatnonzero(y) for w in rnd.choice(400, 40, replace=False)]
+    row, word = np.array(sorted(set(pairs))).T
+    words = toxic_chain._choose(word, row, y)
+    assert set(range(5000, 5400)) <= set(words.tolist())
+    # both forms of the Newton steps find the same model
+    earlier = rnd.normal(size=(1200, 1))
+    whole = toxic_chain._fit(word, row, y, earlier)
+    monkeypatch.setattr(toxic_chain, "DENSE", 0)
+    sparse = toxic_chain._fit(word, row, y, earlier)
+    assert (whole.words == sparse.words).all() and np.allclose(whole.weights, sparse.weights, atol=1e-6) and np.allclose(whole.rest, sparse.rest, atol=1e-6)
+
+
 def test_html(spark):
     page = (
         '<!DOCTYPE html><html><head><title>T</title><style>p{x}</style><script>var a="</p>";</script></head><body>'
