@@ -33,6 +33,17 @@ def _csv_reader(spark: SparkSession, header: bool, multi_line: bool):
     return r.option("multiLine", str(multi_line).lower())
 
 
+def header_fields(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> list[StructField]:
+    """The columns of the header under ``path``, the declared ones with their
+    types and the others as text; a declared column that is not there raises."""
+    names = _csv_reader(spark, True, multi_line).option("inferSchema", "false").csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"column(s) not in the header: {missing}; have {names}")
+    declared = {f.name: f for f in schema.fields}
+    return [declared.get(n, StructField(n, StringType(), True)) for n in names]
+
+
 def read_csv_tolerant(
     spark: SparkSession,
     path: str,
@@ -51,12 +62,7 @@ def read_csv_tolerant(
     r = _csv_reader(spark, header, multi_line).option("mode", "PERMISSIVE")
     fields = list(schema.fields)
     if header:
-        names = _csv_reader(spark, True, multi_line).option("inferSchema", "false").csv(path).columns
-        missing = [f.name for f in fields if f.name not in names]
-        if missing:
-            raise ValueError(f"column(s) not in the header: {missing}; have {names}")
-        declared = {f.name: f for f in fields}
-        fields = [declared.get(n, StructField(n, StringType(), True)) for n in names]
+        fields = header_fields(spark, path, schema, multi_line)
         r = r.option("enforceSchema", "false")
     out = [f.name for f in schema.fields]
     if corrupt_column:

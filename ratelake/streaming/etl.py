@@ -24,7 +24,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -34,7 +36,7 @@ from ratelake.operators.context import group_stats, merge_stats
 from ratelake.operators.quality import batch_audit, split
 from ratelake.plans.venue import transform_good
 from ratelake.session import delete_path, require_version
-from ratelake.sources.ingest import CORRUPT_COLUMN
+from ratelake.sources.ingest import CORRUPT_COLUMN, header_fields
 from ratelake.sources.lake import batch_path, read_lake, write_batch, write_dlq
 from ratelake.sources.topic import TopicSpec, publish
 from ratelake.streaming.consumer import drain, with_trigger
@@ -129,6 +131,7 @@ def run_etl_stream(
     max_bytes_per_trigger: int | None = None,
     clean_source: str | None = None,
     archive_dir: str | None = None,
+    multi_line: bool = False,
     **processor_options,
 ) -> StreamingQuery:
     """Start (and for ``availableNow`` wait for) the ETL query.
@@ -136,12 +139,18 @@ def run_etl_stream(
     ``source_format="csv"`` reads the landing files with the declared schema
     in PERMISSIVE mode (a bad cell reads as null, the run goes on); with
     ``malformed_to_dlq`` the raw line is kept and such rows go to the DLQ.
+    Columns are found by header name as in ``read_csv_tolerant``: in any order
+    and among others, as the files present at the start have them (without
+    files, as declared); a missing
+    column raises, and so does a file with another header. ``multi_line``
+    allows line breaks in quoted cells.
 
     ``clean_source`` (``"archive"`` with ``archive_dir``, or ``"delete"``)
     moves landing files out once their batch is committed, so the listing
     the file source does on every trigger stays small on a long-running
     ingestion."""
     schema = source_schema
+    names = [f.name for f in source_schema.fields]
     r = spark.readStream.format(source_format)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -154,11 +163,18 @@ def run_etl_stream(
             r = r.option("sourceArchiveDir", archive_dir)
     if source_format == "csv":
         r = r.option("header", "true").option("mode", "PERMISSIVE").option("escape", '"')
+        r = r.option("enforceSchema", "false").option("multiLine", str(multi_line).lower())
+        try:
+            schema = StructType(header_fields(spark, source_path, source_schema, multi_line))
+        except AnalysisException as e:
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # no files yet: the declared columns
+                raise
         if malformed_to_dlq:
-            schema = StructType([*source_schema.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
+            schema = StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
+            names.append(CORRUPT_COLUMN)
             r = r.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
             processor_options.setdefault("corrupt_column", CORRUPT_COLUMN)
-    stream = r.schema(schema).load(source_path)
+    stream = r.schema(schema).load(source_path).select(*[F.col(f"`{c}`") for c in names])
     body = make_batch_processor(spark, lake, dlq, topic, **processor_options)
     w = stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     q = with_trigger(w, trigger).start()
@@ -205,8 +221,6 @@ def run_etl_increment(
     """
     import json
 
-    from pyspark.sql import functions as F
-
     from ratelake.operators.quality import REASON
     from ratelake.session import list_markers, read_marker, write_marker
     from ratelake.sources.ingest import order_value, slice_boundary

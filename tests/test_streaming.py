@@ -161,6 +161,29 @@ def test_etl_csv_malformed_cells(spark, tmp_shared, malformed_to_dlq):
         assert lake["b"].total_reviews_count == 0
 
 
+def test_etl_csv_columns_by_header(spark, tmp_shared):
+    from pyspark.sql.types import _parse_datatype_string
+
+    lines = [
+        "note,country,restaurant_name,city,longitude,latitude,avg_rating,total_reviews_count,price_level,claimed,vegetarian_friendly,gluten_free,venue_id",
+        'x,ES,"a\nb",Madrid,-3.7,40.4,4.5,12,$,Claimed,Y,Y,1',
+        "y,FR,c,Paris,2.3,48.9,3.5,7,$,Claimed,N,N,2",
+    ]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(f"{tmp_shared}/landing")
+    schema, topic = _parse_datatype_string(RAW_SCHEMA), TopicSpec(kind="files", path=f"{tmp_shared}/topic")
+    run = lambda fields, to: run_etl_stream(spark, f"{tmp_shared}/landing", fields, f"{tmp_shared}/lake{to}", f"{tmp_shared}/dlq{to}", topic,
+                                            f"{tmp_shared}/ckpt{to}", source_format="csv", timeout_s=300, multi_line=True, malformed_to_dlq=True)
+    run(schema, "")
+    lake = {r.restaurant_name: (r.country, r.city, r.latitude, r.longitude, r.total_reviews_count) for r in read_lake(spark, f"{tmp_shared}/lake").collect()}
+    assert lake == {"a\nb": ("ES", "Madrid", 40.4, -3.7, 12), "c": ("FR", "Paris", 48.9, 2.3, 7)}
+    import os
+
+    os.makedirs(f"{tmp_shared}/none".removeprefix("file:"))  # no files yet
+    run_etl_stream(spark, f"{tmp_shared}/none", schema, f"{tmp_shared}/lake1", f"{tmp_shared}/dlq1", topic, f"{tmp_shared}/ckpt1", source_format="csv", timeout_s=300)
+    with pytest.raises(ValueError, match="not in the header"):
+        run(_parse_datatype_string(RAW_SCHEMA + ", phone string"), "2")
+
+
 def test_count_update_mode_and_console_sink(spark, tmp_shared):
     from ratelake.streaming.consumer import parsed_stream, start_count, start_raw_audit
 
