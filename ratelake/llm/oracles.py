@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from ratelake.llm.fair_mix import MAX_EPOCHS, WEIGHTS
 from ratelake.llm.line_winnow import RUN
+from ratelake.llm.prefix_trie import FAMILY, HEADS
+from ratelake.llm.subvector_kmeans import LIMIT, SCALE
 from ratelake.llm.suffix_lpf import SPAN
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -103,9 +105,74 @@ SELECT r.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes,
 FROM raw r LEFT JOIN kept k ON r.doc_id = k.doc_id
 """
 
+# CRC-32 of an id's decimal digits, bit by bit
+_CRC = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda acc, byte: list_reduce(list_concat([xor(acc, byte)], range(8)), lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x // 2, CAST(3988292384 AS BIGINT)) ELSE x // 2 END)), CAST(4294967295 AS BIGINT))"""
+
+_TRIE = f"""
+WITH keyed AS (
+  SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, strlen(coalesce(text, '')) AS nb
+  FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (SELECT conv_id, k, nb, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS pos FROM keyed),
+convs AS (SELECT conv_id, conv_id - conv_id % {FAMILY} AS base, {_CRC} % {HEADS} AS h FROM (SELECT DISTINCT conv_id FROM keyed)),
+seq AS (
+  SELECT c.conv_id, 1 AS part, t.pos, t.k, t.nb FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT t.conv_id, 2, t.pos, t.k, t.nb FROM turns t JOIN convs c ON t.conv_id = c.conv_id AND t.pos > c.h),
+paths AS (SELECT conv_id, list(k ORDER BY part, pos) AS p, list(nb ORDER BY part, pos) AS b FROM seq GROUP BY conv_id),
+members AS (
+  SELECT conv_id, d, array_to_string(p[1:d], '') AS node, array_to_string(p[1:d - 1], '') AS up, CASE WHEN d = 0 THEN 0 ELSE b[d] END AS nb, d = len(p) AS done
+  FROM (SELECT c.conv_id, coalesce(p, []) AS p, coalesce(b, []) AS b, unnest(range(0, len(coalesce(p, [])) + 1)) AS d FROM convs c LEFT JOIN paths USING (conv_id))),
+nodes AS (
+  SELECT d, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n, any_value(nb) AS nb, bool_and(done) AS leaf,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE done), '') AS ends
+  FROM members GROUP BY d, node),
+below AS (
+  SELECT m.d, m.node, sum((b.n - 1) * b.nb) AS saved, count(*) FILTER (WHERE b.leaf) AS leaves, count(*) FILTER (WHERE b.d = m.d + 1) AS kids
+  FROM nodes b JOIN members m ON m.conv_id = b.conv_id AND m.d <= b.d GROUP BY m.d, m.node)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, CASE WHEN x.d > 0 THEN p.conv_id END AS parent_conv_id, CAST(x.n AS BIGINT) AS n_convs,
+  CAST(b.kids AS BIGINT) AS n_children, CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
+FROM nodes x JOIN below b ON b.d = x.d AND b.node = x.node LEFT JOIN nodes p ON p.d = x.d - 1 AND p.node = x.up
+"""
+
+
+def _kmeans(k: int = 16, dims: int = 64, rounds: int = 3) -> str:
+    square = "CAST(list_sum(list_transform(range(1, len(x.v) + 1), lambda i: (x.v[i] - m.v[i]) * (x.v[i] - m.v[i]))) AS BIGINT)"
+
+    def near(r: int) -> str:
+        return f"""near{r} AS MATERIALIZED (
+  SELECT row_id, any_value(vec_id) AS vec_id, any_value(v) AS v, arg_min(c, d * {k} + c) AS c, min(d) AS d
+  FROM (SELECT x.row_id, x.vec_id, x.v, m.c, {square} AS d FROM kept x, mid{r} m) GROUP BY row_id)"""
+
+    def mid(r: int) -> str:
+        return f"""mid{r} AS MATERIALIZED (
+  SELECT o.c, coalesce(f.v, o.v) AS v FROM mid{r - 1} o LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v
+    FROM (SELECT c, i, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n FROM (SELECT c, unnest(range({dims})) AS i, unnest(v) AS x FROM near{r - 1}) GROUP BY c, i)
+    GROUP BY c) f ON f.c = o.c)"""
+
+    steps = [near(0)] + [s for r in range(1, rounds + 1) for s in (mid(r), near(r))]
+    return f"""
+WITH whole AS (
+  SELECT vec_id, embedding AS e FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, vec_id,
+    list_transform(e, lambda x: CAST(greatest(least(floor({SCALE} * CAST(x AS DOUBLE)), {LIMIT}), -{LIMIT}) AS BIGINT)) AS v FROM whole),
+mid0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept WHERE vec_id IS NOT NULL QUALIFY c < {k}),
+{", ".join(steps)},
+total AS (SELECT c, CAST(sum(d) AS BIGINT) AS s FROM near{rounds} GROUP BY c)
+SELECT n.vec_id, CAST(n.c AS INTEGER) AS cluster, CAST(n.d AS BIGINT) AS distance, t.s AS cluster_inertia,
+  (SELECT CAST(sum(s) AS BIGINT) FROM total) AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM near{rounds} n JOIN total t ON t.c = n.c JOIN mid{rounds} m ON m.c = n.c
+"""
+
+
 ORACLES = {
     "op1_ngram_jaccard": _JACCARD,
     "op5_line_dedup": _LINES,
     "op7_mixing": _MIX,
     "op10_suffix_dedup": _SUFFIX,
+    "op12_prefix_trie": _TRIE,
+    "op13_clustering": _kmeans(),
 }

@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.llm import (
+    byte_bpe,
     chosen_path,
     fair_mix,
     html_template,
@@ -16,7 +18,9 @@ from ratelake.llm import (
     latent_leaks,
     license_index,
     line_winnow,
+    prefix_trie,
     quality_llr,
+    subvector_kmeans,
     suffix_lpf,
     toxic_chain,
 )
@@ -25,6 +29,9 @@ from ratelake.llm.sparkkit import table
 
 SHARDS = 8
 
+#: rank file and split pattern of the byte-level vocabulary
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.jaccard_join(table(spark, sf_dir, "documents"))
@@ -73,6 +80,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_lpf.drop_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = byte_bpe.vocabulary(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    out = byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocab)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.turns(table(spark, sf_dir, "conversations"))))
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids = subvector_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+    return subvector_kmeans.with_inertia(assigned, centroids)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -87,6 +112,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_quality,
             op9_license_scan,
             op10_suffix_dedup,
+            op11_byte_bpe,
+            op12_prefix_trie,
+            op13_clustering,
         )
     }
 
