@@ -11,7 +11,7 @@ pieces to bytes.
 The serialised model (a few megabytes, fixed by the vocabulary) is broadcast;
 documents are independent, so there is no shuffle. A task works on one
 document after the other, a long one in parts, and keeps the pre-tokens it
-has seen in a table of at most ``CACHE`` entries.
+has seen in a table that starts anew beyond ``CACHE`` entries.
 
 Rules: a null text is an empty one and has no ids; a null id of a row stays
 null; rows that repeat give rows that repeat; all other columns are left out,
@@ -24,7 +24,7 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import accumulate, chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,10 +35,9 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: pre-tokens whose ids a task remembers
-CACHE = 1 << 17
-#: longer pre-tokens are not remembered
-CACHE_CHARS = 64
+#: pre-tokens whose ids a task remembers, and their characters
+CACHE = 1 << 18
+CACHE_CHARS = 1 << 22
 #: characters of a text split at once
 PART = 1 << 18
 #: ids in one batch of results
@@ -46,7 +45,8 @@ BATCH_IDS = 1 << 18
 
 #: the character of byte b is the one b places after this one
 _FIRST = 0x100
-_CHARACTERS = {b: _FIRST + b for b in range(256)}
+#: encodes to the byte 255
+_APART = "\udcff"
 #: a place where no match of the pattern can go on: before the white space
 #: that follows other characters
 _CUT = regex.compile(r"(?<=\S)\s")
@@ -63,8 +63,10 @@ class Vocabulary(NamedTuple):
 
 
 def _mapped(data: bytes) -> str:
-    """One character for each byte."""
-    return data.decode("latin-1").translate(_CHARACTERS)
+    """One character for each byte; in UTF-8 each takes two bytes."""
+    code = np.frombuffer(data, np.uint8).astype(np.uint16) + _FIRST
+    wide = np.stack([0xC0 | code >> 6, 0x80 | code & 0x3F], axis=1).astype(np.uint8)
+    return wide.tobytes().decode()
 
 
 def _bytes(piece: str) -> bytes:
@@ -141,46 +143,47 @@ class Codec:
     def __init__(self, vocab: Vocabulary) -> None:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=vocab.model)
         texts = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size() - 1)]
-        self.whole = {text: (i,) for i, text in enumerate(texts)}
+        self.whole = {text: np.int32(i).tobytes() for i, text in enumerate(texts)}
         self.pieces = [_bytes(text) for text in texts]
         self.split = regex.compile(vocab.pattern).findall
         self.spans = regex.compile(vocab.pattern).finditer
         self.stand_ins = vocab.stand_ins
         self.odd = np.zeros(0x110000, bool)
         self.odd[list(vocab.stand_ins)] = True
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.seen: dict[str, bytes] = {}
+        self.held = 0
 
     def pre_tokens(self, text: str) -> list[str]:
         if text.isascii() or not self.odd[np.frombuffer(text.encode("utf-32-le"), np.uint32)].any():
             return self.split(text)
         return [text[m.start() : m.end()] for m in self.spans(text.translate(self.stand_ins))]
 
-    def _learn(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of all distinct pre-tokens, most of them from the table."""
-        if len(self.seen) > CACHE:
-            self.seen = {}
-        new = [w for w in set(words) if w not in self.seen]
+    def _learn(self, words: list[str]) -> None:
+        """Put the ids of all distinct pre-tokens into the table, as bytes."""
+        if len(self.seen) > CACHE or self.held > CACHE_CHARS:
+            self.seen, self.held = {}, 0
+        new = list(set(words).difference(self.seen))
         if not new:
-            return self.seen
-        mapped = [_mapped(w.encode()) for w in new]
+            return
+        self.held += sum(map(len, new))
+        # the byte 255 is in no text's encoding and parts the pre-tokens
+        texts = _mapped(_APART.join(new).encode("utf-8", "surrogateescape")).split(_mapped(b"\xff"))
         # a token stands for itself, even where no series of merges makes it
-        found = [self.whole.get(m) for m in mapped]
-        rest = [m for m, ids in zip(mapped, found) if ids is None]
-        encoded = iter(self.model.encode(rest, out_type=int, num_threads=1) if rest else ())
-        learnt = {w: ids or tuple(next(encoded)) for w, ids in zip(new, found)}
-        if any(len(w) > CACHE_CHARS for w in new):
-            self.seen.update((w, ids) for w, ids in learnt.items() if len(w) <= CACHE_CHARS)
-            return self.seen | learnt
-        self.seen.update(learnt)
-        return self.seen
+        found = list(map(self.whole.get, texts))
+        rest = [t for t, ids in zip(texts, found) if ids is None]
+        encoded = self.model.encode(rest, out_type=int, num_threads=1) if rest else []
+        flat = np.fromiter(chain.from_iterable(encoded), dtype=np.int32).tobytes()
+        ends = list(accumulate(map(len, encoded)))
+        cuts = iter([flat[4 * a : 4 * z] for a, z in zip([0, *ends], ends)])
+        self.seen.update((w, next(cuts) if ids is None else ids) for w, ids in zip(new, found))
 
     def encode(self, text: str) -> np.ndarray:
         out = []
         for part in parts(text):
             words = self.pre_tokens(part)
-            ids = self._learn(words)
-            out.append(np.fromiter(chain.from_iterable(map(ids.__getitem__, words)), dtype=np.int32))
-        return out[0] if len(out) == 1 else np.concatenate(out)
+            self._learn(words)
+            out.append(b"".join(map(self.seen.__getitem__, words)))
+        return np.frombuffer(out[0] if len(out) == 1 else b"".join(out), dtype=np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
         if ids.size and int(ids.min()) < 0:
