@@ -81,14 +81,18 @@ def split(
     return good, bad
 
 
-def batch_audit(df: DataFrame, critical: Sequence[str]) -> DataFrame:
-    """Row counts of one batch in a single aggregate: total, good, bad and,
-    per critical column, how many rows have it null."""
+def audit_metrics(critical: Sequence[str]) -> list[Column]:
+    """The aggregates of a batch's report: total, good, bad and, per critical
+    column, how many rows have it null."""
     cond = bad_condition(critical)
-    aggs = [
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(~cond).alias("n_good"),
         F.count_if(cond).alias("n_bad"),
+        *(F.count_if(F.col(c).isNull()).alias(f"n_null_{c}") for c in critical),
     ]
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"n_null_{c}") for c in critical]
-    return df.agg(*aggs)
+
+
+def batch_audit(df: DataFrame, critical: Sequence[str]) -> DataFrame:
+    """Row counts of one batch in a single aggregate (``audit_metrics``)."""
+    return df.agg(*audit_metrics(critical))

@@ -389,7 +389,7 @@ def q_etl_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     cap = max(1, -(-raw.count() // INCREMENT_RUNS))  # ceiling division
     topic = TopicSpec(kind="files", path=f"{root}/topic")
     args = (spark, raw, "venue_id", f"{root}/lake", f"{root}/dlq", topic, f"{root}/state")
-    while run_etl_increment(*args, cap=cap) is not None:
+    while run_etl_increment(*args, cap=cap, ingested="_metadata.file_modification_time") is not None:
         pass
     lake = read_lake(spark, f"{root}/lake")
     return round_contract(lake.select("batch_id", *CONTRACT_COLUMNS))

@@ -220,3 +220,43 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` if it exists (metadata operation)."""
     p, fs = _fs(spark, path)
     return bool(fs.exists(p) and fs.delete(p, True))
+
+
+def swap_path(spark: SparkSession, new: str, final: str) -> None:
+    """Put the folder ``new`` in the place of ``final``. What was there is
+    moved aside first and deleted last, and is put back if the move fails; a
+    reader may miss the folder between two renames, never see half of it."""
+    p, fs = _fs(spark, final)
+    jvm = spark.sparkContext._jvm
+    source, aside = jvm.org.apache.hadoop.fs.Path(new), jvm.org.apache.hadoop.fs.Path(f"{new}.replaced")
+    fs.mkdirs(p.getParent())
+    fs.mkdirs(source.getParent())
+    there = fs.exists(p)
+    if there and not fs.rename(p, aside):
+        raise OSError(f"could not move {final} aside")
+    if not fs.rename(source, p):
+        if there:
+            fs.rename(aside, p)
+        raise OSError(f"could not move {new} to {final}")
+    if there:
+        fs.delete(aside, True)
+
+
+def modified(spark: SparkSession, path: str) -> int | None:
+    """When the folder was put in its place (milliseconds), None if absent."""
+    p, fs = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime()) if fs.exists(p) else None
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def list_folders(spark: SparkSession, root: str, prefix: str) -> list[str]:
+    """Names of the folders under ``root`` that start with ``prefix``."""
+    p, fs = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [(st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(p)]
+    return sorted(name for name, folder in names if folder and name.startswith(prefix))

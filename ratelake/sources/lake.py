@@ -3,11 +3,13 @@
 Layout: ``<lake>/batch_id=<N>/country=<value>/part-*.parquet`` (Hive style,
 so a plain ``spark.read.parquet(lake)`` rebuilds both columns).
 
-* A batch write is a **static overwrite of its own subtree**
-  ``<lake>/batch_id=<N>``: a retry of batch N first drops everything the
-  earlier attempt left under N in *any* country, so a retry that covers fewer
-  countries leaves no orphan files. (Dynamic partition overwrite on
-  ``partitionBy("batch_id","country")`` would keep the orphans.)
+* A batch is written to an attempt folder of its own (``<lake>/_attempts``,
+  which readers pass over) and **swapped in as a whole subtree**
+  ``<lake>/batch_id=<N>`` once the write has ended. A failed retry leaves the
+  earlier attempt readable; a finished one replaces it in *every* country, so
+  a retry that covers fewer countries leaves no orphan files. (Dynamic
+  partition overwrite on ``partitionBy("batch_id","country")`` would keep the
+  orphans, and a static overwrite deletes before it writes.)
 * Before a write the rows are rebalanced on the partition column (Spark's
   ``REBALANCE`` hint): rows of one country meet in few tasks, so each task
   writes few files instead of one per input task and country; AQE then
@@ -22,7 +24,9 @@ so a plain ``spark.read.parquet(lake)`` rebuilds both columns).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +38,7 @@ from ratelake.contract import (
     PARTITION_COLUMN,
     require_columns,
 )
-from ratelake.session import delete_path, list_batch_ids
+from ratelake.session import delete_path, list_folders, make_folder, swap_path
 
 BATCH_COLUMN = "batch_id"
 
@@ -56,6 +60,16 @@ def rebalance_for_write(df: DataFrame, *by: str) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
+@contextmanager
+def _attempt(spark: SparkSession, root: str) -> Iterator[str]:
+    """A fresh folder for one write; what is left of it in the end goes."""
+    path = f"{root.rstrip('/')}/_attempts/{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        delete_path(spark, path)
+
+
 def write_batch(
     df: DataFrame,
     root: str,
@@ -65,7 +79,8 @@ def write_batch(
     max_records_per_file: int = 0,
 ) -> str:
     """Write one batch under ``<root>/batch_id=<N>``, replacing any earlier
-    attempt of the same batch. Returns the batch path."""
+    attempt of the same batch once the write has ended. Returns the batch
+    path."""
     path = batch_path(root, batch_id)
     out = df
     if by is not None:
@@ -73,25 +88,30 @@ def write_batch(
         out = df.withColumn(by, _encode_partition(by))
     if cluster:
         out = rebalance_for_write(out, *([by] if by else []))
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = out.write
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(int(max_records_per_file)))
     if by is not None:
         w = w.partitionBy(by)
-    w.parquet(path)
+    with _attempt(df.sparkSession, root) as attempt:
+        w.parquet(attempt)
+        swap_path(df.sparkSession, attempt, path)
     return path
 
 
-def _drop_batches(df: DataFrame, root: str, retried: Sequence[int]) -> None:
-    """Delete the folders of the batches that ``df`` holds, or that are named,
-    if earlier runs wrote them (a fresh root costs one listing and no job)."""
-    spark = df.sparkSession
-    there = list_batch_ids(spark, root, BATCH_COLUMN)
-    if not there:
-        return
-    held = df.select(BATCH_COLUMN).where(F.col(BATCH_COLUMN).isin(there)).distinct()
-    for n in {r[0] for r in held.collect()} | set(retried) & set(there):  # batch ids only
-        delete_path(spark, batch_path(root, n))
+def _write_folders(df: DataFrame, root: str, parts: Sequence[str], retried: Sequence[int]) -> None:
+    """Write all batches of ``df`` in one job, then swap each one in; batches
+    that are only named go."""
+    spark, root = df.sparkSession, root.rstrip("/")
+    make_folder(spark, root)
+    with _attempt(spark, root) as attempt:
+        rebalance_for_write(df, *parts).write.partitionBy(*parts).parquet(attempt)
+        written = list_folders(spark, attempt, f"{BATCH_COLUMN}=")
+        for name in written:
+            swap_path(spark, f"{attempt}/{name}", f"{root}/{name}")
+    for n in retried:
+        if f"{BATCH_COLUMN}={int(n)}" not in written:
+            delete_path(spark, batch_path(root, n))
 
 
 def write_batches(
@@ -104,21 +124,13 @@ def write_batches(
     into ``<root>/batch_id=<N>/<by>=<v>``. Every batch in ``df`` is replaced
     as a whole, countries of an earlier attempt included; other batches are
     untouched. ``retried`` names batches to replace that may have no row in
-    ``df``. ``df`` must not read from ``root``."""
+    ``df``."""
     require_columns(df, [BATCH_COLUMN])
-    _drop_batches(df, root, retried)
     out = df
     if by is not None:
         require_columns(df, [by])
         out = df.withColumn(by, _encode_partition(by))
-    parts = [BATCH_COLUMN] + ([by] if by else [])
-    (
-        rebalance_for_write(out, *parts)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
-        .parquet(root)
-    )
+    _write_folders(out, root, [BATCH_COLUMN] + ([by] if by else []), retried)
 
 
 def lake_schema(schema: StructType = CONTRACT_SCHEMA, by: str | None = PARTITION_COLUMN) -> StructType:
@@ -150,11 +162,9 @@ def read_lake(
 
 
 def write_dlq(bad: DataFrame, root: str, batch_id: int) -> str:
-    """Bad rows of one batch to ``<root>/batch_id=<N>`` (overwrite: a retry
-    replaces its own rows; an empty retry leaves the batch empty)."""
-    path = batch_path(root, batch_id)
-    rebalance_for_write(bad).write.mode("overwrite").parquet(path)
-    return path
+    """Bad rows of one batch to ``<root>/batch_id=<N>`` (a retry replaces its
+    own rows once written; an empty retry leaves the batch empty)."""
+    return write_batch(bad, root, batch_id, by=None)
 
 
 def write_dlq_batches(bad: DataFrame, root: str, retried: Sequence[int] = ()) -> None:
@@ -163,14 +173,7 @@ def write_dlq_batches(bad: DataFrame, root: str, retried: Sequence[int] = ()) ->
     run again and has no bad row any more is not in ``bad``: name it in
     ``retried`` and its old rows go."""
     require_columns(bad, [BATCH_COLUMN])
-    _drop_batches(bad, root, retried)
-    (
-        rebalance_for_write(bad, BATCH_COLUMN)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COLUMN)
-        .parquet(root)
-    )
+    _write_folders(bad, root, [BATCH_COLUMN], retried)
 
 
 def read_dlq(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:

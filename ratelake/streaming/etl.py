@@ -4,14 +4,17 @@ Source: a landing folder of raw files (file source; its offset log is the
 "watermark" of processed input, fixed before a micro-batch runs, so a retry
 replays exactly the same files). Per micro-batch ``N``:
 
-1. persist the batch (it feeds the DLQ and the lake),
+1. stage the batch: one read of the source writes it to
+   ``<lake>/_staging``, and the run report is observed on that write; all that
+   follows works on the staged rows, so what is counted is what is processed,
 2. split on critical nulls; bad rows (with the reason) -> ``dlq/batch_id=N``,
 3. encode, per-group context (over the batch, or cumulative over the lake
    with ``context_scope="lake"``), contract projection,
 4. lake write: static overwrite of ``lake/batch_id=N`` (retry-safe),
 5. read this batch back from the lake (``country`` rebuilt from the path,
    partition-pruned to batch N) and publish it as JSON to the topic,
-6. return: only now does Spark write the commit log entry for ``N``.
+6. delete the staged rows and return: only now does Spark write the commit
+   log entry for ``N``.
 
 A failure anywhere before 6 re-runs batch N on restart: the DLQ and lake
 folders of N are replaced, the topic may receive N again (at-least-once).
@@ -23,17 +26,24 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DateType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from ratelake.contract import CONTRACT_COLUMNS, CONTRACT_SCHEMA, CRITICAL_COLUMNS, NUMERIC_COLUMNS, require_columns
 from ratelake.functions.wire import encode_json
 from ratelake.operators.context import group_stats, merge_stats
-from ratelake.operators.quality import batch_audit, split
+from ratelake.operators.quality import audit_metrics, split
 from ratelake.plans.venue import transform_good
 from ratelake.session import delete_path, require_version
 from ratelake.sources.ingest import CORRUPT_COLUMN, header_fields
@@ -42,6 +52,17 @@ from ratelake.sources.topic import TopicSpec, publish
 from ratelake.streaming.consumer import drain, with_trigger
 
 
+def stage(batch: DataFrame, path: str, metrics: Sequence[Column], drop: Sequence[str] = ()) -> tuple[DataFrame, dict]:
+    """Write ``batch`` (without the columns ``drop``) to ``path``: the one
+    read of its source. Returns the written rows and the ``metrics`` observed
+    on the way; the write has no shuffle, so every row counts once, lost
+    executors or not."""
+    seen = Observation()
+    out = batch.observe(seen, *metrics).drop(*drop)
+    out.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(out.schema).parquet(path), seen.get
+
+
 def make_batch_processor(
     spark: SparkSession,
     lake: str,
@@ -55,7 +76,7 @@ def make_batch_processor(
     corrupt_column: str | None = None,
     after_lake_write: Callable[[int], None] | None = None,
     audit: str | None = None,
-) -> Callable[[DataFrame, int], None]:
+) -> Callable[..., dict]:
     """The ``foreachBatch`` body. ``after_lake_write`` is a hook called
     between the lake write and the publish (tests inject failures there).
 
@@ -66,8 +87,9 @@ def make_batch_processor(
     Rows written by earlier batches keep the mean of their time.
 
     ``audit`` (a folder) receives ``batch_id=N`` with the batch's row counts
-    (total, good, bad, nulls per critical column): one small aggregate over
-    the persisted batch, the run report as a table."""
+    (total, good, bad, nulls per critical column), observed while the batch
+    is staged: the run report as a table. The body returns the observed
+    counts, ``metrics`` included."""
     keys = list(context_keys)
     stats_root = f"{lake.rstrip('/')}/_group_stats"
 
@@ -86,31 +108,33 @@ def make_batch_processor(
 
         return build
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if audit:
-                batch_audit(batch, critical).coalesce(1).write.mode("overwrite").parquet(
-                    batch_path(audit, batch_id)
-                )
-            # values the contract's int columns cannot hold are bad rows, not nulls
-            ints = [f.name for f in CONTRACT_SCHEMA.fields if isinstance(f.dataType, IntegerType) and f.name in batch.columns]
-            good, bad = split(
-                batch, critical, with_reason=True, corrupt_column=corrupt_column, integers=ints
-            )
-            write_dlq(bad, dlq, batch_id)
-            stats_fn = cumulative_stats(batch_id) if context_scope == "lake" else None
-            rows = transform_good(
-                good, numeric, keys, context_strategy, context_stats=stats_fn
-            )
-            write_batch(rows, lake, batch_id)
-            if after_lake_write is not None:
-                after_lake_write(batch_id)
-            back = read_lake(spark, lake, batch_id=batch_id)
-            require_columns(back, ["country"])
-            publish(encode_json(back.select(*CONTRACT_COLUMNS)), topic)
-        finally:
-            batch.unpersist()
+    def process(batch: DataFrame, batch_id: int, metrics: Sequence[Column] = (), drop: Sequence[str] = ()) -> dict:
+        staging = batch_path(f"{lake.rstrip('/')}/_staging", batch_id)
+        report = audit_metrics(critical)
+        rows, seen = stage(batch, staging, [*report, *metrics], drop)
+        if audit:
+            names = [n for n in seen if n.startswith("n_")]
+            line = spark.createDataFrame([tuple(seen[n] for n in names)], ", ".join(f"`{n}` long" for n in names))
+            line.coalesce(1).write.mode("overwrite").parquet(batch_path(audit, batch_id))
+        # values the contract's int columns cannot hold are bad rows, not nulls
+        ints = [f.name for f in CONTRACT_SCHEMA.fields if isinstance(f.dataType, IntegerType) and f.name in rows.columns]
+        good, bad = split(
+            rows, critical, with_reason=True, corrupt_column=corrupt_column, integers=ints
+        )
+        write_dlq(bad, dlq, batch_id)
+        stats_fn = cumulative_stats(batch_id) if context_scope == "lake" else None
+        out = transform_good(
+            good, numeric, keys, context_strategy, context_stats=stats_fn
+        )
+        write_batch(out, lake, batch_id)
+        if after_lake_write is not None:
+            after_lake_write(batch_id)
+        back = read_lake(spark, lake, batch_id=batch_id)
+        require_columns(back, ["country"])
+        publish(encode_json(back.select(*CONTRACT_COLUMNS)), topic)
+        # a failed run leaves its staged rows; the retry writes them anew
+        delete_path(spark, staging)
+        return seen
 
     return process
 
@@ -196,6 +220,7 @@ def run_etl_increment(
     topic: TopicSpec,
     state: str,
     cap: int = 0,
+    ingested: str | None = None,
     **processor_options,
 ) -> int | None:
     """One run of the ETL as a scheduled batch job (the streaming form's
@@ -209,7 +234,8 @@ def run_etl_increment(
     same body as the stream (DLQ, lake, publish) and only then commits. A
     failed run leaves no commit, so the next run repeats the same slice
     under the same batch id and replaces its lake and DLQ folders. Returns
-    the batch id, or None when there was nothing new.
+    the batch id, or None when there was nothing new. The slice is read once,
+    and the committed count is that of the rows staged for the writes.
 
     ``key`` must be unique and grow with new data (an id or an ingestion
     time). Times are compared and stored as integers (microseconds or days),
@@ -218,6 +244,12 @@ def run_etl_increment(
     ``batch_id = NULL_KEY_BATCH`` with reason ``null_key``, renewed by every
     run. A row that arrives late, with a key at or below the committed one,
     raises: it would never be taken.
+
+    ``ingested`` names a column that grows with every load of the source (a
+    load time or number, or ``_metadata.file_modification_time`` of a source of
+    files that are never rewritten): late rows are then looked for only among
+    what was loaded after the committed rows, whose files alone are read.
+    Without it the rows up to the committed key are counted again.
     """
     import json
 
@@ -231,16 +263,25 @@ def run_etl_increment(
         lost = source.filter(F.col(key).isNull()).withColumn(REASON, F.array(F.lit("null_key")))
         if not lost.isEmpty():
             write_dlq(lost, dlq, NULL_KEY_BATCH)
+    metrics, drop = [], []
+    if ingested:
+        source = source.select("*", F.col(ingested).alias(_LOADED))
+        loaded = order_value(source, _LOADED)
+        metrics, drop = [F.max(loaded).alias(_LOADED)], [_LOADED]
     commits = f"{state.rstrip('/')}/commits"
     done = list_markers(spark, commits)
-    after, batch_id, before = None, 0, 0
+    after, batch_id, before, mark = None, 0, 0, None
     if done:
         commit = json.loads(read_marker(spark, f"{commits}/{done[-1]}"))
         after = F.lit(commit["last_key"]).cast(kind)
-        batch_id, before = int(commit["batch_id"]) + 1, commit.get("rows")
-        there = source.filter(place <= after).count() if before is not None else None
-        if before is not None and there > before:
-            raise ValueError(f"{there - before} rows of the source came late, with keys up to the committed {commit['last_key']}")
+        batch_id, before, mark = int(commit["batch_id"]) + 1, commit.get("rows"), commit.get("ingested")
+        late = 0
+        if ingested and mark is not None:
+            late = source.filter((place <= after) & (F.col(_LOADED) > _as_loaded(source, mark))).count()
+        elif before is not None:
+            late = source.filter(place <= after).count() - before
+        if late > 0:
+            raise ValueError(f"{late} rows of the source came late, with keys up to the committed {commit['last_key']}")
 
     pending = source if after is None else source.filter(place > after)
     keys = pending.select(place.alias("key"))
@@ -249,8 +290,25 @@ def run_etl_increment(
         return None  # no new data: nothing written, nothing committed
     text = last if isinstance(last, (int, float, str)) else str(last)
     batch = pending.filter(place <= F.lit(text).cast(kind))
-    make_batch_processor(spark, lake, dlq, topic, **processor_options)(batch, batch_id)
-    rows = batch.count()
-    marker = {"batch_id": batch_id, "last_key": text, "rows": None if before is None else before + rows}
+    seen = make_batch_processor(spark, lake, dlq, topic, **processor_options)(batch, batch_id, metrics, drop)
+    newest = max((m for m in (mark, seen.get(_LOADED)) if m is not None), default=None)
+    marker = {"batch_id": batch_id, "last_key": text, "rows": None if before is None else before + seen["n_rows"], "ingested": newest}
     write_marker(spark, f"{commits}/{batch_id:020d}.json", json.dumps(marker))
     return batch_id
+
+
+#: the load time or number of a row while its slice is staged
+_LOADED = "_loaded"
+
+
+def _as_loaded(source: DataFrame, mark: int | float | str) -> Column:
+    """A committed load mark in the type of the column, so that the filter
+    reaches the scan."""
+    kind = source.schema[_LOADED].dataType
+    if isinstance(kind, TimestampType):
+        return F.timestamp_micros(F.lit(mark))
+    if isinstance(kind, TimestampNTZType):
+        return F.timestamp_micros(F.lit(mark)).cast("timestamp_ntz")
+    if isinstance(kind, DateType):
+        return F.date_from_unix_date(F.lit(mark))
+    return F.lit(mark).cast(kind)
