@@ -5,12 +5,16 @@ from __future__ import annotations
 from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratelake.contract import EDA_COLUMNS
 from ratelake.functions.encode import binary_flags, ordinal_encode
+from ratelake.operators.moments import update_states, whole_corr, whole_describe
 from ratelake.operators.profile import boxplot_stats, corr_matrix, describe_column, histogram
 from ratelake.plans.registry import VENUE_CTE, register, rnd, sql_rnd
 from ratelake.plans.venue import venue_rows
+from ratelake.session import shared_path
+from ratelake.sources.lake import read_lake, write_batch
 from ratelake.sources.tables import table
 
 def eda_frame(raw: DataFrame) -> DataFrame:
@@ -158,3 +162,41 @@ def q_corr_matrix_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_corr(corr_matrix(table(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC))
 
 
+
+
+# --------------------------------------------------------------------------
+# profiles kept up batch by batch: the second update reads new batches only
+# --------------------------------------------------------------------------
+
+PROFILE_BATCHES = 3
+_EVENT_COLUMNS = ["value", "user_id"]
+
+
+def _event_profile(spark: SparkSession, sf_dir: str) -> str:
+    """Events land in a lake batch by batch; after each batch the profile is
+    brought up to date. Returns where the states are."""
+    lake, states = shared_path(spark, "profile_lake"), shared_path(spark, "profile_states")
+    events = table(spark, sf_dir, "events").select("event_id", *_EVENT_COLUMNS)
+    read = lambda n: read_lake(spark, lake, events.schema, by=None, batch_id=n)
+    for k in range(PROFILE_BATCHES):
+        write_batch(events.where(F.pmod("event_id", F.lit(PROFILE_BATCHES)) == k), lake, k, by=None)
+        if update_states(spark, lake, states, _EVENT_COLUMNS, read) != [k]:
+            raise RuntimeError("an update of the profile must read the new batch and no other")
+    return states
+
+
+@register(
+    "profile_lake_describe",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CAST(COUNT({c}) AS BIGINT) AS count, CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count,
+      {sql_rnd(f"AVG({c})")} AS mean, {sql_rnd(f"STDDEV_SAMP({c})")} AS std, CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max FROM events"""
+        for c in _EVENT_COLUMNS
+    ),
+)
+def q_profile_lake_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whole_describe(spark, _event_profile(spark, sf_dir)).withColumns({c: rnd(c) for c in ("mean", "std")})
+
+
+@register("profile_lake_corr", _corr_sql("events", _EVENT_COLUMNS))
+def q_profile_lake_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_corr(whole_corr(spark, _event_profile(spark, sf_dir)))

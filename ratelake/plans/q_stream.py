@@ -52,6 +52,8 @@ from ratelake.streaming.consumer import (
 )
 from ratelake.streaming.etl import run_etl_increment, run_etl_stream
 from ratelake.streaming.inference import score_stream, start_scoring
+from ratelake.streaming.state import STATE, ProgressReport, idle_totals, observed, state_table, stop_after
+from ratelake.operators.quality import audit_metrics
 
 EVENTS_SCHEMA = StructType(
     [
@@ -444,3 +446,87 @@ def q_etl_stream_lake_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
             context_scope="lake",
         )
     return round_contract(read_lake(spark, f"{root}/lake").select("batch_id", *CONTRACT_COLUMNS))
+
+
+# --------------------------------------------------------------------------
+# restart, state that ends, reports
+# --------------------------------------------------------------------------
+
+
+@register(
+    "stream_count_restart",
+    f"WITH {PIPELINE_CTE} SELECT country, CAST(COUNT(*) AS BIGINT) AS count FROM pipeline GROUP BY country",
+)
+def q_stream_count_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running count is stopped after two micro-batches, started again
+    from its checkpoint, and its counts are read out of the state store."""
+    spec = _contract_topic(spark, sf_dir, "topic_restart")
+    root = shared_path(spark, "stream_restart")
+    start = dict(checkpoint=f"{root}/_ckpt", mode="update", snapshot_path=f"{root}/snapshot")
+    stop_after(start_count(parsed_stream(spark, spec, max_per_trigger=1), trigger=None, **start), 2)
+    _await(start_count(parsed_stream(spark, spec, max_per_trigger=1), **start))
+    return state_table(spark, f"{root}/_ckpt").select("country", "count")
+
+
+TTL_SHARE = 8  # a key is silent too long after this part of the table's span
+
+_TTL_SQL = f"""WITH e AS (SELECT user_id, epoch_us(ts) // 1000 AS ms FROM events WHERE ts IS NOT NULL),
+s AS (SELECT max(ms) AS newest, (max(ms) - min(ms)) // {TTL_SHARE} AS ttl FROM e)
+SELECT user_id, CAST(count(*) AS BIGINT) AS count, CAST(max(ms) AS BIGINT) AS last_ms, max(ms) + any_value(ttl) >= any_value(newest) AS live
+FROM e, s GROUP BY user_id"""
+
+
+@register("stream_idle_totals", _TTL_SQL)
+def q_stream_idle_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per user with state that ends: the totals put out for silent
+    users and those still in the state add up to all events, and the state
+    holds the users that were not silent too long."""
+    root = shared_path(spark, "stream_idle")
+    events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    lo, hi = events.agg(F.unix_millis(F.min("ts")), F.unix_millis(F.max("ts"))).first()
+    ttl = ((hi or 0) - (lo or 0)) // TTL_SHARE
+    # the stream arrives in the order of time, in as many goes as the topic's
+    step = max(1, -(-((hi or 0) - (lo or 0) + 1) // TOPIC_WRITES))
+    for k in range(TOPIC_WRITES):
+        at = F.unix_millis("ts") - F.lit(lo or 0)
+        part = events.where((at >= k * step) & (at < (k + 1) * step))
+        part.write.mode("append").parquet(f"{root}/in")
+        with rocksdb_state(spark):
+            stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+            ended = idle_totals(stream, "user_id", "ts", ttl)
+            w = ended.writeStream.format("parquet").option("path", f"{root}/ended").option("checkpointLocation", f"{root}/_ckpt")
+            _await(w.trigger(availableNow=True).start())
+    ended = spark.read.schema("user_id long, count long, last_ms long").parquet(f"{root}/ended").withColumn("live", F.lit(False))
+    live = state_table(spark, f"{root}/_ckpt", variable=STATE).select("user_id", "count", "last_ms").withColumn("live", F.lit(True))
+    return ended.unionByName(live).groupBy("user_id").agg(F.sum("count").alias("count"), F.max("last_ms").alias("last_ms"), F.bool_or("live").alias("live"))
+
+
+_REPORT = ["n_rows", "n_good", "n_bad", *(f"n_null_{c}" for c in CRITICAL_COLUMNS)]
+_BAD_SQL = " OR ".join(f"{c} IS NULL" for c in CRITICAL_COLUMNS)
+
+
+@register(
+    "stream_report",
+    f"""WITH {VENUE_CTE} SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (WHERE NOT ({_BAD_SQL})) AS BIGINT) AS n_good,
+      CAST(count(*) FILTER (WHERE {_BAD_SQL}) AS BIGINT) AS n_bad, """
+    + ", ".join(f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null_{c}" for c in CRITICAL_COLUMNS)
+    + f", CAST({TOPIC_WRITES} AS BIGINT) AS n_batches FROM venue",
+)
+def q_stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw venues arrive in micro-batches and are written as they come; total,
+    good, bad and nulls per column of each are observed on the way and come
+    out as a table, here summed over the micro-batches."""
+    root = shared_path(spark, "stream_report")
+    raw = materialize(venue_rows(spark, sf_dir), "stream-report-rows")
+    report = ProgressReport(spark, f"{root}/report", "venues")
+    spark.streams.addListener(report)
+    try:
+        for k in range(TOPIC_WRITES):  # one micro-batch a go: the files of a go are all pending
+            raw.where(F.pmod(F.xxhash64("venue_id"), F.lit(TOPIC_WRITES)) == k).write.mode("append").parquet(f"{root}/in")
+            stream = observed(spark.readStream.schema(raw.schema).parquet(f"{root}/in"), "venues", audit_metrics(CRITICAL_COLUMNS))
+            query = start_raw_audit(stream, f"{root}/out", f"{root}/_ckpt")
+            _await(query)
+            report.wait(query)
+    finally:
+        spark.streams.removeListener(report)
+    return report.table().agg(*(F.sum(c).alias(c) for c in _REPORT), F.count("*").alias("n_batches"))
