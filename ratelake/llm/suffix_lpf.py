@@ -10,9 +10,10 @@ them, each ``span``-byte window is assigned to the place of the smallest hash
 among its 24-byte strings (its anchor). Equal windows have equal anchors at
 equal offsets, so windows can only match inside one anchor value:
 
-1. Each batch sends (anchor, hash of the stretch of windows around it) packed
-   per hash bucket. Repeats inside the batch are settled there, so an anchor
-   that a third of the documents hold is sent once per batch.
+1. Each task sends (anchor, hash of the stretch of windows around it) packed
+   per hash bucket, in packets of at most ``PACKET`` entries and one slice's.
+   Repeats inside a packet are settled there, so an anchor that a third of the
+   documents hold is sent once per packet.
 2. A bucket tells documents which stretches an earlier document holds whole,
    and which share only their anchor with another text.
 3. Of the latter, and only of their first holders, the bytes are shipped, and
@@ -44,6 +45,8 @@ _GRAM = 24
 _PIECE = 8
 #: documents' texts handled at once in the anchor step
 _SLICE = 1 << 16
+#: entries gathered before they are sent, whatever the size of a batch
+PACKET = 1 << 18
 #: window starts handled at once inside one long document
 _STRIDE = 1 << 20
 #: pieces of one group beyond which the group's windows are dealt out one by one
@@ -181,28 +184,37 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
             yield part.filter(pa.array(bucket == b)).to_pylist()
 
 
+def _packet(got: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Entries of some slices; repeats among them are settled here."""
+    key, whole, doc = (np.concatenate(c) for c in zip(*got, strict=True))
+    if key.size == 0:
+        return
+    order = np.argsort(whole)
+    key, whole, doc = key[order], whole[order], doc[order]
+    begin = np.flatnonzero(np.concatenate([[True], whole[1:] != whole[:-1]]))
+    group = np.repeat(np.arange(begin.size), np.diff(np.append(begin, whole.size)))
+    least = np.minimum.reduceat(doc, begin)
+    later = np.flatnonzero(doc > least[group])
+    if later.size:  # the packet itself holds an earlier copy
+        yield _packed(_bucket(doc[later], buckets), _GONE, doc[later], whole[later])
+    yield _packed(_bucket(key[begin], buckets), _OPEN, least, whole[begin], key[begin])
+
+
 def _send(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: list[tuple] = []
+        held = 0
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            got: list[tuple] = []
             for s in tk.slices(batch.column(1), _SLICE):
                 _, _, _, key, whole, row = anchors(s.buf, s.off)
                 got.append((key, whole, ids[s.lo + row]))
-            if not got:
-                continue
-            key, whole, doc = (np.concatenate(c) for c in zip(*got, strict=True))
-            if key.size == 0:
-                continue
-            order = np.argsort(whole)
-            key, whole, doc = key[order], whole[order], doc[order]
-            begin = np.flatnonzero(np.concatenate([[True], whole[1:] != whole[:-1]]))
-            group = np.repeat(np.arange(begin.size), np.diff(np.append(begin, whole.size)))
-            least = np.minimum.reduceat(doc, begin)
-            later = np.flatnonzero(doc > least[group])
-            if later.size:  # the batch itself holds an earlier copy
-                yield _packed(_bucket(doc[later], buckets), _GONE, doc[later], whole[later])
-            yield _packed(_bucket(key[begin], buckets), _OPEN, least, whole[begin], key[begin])
+                held += key.size
+                if held >= PACKET:
+                    yield from _packet(got, buckets)
+                    got, held = [], 0
+        if got:
+            yield from _packet(got, buckets)
 
     return run
 
