@@ -17,17 +17,19 @@ Two physical strategies:
   key and a whole group per task. It is used only when a partial-aggregated
   pass shows that no group exceeds ``max_window_group_rows``; otherwise the
   exact aggregate strategy runs instead, so no task ever receives an
-  unbounded group.
+  unbounded group. Both average the same values; a mean of doubles may differ
+  in its last digits, as it may between two runs of either.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelake.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_on_keys
+from ratelake.session import materialize
 
 DEFAULT_MAX_WINDOW_GROUP_ROWS = 5_000_000
 
@@ -127,3 +129,47 @@ def train_only_context(
     )
     out = join_on_keys(df, stats, keys, how="left", max_broadcast_rows=max_broadcast_rows)
     return out.withColumn(diff_col, F.col(value) - F.col(mean_col))
+
+
+def out_of_fold_context(
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str],
+    fold: Column,
+    mean_col: str,
+    shrinkage: float = 0.0,
+    fold_col: str = "fold",
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Cross-fitted group mean: each row gets the mean of its group over the
+    rows of the *other* folds, so neither its own value nor any of its fold
+    enters the feature a model is trained on.
+
+    ``fold`` numbers the folds (a hash of the row key, say); it is added as
+    ``fold_col``. ``shrinkage`` (m) pulls small groups towards the mean of all
+    rows of the other folds: ``(sum + m * mean) / (n + m)``; a group that is
+    in no other fold gets that mean, or null if m is 0. Null values count
+    nowhere, null keys form one group, a null fold is a fold of its own.
+
+    One aggregate per group and fold reads the rows; sums of the other folds
+    come by subtraction from the group's and the table's totals, which are
+    taken from that small table."""
+    keys = list(keys)
+    rows = df.withColumn(fold_col, fold)
+    by_fold = group_stats(rows, value, [*keys, fold_col])
+    by_fold = materialize(by_fold.withColumn("_sum", F.col("_sum").cast("double")), "fold-stats")
+    group = by_fold.groupBy(*keys).agg(F.sum("_sum").alias("_gs"), F.sum("_n").alias("_gn"))
+    folds = by_fold.groupBy(fold_col).agg(F.sum("_sum").alias("_fs"), F.sum("_n").alias("_fn"))
+    total, count = by_fold.agg(F.sum("_sum"), F.sum("_n")).first()
+    met = join_on_keys(by_fold, group, keys, how="inner", max_broadcast_rows=max_broadcast_rows)
+    met = join_on_keys(met, folds, [fold_col], how="inner", max_broadcast_rows=max_broadcast_rows)
+    none = F.lit(0.0)
+    # differences of sums: a group with no value elsewhere has exactly none
+    n = F.col("_gn") - F.col("_n")
+    s = F.when(n > 0, F.coalesce("_gs", none) - F.coalesce("_sum", none)).otherwise(none)
+    rest_n = F.lit(count or 0) - F.col("_fn")
+    rest = F.when(rest_n > 0, (F.lit(total or 0.0) - F.coalesce("_fs", none)) / rest_n)
+    m = F.lit(float(shrinkage))
+    mean = F.try_divide(s + F.when(m > 0, m * rest).otherwise(none), n + m)
+    stats = met.select(*keys, fold_col, mean.alias(mean_col))
+    return join_on_keys(rows, stats, [*keys, fold_col], how="left", max_broadcast_rows=max_broadcast_rows)

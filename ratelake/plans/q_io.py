@@ -27,6 +27,7 @@ from ratelake.sources.lake import (
     write_dlq_batches,
 )
 from ratelake.sources.tables import table
+from ratelake.sources.types import KINDS, discover_csv, drift
 
 # --------------------------------------------------------------------------
 # tolerant CSV scan: `part` written as CSV with some p_size cells replaced by
@@ -175,3 +176,47 @@ def q_dlq_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             for c in CRITICAL_COLUMNS
         ],
     )
+
+
+# --------------------------------------------------------------------------
+# type discovery: three loads of events, of which the last widens two columns
+# --------------------------------------------------------------------------
+
+_LOADS = 3
+_HALF = "event_id % 3 = 2 AND user_id % 4 = 1"
+
+_TYPES_SQL = f"""WITH e AS (
+  SELECT event_id, event_id % {_LOADS} AS f, ts, event_type, {_HALF} AS half, event_type = 'click' AND event_id % 3 = 2 AS gone FROM events),
+c AS (
+  SELECT f, 'event_id' AS "column", 'bigint' AS kind FROM e
+  UNION ALL SELECT f, 'amount', CASE WHEN half THEN 'double' ELSE 'bigint' END FROM e
+  UNION ALL SELECT f, 'day', CASE WHEN ts IS NULL THEN 'empty' WHEN f = 2 THEN 'timestamp' ELSE 'date' END FROM e
+  UNION ALL SELECT f, 'event_type', CASE WHEN event_type IS NULL THEN 'empty' ELSE 'string' END FROM e
+  UNION ALL SELECT f, 'flag', CASE WHEN gone THEN 'empty' ELSE 'boolean' END FROM e),
+n AS (SELECT f, "column", kind, count(*) AS n FROM c GROUP BY ALL),
+own AS (SELECT f, "column", CASE WHEN bool_or(kind = 'string') THEN 'string' WHEN bool_or(kind = 'double') THEN 'double' WHEN bool_or(kind = 'bigint') THEN 'bigint'
+  WHEN bool_or(kind = 'timestamp') THEN 'timestamp' WHEN bool_or(kind = 'date') THEN 'date' WHEN bool_or(kind = 'boolean') THEN 'boolean' ELSE 'void' END AS type FROM n GROUP BY f, "column"),
+whole AS (SELECT "column", CASE WHEN bool_or(kind = 'string') THEN 'string' WHEN bool_or(kind = 'double') THEN 'double' WHEN bool_or(kind = 'bigint') THEN 'bigint'
+  WHEN bool_or(kind = 'timestamp') THEN 'timestamp' WHEN bool_or(kind = 'date') THEN 'date' WHEN bool_or(kind = 'boolean') THEN 'boolean' ELSE 'void' END AS type, {", ".join(f"CAST(coalesce(sum(n) FILTER (WHERE kind = '{k}'), 0) AS BIGINT) AS n_{k}" for k in KINDS)} FROM n GROUP BY "column")
+SELECT w.*, CAST(count(DISTINCT o.f) FILTER (WHERE o.type <> w.type) AS BIGINT) AS n_narrower
+FROM whole w JOIN own o ON o."column" = w."column" GROUP BY ALL"""
+
+
+@register("csv_type_discovery", _TYPES_SQL)
+def q_csv_type_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of all columns from all cells, and where a column widened: the
+    last load turns integers into decimals and dates into times."""
+    path = shared_path(spark, "typed_csv")
+    ev = table(spark, sf_dir, "events")
+    part = F.col("event_id") % _LOADS
+    day, at = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    cells = ev.select(
+        "event_id",
+        F.when(F.expr(_HALF), F.concat(F.col("event_id").cast("string"), F.lit(".5"))).otherwise(F.col("event_id").cast("string")).alias("amount"),
+        F.when(part == 2, at).otherwise(day).alias("day"), "event_type",
+        F.when((F.col("event_type") != "click") | (part != 2) | F.col("event_type").isNull(), F.lit("true")).alias("flag"),
+        part.alias("f"),
+    )
+    for k in range(_LOADS):
+        cells.where(F.col("f") == k).drop("f").write.option("header", "true").csv(f"{path}/load={k}")
+    return drift(discover_csv(spark, path, unit="folder")).drop("n_units")

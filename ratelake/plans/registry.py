@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ratelake.contract import CRITICAL_COLUMNS, NUMERIC_COLUMNS
 from ratelake.functions.encode import FLAG_RULES, binary_flags, impute_zero, ordinal_encode
-from ratelake.operators.context import group_context, leave_one_out_context
+from ratelake.operators.context import group_context, leave_one_out_context, out_of_fold_context
 from ratelake.operators.joins import join_on_keys
 from ratelake.operators.quality import batch_audit, split
 from ratelake.plans.venue import VENUE_SQL, venue_pipeline, venue_rows
@@ -308,3 +308,25 @@ def q_count_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the pipeline keeps one row per good venue, so the good rows suffice
     good, _ = split(venue_rows(spark, sf_dir), CRITICAL_COLUMNS)
     return good.groupBy("country").count()
+
+
+FOLDS = 5
+SHRINKAGE = 10.0
+
+
+@register(
+    "group_context_out_of_fold",
+    f"""WITH f AS (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(l_quantity AS DOUBLE) AS q, CAST((l_orderkey * 7 + l_linenumber) % {FOLDS} AS BIGINT) AS fold FROM lineitem),
+    other AS (SELECT x.fold, avg(f.q) AS mean FROM (SELECT DISTINCT fold FROM f) x JOIN f ON f.fold <> x.fold GROUP BY x.fold),
+    s AS (SELECT l_suppkey, fold, sum(q) AS s, count(q) AS n FROM f GROUP BY ALL),
+    g AS (SELECT l_suppkey, sum(s) AS s, sum(n) AS n FROM s GROUP BY ALL)
+    SELECT l_orderkey, l_linenumber, f.l_suppkey, f.fold,
+      {sql_rnd(f"(g.s - s.s + {SHRINKAGE!r} * o.mean) / (g.n - s.n + {SHRINKAGE!r})")} AS supp_quantity
+    FROM f JOIN s ON s.l_suppkey = f.l_suppkey AND s.fold = f.fold JOIN g ON g.l_suppkey = f.l_suppkey JOIN other o ON o.fold = f.fold""",
+)
+def q_group_context_out_of_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean quantity of a line's supplier over the other folds' lines."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    fold = ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % FOLDS).cast("long")
+    out = out_of_fold_context(li, "l_quantity", ["l_suppkey"], fold, "supp_quantity", SHRINKAGE)
+    return out.drop("l_quantity").withColumn("supp_quantity", rnd("supp_quantity"))
