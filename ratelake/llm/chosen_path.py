@@ -97,11 +97,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(s.lo, s.hi - s.lo),
+                    batch.column(2).slice(s.lo, s.hi - s.lo),
                     pa.array([_print(u) if u.size else None for u in sets], pa.int64()),
                     pa.array([u.size for u in sets], pa.int32()),
                     pa.array([_sketch(u).tobytes() if u.size else None for u in sets], pa.binary()),
                 ],
-                ["id", "fp", "n", "sketch"],
+                ["id", "tkey", "fp", "n", "sketch"],
             )
 
 
@@ -310,16 +311,18 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL, name: str = "cps") ->
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     # a null id counts as the largest, so that it names a class only if all ids are null
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
-    rows = materialize(texts.mapInArrow(_sets, "id long, fp long, n int, sketch binary"), f"{name}-sets")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text", F.xxhash64("text").alias("tkey"))
+    rows = materialize(texts.mapInArrow(_sets, "id long, tkey long, fp long, n int, sketch binary"), f"{name}-sets")
     known = rows.where("fp is not null")
-    classes = known.groupBy("fp").agg(F.min("id").alias("copy_id"), F.count("*").alias("copies"), F.max("sketch").alias("sketch"))
+    classes = known.groupBy("fp").agg(F.min(F.struct("id", "tkey")).alias("first"), F.count("*").alias("copies"), F.max("sketch").alias("sketch"))
+    # a class is found again by id and text: many texts may share an id, or have none
+    classes = classes.select("fp", F.col("first.id").alias("copy_id"), F.col("first.tkey").alias("copy_key"), "copies", "sketch")
     classes = materialize(classes, f"{name}-classes")
     loose = candidates(classes, runs_needed(recall), name)
     groups = materialize(components(loose, f"{name}-cc"), f"{name}-groups")
-    members = groups.join(classes, groups["id"] == classes["fp"]).select("fp", "root", "copy_id", "copies")
+    members = groups.join(classes, groups["id"] == classes["fp"]).select("fp", "root", "copy_id", "copy_key", "copies")
     # one text per class
-    met = texts.where(F.col("text").isNotNull()).join(members, F.col("id") == F.col("copy_id"))
+    met = texts.where(F.col("text").isNotNull()).join(members, (F.col("id") == F.col("copy_id")) & (F.col("tkey") == F.col("copy_key")))
     met = met.select("root", "fp", "copies", "text").mapInArrow(_own_sets, "root long, fp long, copies long, text string")
     met = materialize(met.dropDuplicates(["fp"]), f"{name}-met")
     weight = met.groupBy("root").agg(

@@ -135,14 +135,23 @@ def trusted_sample(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
+def row_sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum of each row's values, by themselves: no row's sum depends on the
+    rows beside it."""
+    out = np.zeros(first.size - 1)
+    some = np.flatnonzero(np.diff(first))
+    if some.size:
+        out[some] = np.add.reduceat(x, first[some])
+    return out
+
+
 def _judge(ratios: np.ndarray, min_score: float):
     def run(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         parts = []
         for s in tk.slices(batch.column(batch.schema.get_field_index("text")), 1 << 18):
             m = measures(s)
             gram, first = _grams(s)
-            total = np.concatenate([[0.0], np.cumsum(ratios[gram])])[first]
-            m["llr"] = np.diff(total) / np.maximum(np.diff(first), 1)
+            m["llr"] = row_sums(ratios[gram], first) / np.maximum(np.diff(first), 1)
             m["base_failed"] = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
             m["kept"] = ~m["base_failed"] & (m["llr"] >= min_score)
             parts.append(m)

@@ -186,7 +186,10 @@ def fit_chain(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> list[Li
     known = labels.where("doc_id is not null and toxic is not null and quality is not null").groupBy("doc_id")
     known = known.agg(F.max("toxic").cast("int").alias("toxic"), F.max("quality").cast("int").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # bounded by the parameter
-    met = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "quality", "text")
+    met = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # one text for each labelled id: rows that repeat an id do not add to the sample
+    one = F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text"), "text"))
+    met = met.groupBy("doc_id", "toxic", "quality").agg(one.alias("text"))
     got = met.mapInArrow(_features, "doc_id long, toxic int, quality int, words binary").toArrow()
     if got.num_rows == 0:
         return None
