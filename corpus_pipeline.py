@@ -4,9 +4,10 @@ Every stage takes ``(spark, docs, sf_dir)`` and works on all that the stage
 before kept; its result is written as Parquet and read again as the next
 stage's ``docs``. All but the last return the columns of ``docs``.
 
-Rows with a null id stay in the stages that judge by id (near duplicates:
-one row of rows alike in all but the id; leaks: kept). A null text fails the
-base rules of the first stage. Further columns of ``docs`` are carried along.
+Near duplicates and leaks are judged by id and text, so rows that share an id
+with other texts, or have none, are judged each by its own text; of rows alike
+in both, one stays. A null text fails the base rules of the first stage. Further
+columns of ``docs`` are carried along.
 """
 
 from __future__ import annotations
@@ -36,21 +37,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_llr.keep_good(docs, quality_llr.trusted_sample(table(spark, sf_dir, "labels")))
 
 
+def _named(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number of its id and text, and that column's name."""
+    uid = _fresh(docs, "uid")
+    return docs.withColumn(uid, F.xxhash64(F.col("doc_id").cast("long"), F.lit(0), F.col("text"))), uid
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, the one with the smallest id."""
-    uid, tkey = _fresh(docs, "uid"), _fresh(docs, "tkey")
-    # rows without an id get a stand-in above all others, so ids name the classes
-    stand_in = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)
-    named = docs.withColumn(uid, F.coalesce(F.col("doc_id").cast("long"), stand_in)).withColumn(tkey, F.xxhash64("text"))
-    classes = chosen_path.jaccard_join(named.select(F.col(uid).alias("doc_id"), "text"))
-    first = classes.where("doc_id = class_id").select(F.col("doc_id").alias(uid)).distinct()
-    return named.join(first, uid, "left_semi").dropDuplicates([uid, tkey]).select(*docs.columns)
+    """One document of each class stays, the one with the smallest id (of rows
+    that share it, the one with the smallest hash)."""
+    named, uid = _named(docs)
+    classes = chosen_path.jaccard_join(named.select(F.col(uid).alias("doc_id"), "text")).select(F.col("doc_id").alias(uid), "class_id")
+    ids = named.select(uid, F.col("doc_id").cast("long").alias("id")).distinct()
+    order = F.struct(F.col("id").isNull(), "id", uid)
+    first = classes.distinct().join(ids, uid).groupBy("class_id").agg(F.min(order).getField(uid).alias(uid))
+    return named.join(first.select(uid), uid, "left_semi").dropDuplicates([uid]).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    hits = latent_leaks.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti").select(*docs.columns)
+    named, uid = _named(docs)
+    hits = latent_leaks.leaks(named.select(F.col(uid).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return named.join(hits.select(F.col("doc_id").alias(uid)).distinct(), uid, "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
