@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.contract import FEATURE_COLUMNS, SPLIT_SEED, TRAIN_FRACTION
+from ratelake.contract import FEATURE_COLUMNS, FOREST_TREES, SPLIT_SEED, TRAIN_FRACTION
 from ratelake.operators.context import train_only_context
+from ratelake.operators.forest import checked_nodes, forest_nodes, importances, nodes_agree, routed_prediction
 from ratelake.operators.model import (
     VENUE_KEY,
     fit_forest,
@@ -189,6 +190,101 @@ def q_ml_forest_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# splits of the small features: midpoints between neighbouring values
+_SPLITS = {"price_level_num": (0.5, 1.5, 2.5), "is_claimed": (0.5,), "is_veg_friendly": (0.5,), "is_gluten_free": (0.5,)}
+_TREE_DEPTH = 3
+
+
+def _grown_tree_sql(depth: int) -> str:
+    """A regression tree grown level by level: of all splits of a node the one
+    that lowers the variance most."""
+    value = "CASE f " + " ".join(f"WHEN '{f}' THEN {f}" for f in _SPLITS) + " END"
+    ranked = list(_SPLITS)
+    splits = ", ".join(f"({ranked.index(f)}, '{f}', CAST({t!r} AS DOUBLE))" for f, cuts in _SPLITS.items() for t in cuts)
+    parts = [
+        f"split(i, f, t) AS (VALUES {splits})",
+        f"l0 AS MATERIALIZED (SELECT CAST(1 AS BIGINT) AS node, {', '.join(_SPLITS)}, avg_rating AS y FROM pipeline "
+        f"WHERE avg_rating > 0 AND {_sql_split(_VENUE_KEY_SQL)} = 'train')",
+    ]
+    for d in range(depth + 1):
+        parts.append(f"n{d} AS MATERIALIZED (SELECT node, COUNT(*) AS n, AVG(y) AS mean, VAR_POP(y) AS impurity FROM l{d} GROUP BY node)")
+        if d == depth:
+            break
+        parts.append(
+            f"c{d} AS (SELECT node, i, f, t, COUNT(*) FILTER (WHERE {value} <= t) AS a, COUNT(*) FILTER (WHERE {value} > t) AS b, "
+            f"VAR_POP(y) FILTER (WHERE {value} <= t) AS va, VAR_POP(y) FILTER (WHERE {value} > t) AS vb FROM l{d}, split GROUP BY node, i, f, t)"
+        )
+        parts.append(
+            f"b{d} AS MATERIALIZED (SELECT node, f, t, impurity - (a * va + b * vb) / (a + b) AS gain FROM c{d} JOIN n{d} USING (node) "
+            "WHERE a > 0 AND b > 0 AND impurity - (a * va + b * vb) / (a + b) > 1e-12 "
+            "QUALIFY ROW_NUMBER() OVER (PARTITION BY node ORDER BY ROUND(impurity - (a * va + b * vb) / (a + b), 12) DESC, i, t) = 1)"
+        )
+        parts.append(
+            f"l{d + 1} AS MATERIALIZED (SELECT 2 * node + CASE WHEN {value} <= t THEN 0 ELSE 1 END AS node, {', '.join(_SPLITS)}, y "
+            f"FROM l{d} JOIN b{d} USING (node))"
+        )
+    shown = [f"SELECT node, f, t, n, mean, impurity, gain FROM n{d} LEFT JOIN b{d} USING (node)" for d in range(depth)]
+    shown.append(f"SELECT node, NULL, NULL, n, mean, impurity, NULL FROM n{depth}")
+    parts.append("grown(node, f, t, n, mean, impurity, gain) AS (" + " UNION ALL ".join(shown) + ")")
+    return ",\n    ".join(parts)
+
+
+@register(
+    "ml_tree_nodes",
+    f"""WITH {PIPELINE_CTE},
+    {_grown_tree_sql(_TREE_DEPTH)}
+    SELECT node, f AS feature, t AS threshold, CAST(n AS BIGINT) AS n, {sql_rnd("mean")} AS mean,
+      {sql_rnd("impurity")} AS impurity, {sql_rnd("gain")} AS gain, TRUE AS agrees FROM grown""",
+)
+def q_ml_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree over the small features: splits by the model, figures from the rows."""
+    train, _ = _venue_train_test(spark, sf_dir)
+    model = fit_forest(train, list(_SPLITS), num_trees=1, max_depth=_TREE_DEPTH, bootstrap=False, featureSubsetStrategy="all")
+    return checked_nodes(spark, model, train, list(_SPLITS)).select(
+        "node", "feature", "threshold", F.col("n").cast("long").alias("n"),
+        rnd("mean").alias("mean"), rnd("impurity").alias("impurity"), rnd("gain").alias("gain"), nodes_agree().alias("agrees"),
+    )
+
+
+@register(
+    "ml_forest_nodes",
+    f"""WITH {PIPELINE_CTE}, t AS ({_n_rated("train")})
+    SELECT CAST(tree AS INT) AS tree, n AS n_rows, TRUE AS nodes_agree, TRUE AS importances_agree FROM t, range({FOREST_TREES}) AS r(tree)""",
+)
+def q_ml_forest_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trees of the forest without bootstrap: counts, means, impurities and
+    gains of every node counted anew from the training rows, and the
+    importances that follow from them."""
+    train, _ = _venue_train_test(spark, sf_dir)
+    model = fit_forest(train, bootstrap=False)
+    nodes = materialize(checked_nodes(spark, model, train, FEATURE_COLUMNS), "ml_forest_nodes")
+    told = forest_importances(spark, model, FEATURE_COLUMNS).select("feature", F.col("importance").alias("_told"))
+    both = told.join(importances(nodes), "feature", "left")
+    agree = both.agg(F.max(F.abs(F.col("_told") - F.coalesce("importance", F.lit(0.0)))) < 1e-9).first()[0]
+    return nodes.groupBy("tree").agg(
+        F.max(F.when(F.col("node") == 1, F.col("n"))).cast("long").alias("n_rows"), F.min(nodes_agree()).alias("nodes_agree")
+    ).withColumn("importances_agree", F.lit(agree))
+
+
+@register(
+    "ml_forest_routed",
+    f"""WITH {PIPELINE_CTE}, t AS ({_n_rated("test")})
+    SELECT n AS n_test, CAST(0 AS BIGINT) AS n_differ, TRUE AS importances_agree FROM t""",
+)
+def q_ml_forest_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's forest: held-out rows routed through its nodes against
+    the model's predictions, and importances from the nodes."""
+    train, test = _venue_train_test(spark, sf_dir)
+    model = fit_forest(train)
+    nodes = forest_nodes(spark, model, FEATURE_COLUMNS)
+    told = forest_importances(spark, model, FEATURE_COLUMNS).select("feature", F.col("importance").alias("_told"))
+    both = told.join(importances(nodes), "feature", "left")
+    agree = both.agg(F.max(F.abs(F.col("_told") - F.coalesce("importance", F.lit(0.0)))) < 1e-9).first()[0]
+    routed = score(model, test.withColumn("_routed", routed_prediction(nodes)), keep=["_routed"])
+    differ = ~F.coalesce(F.abs(F.col("_routed") - F.col("prediction")) < 1e-9, F.lit(False))
+    return routed.agg(F.count(F.lit(1)).alias("n_test"), F.count_if(differ).alias("n_differ")).withColumn("importances_agree", F.lit(agree))
+
+
 @register(
     "ml_compare_checks",
     f"""WITH {PIPELINE_CTE}, t AS ({_n_rated("test")})
