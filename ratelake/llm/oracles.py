@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ratelake.llm.fair_mix import MAX_EPOCHS, WEIGHTS
-from ratelake.llm.line_winnow import RUN
+from ratelake.llm.line_winnow import RUN, WORDS
 from ratelake.llm.prefix_trie import FAMILY, HEADS
 from ratelake.llm.subvector_kmeans import LIMIT, SCALE
 from ratelake.llm.suffix_lpf import SPAN
@@ -42,12 +42,16 @@ WITH split AS (
   SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS raw FROM documents),
 numbered AS (
   SELECT doc_id, text, raw, list_filter(range(1, len(raw) + 1), lambda k: regexp_matches(raw[k], '{_WORD}')) AS pos FROM split),
+starts AS (
+  SELECT *, unnest(range(1, len(pos) + 1)) AS i
+  FROM (SELECT *, list_transform(pos, lambda k: len(regexp_extract_all(raw[k], '{_WORD}'))) AS words FROM numbered)),
 windows AS (
-  SELECT doc_id, i, list_transform(range(i, i + {RUN}), lambda k: raw[pos[k]]) AS w
-  FROM (SELECT *, unnest(range(1, len(pos) - {RUN - 2})) AS i FROM numbered)),
+  SELECT doc_id, i, size, list_transform(range(i, i + size), lambda k: raw[pos[k]]) AS w
+  FROM starts, (SELECT unnest(range(1, {RUN} + 1)) AS size)
+  WHERE i + size <= len(pos) + 1 AND (size = {RUN} OR list_sum(words[i:i + size - 1]) >= {WORDS})),
 earliest AS (SELECT w, min((doc_id, i)) AS e FROM windows GROUP BY w),
-late AS (SELECT DISTINCT doc_id, i FROM windows JOIN earliest USING (w) WHERE (doc_id, i) > e),
-cut AS (SELECT doc_id, list_sort(list(DISTINCT k)) AS gone FROM (SELECT doc_id, unnest(range(i, i + {RUN})) AS k FROM late) GROUP BY doc_id)
+late AS (SELECT DISTINCT doc_id, i, size FROM windows JOIN earliest USING (w) WHERE (doc_id, i) > e),
+cut AS (SELECT doc_id, list_sort(list(DISTINCT k)) AS gone FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM late) GROUP BY doc_id)
 SELECT n.doc_id, CAST(len(pos) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
   CAST(coalesce(len(list_filter(gone, lambda k: NOT list_contains(gone, k - 1))), 0) AS BIGINT) AS n_runs,
   sha256(CASE WHEN gone IS NULL THEN text ELSE array_to_string(

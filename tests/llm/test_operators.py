@@ -94,28 +94,62 @@ def test_suffix_dedup(docs, rows):
     assert cover(ranges(2)) == cover(ranges(10**9))  # crowded groups, window by window
 
 
-def test_line_dedup(docs, rows):
+def _windows(lines):
+    for i in range(len(lines)):
+        for n in (1, 2, 3):
+            w = tuple(lines[i : i + n])
+            if len(w) == n and (n == 3 or sum(len(WORD.findall(x)) for x in w) >= 50):
+                yield i, w
+
+
+def _line_dedup(rows):
     runs, first = [], {}
     for d, t in rows:
         lines = [x for x in (t or "").split("\n") if WORD.search(x)]
-        for i in range(len(lines) - 2) if d is not None else ():
-            w = tuple(lines[i : i + 3])
+        for i, w in _windows(lines) if d is not None else ():
             first[w] = min((d, i), first.get(w, (d, i)))
         runs.append(lines)
     want = []
     for (d, t), lines in zip(rows, runs, strict=True):
         gone = set()
-        for i in range(len(lines) - 2) if d is not None else ():
-            if (d, i) > first[tuple(lines[i : i + 3])]:
-                gone |= {i, i + 1, i + 2}
+        for i, w in _windows(lines) if d is not None else ():
+            if (d, i) > first[w]:
+                gone |= set(range(i, i + len(w)))
         left, n = [], -1
         for x in (t or "").split("\n"):
             n += bool(WORD.search(x))
             if not WORD.search(x) or n not in gone:
                 left.append(x)
         want.append((d, len(lines), len(gone), sum(g - 1 not in gone for g in gone), hashlib.sha256("\n".join(left).encode()).hexdigest()))
+    return want
+
+
+def test_line_dedup(docs, rows):
     got = [tuple(r) for r in line_winnow.drop_repeated_lines(docs).collect()]
-    assert sorted(got, key=_key) == sorted(want, key=_key)
+    assert sorted(got, key=_key) == sorted(_line_dedup(rows), key=_key)
+
+
+def test_line_dedup_of_short_runs(spark):
+    rnd = random.Random(5)
+    lines = [" ".join(f"{c}{k}" for k in range(n)) for c, n in zip("abcdefghij", (1, 2, 20, 24, 25, 26, 30, 49, 50, 90), strict=True)]
+    rows = [(i, "\n".join(rnd.choice([*lines, ""]) for _ in range(rnd.randint(0, 7)))) for i in range(300)]
+    rows += [(400, lines[9]), (401, lines[8] + "\r"), (402, lines[8] + "\r"), (403, lines[7]), (404, lines[7]), (405, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((tuple(r) for r in line_winnow.drop_repeated_lines(docs).collect()), key=_key)
+    assert got == sorted(_line_dedup(rows), key=_key)
+    removed = {r[0]: r[2] for r in got}
+    assert [removed[i] for i in range(400, 406)] == [1, 0, 1, 0, 0, 0]
+
+
+def test_only_selected_lines_are_fingerprints(spark, docs, rows):
+    prints = line_winnow.fingerprints(docs).collect()
+    n_windows = sum(sum(1 for _ in _windows([x for x in (t or "").split("\n") if WORD.search(x)])) for d, t in rows if d is not None)
+    assert len({(r.id, r.tkey, r.place) for r in prints}) <= len(prints) < n_windows
+    assert sum(len(r.starts) for r in prints) == n_windows  # every window has selected one line
+    for r in prints:
+        for i, n in zip(r.starts, r.sizes, strict=True):
+            own = [h % 2**64 for h in r.around[i - r.lo : i - r.lo + n]]
+            assert own.index(min(own)) == r.place - i and min(own) == r.print % 2**64
 
 
 def test_jaccard_join(docs, rows):
