@@ -8,15 +8,18 @@ cut moves from the median to that share.
 
 Medians are found without moving rows: rounds of grouped histograms, 16 bits
 of the key at a time, narrow the cut of all cells at once. Rows alike in the
-dimension are ordered by a hash of id and text, so any number of equal texts,
-or a source with a third of all rows, still splits anywhere. The driver sees
-one row per cell, never a document.
+dimension are ordered by a hash of id, text, source, language and a number
+among rows alike in all of these, so any number of equal texts, of equal or
+missing ids, or a source with a third of all rows, still splits anywhere. Equal
+rows are numbered by the stretches they were read in, never as one group. The
+driver sees one row per cell, never a document.
 
 Dimensions: log of the size, hash of the source, hash of the language, the id
 (where the table has them; a missing column is no dimension, nulls come first).
 Nulls: a null text has no bytes and CRC 0; null ids are ordinary rows. Repeated
-rows (same id and text) stay next to each other. An empty table gives an empty
-result; with fewer rows than shards some shards stay empty.
+rows are dealt like others; which of them goes where makes no difference to the
+result. An empty table gives an empty result; with fewer rows than shards some
+shards stay empty.
 """
 
 from __future__ import annotations
@@ -41,7 +44,8 @@ def _hash31(*cols: Column) -> Column:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """Per row: id, size, CRC-32, order hash and the raw dimensions d0, d1, ..."""
+    """Per row: id, size, CRC-32, hash of all that tells rows apart (``alike``)
+    and the raw dimensions d0, d1, ..."""
     dims = [F.log(F.octet_length(_text()) + F.lit(1)).alias("d0")]
     for name in ("source", "lang"):
         if name in docs.columns:
@@ -52,17 +56,31 @@ def described(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long"),
         (F.octet_length(_text()) + 1).cast("long").alias("size"),
         F.crc32(_text().cast("binary")).alias("text_crc32"),
-        _hash31(F.col("doc_id"), _text()).alias("tie"),
+        F.xxhash64("doc_id", _text(), *dims[1:]).alias("alike"),
         *dims,
     )
 
 
+def _ordered(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with their order hash ``tie``: equal rows are numbered inside
+    each stretch, from the count of those in earlier stretches."""
+    counts = rows.groupBy("alike", "stretch").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("alike").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    # of rows that are alone the number is 0 already
+    before = counts.withColumn("before", F.sum("n").over(earlier)).where("before > 0").select("alike", "stretch", "before")
+    inside = Window.partitionBy("alike", "stretch").orderBy("size")
+    met = rows.withColumn("nth", F.row_number().over(inside)).join(materialize(before, f"{name}-before"), ["alike", "stretch"], "left")
+    tie = _hash31("alike", F.coalesce("before", F.lit(0)) + F.col("nth"))
+    return materialize(met.withColumn("tie", tie).drop("alike", "stretch", "nth", "before"), f"{name}-ordered")
+
+
 def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int | None = None, name: str = "kd") -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` for every document; shards
     number the leaves from left to right, slots count from 0 in each."""
     spark = docs.sparkSession
     # the root cell is a stored column, so that cells join by equality from the first level on
-    rows = materialize(described(docs).withColumn("first", F.lit(0).cast("long")), f"{name}-rows")
+    rows = described(docs).withColumn("first", F.lit(0).cast("long")).withColumn("stretch", F.spark_partition_id())
+    rows = _ordered(materialize(rows, f"{name}-rows"), name)
     n_dims = sum(c[0] == "d" and c[1:].isdigit() for c in rows.columns)
     span = rows.agg(F.count("*").alias("n"), F.sum("size").alias("w"), *(f(f"d{i}") for i in range(n_dims) for f in (F.min, F.max))).first()
     if not span["n"]:
