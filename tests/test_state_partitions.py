@@ -8,6 +8,7 @@ import pytest
 
 from ratelake.sources.topic import TopicSpec, publish
 from ratelake.streaming.consumer import drain, latest_snapshot, parsed_stream, start_count
+from ratelake.streaming.state import state_operators, state_table, stop_after
 
 SHUFFLE = "spark.sql.shuffle.partitions"
 #: one file each: a key that comes back, keys that do not, rows without key
@@ -51,3 +52,14 @@ def test_update_mode_takes_a_micro_batch_once(wide, tmp_shared):
     assert sum(s["numRowsUpdated"] for s in states) == sum(len(set(go)) for go in GOES)
     assert {s["numShufflePartitions"] for s in states} == {8}
     assert _dict(latest_snapshot(wide, f"{tmp_shared}/snap")) == WANT
+
+
+def test_a_restart_keeps_the_state_in_its_partitions(wide, tmp_shared):
+    spec = _topic(wide, tmp_shared)
+    start = dict(checkpoint=f"{tmp_shared}/ck", mode="update", snapshot_path=f"{tmp_shared}/snap")
+    parsed = lambda: parsed_stream(wide, spec, max_per_trigger=1)
+    stop_after(start_count(parsed(), trigger=None, **start), 2)
+    # a checkpoint is bound to its number, whatever the next start asks for
+    drain(start_count(parsed(), state_partitions=5, **start))
+    assert state_operators(wide, f"{tmp_shared}/ck").first()["numPartitions"] == 8
+    assert _dict(state_table(wide, f"{tmp_shared}/ck")) == _dict(latest_snapshot(wide, f"{tmp_shared}/snap")) == WANT
