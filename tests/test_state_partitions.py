@@ -7,7 +7,7 @@ from __future__ import annotations
 import pytest
 
 from ratelake.sources.topic import TopicSpec, publish
-from ratelake.streaming.consumer import drain, latest_snapshot, parsed_stream, start_count
+from ratelake.streaming.consumer import ConsumerPaths, drain, latest_snapshot, parsed_stream, run_consumer, start_count
 from ratelake.streaming.state import state_operators, state_table, stop_after
 
 SHUFFLE = "spark.sql.shuffle.partitions"
@@ -63,3 +63,11 @@ def test_a_restart_keeps_the_state_in_its_partitions(wide, tmp_shared):
     drain(start_count(parsed(), state_partitions=5, **start))
     assert state_operators(wide, f"{tmp_shared}/ck").first()["numPartitions"] == 8
     assert _dict(state_table(wide, f"{tmp_shared}/ck")) == _dict(latest_snapshot(wide, f"{tmp_shared}/snap")) == WANT
+
+
+def test_the_consumer_counts_in_few_state_partitions(wide, tmp_shared):
+    spec, paths = _topic(wide, tmp_shared), ConsumerPaths(f"{tmp_shared}/out")
+    queries = run_consumer(wide, spec, paths.root, max_per_trigger=1, timeout_s=300)
+    assert {s["numShufflePartitions"] for s in _states(queries[2])} == {8}
+    assert _dict(latest_snapshot(wide, paths.counts)) == WANT
+    assert wide.read.parquet(paths.audit).count() == sum(map(len, GOES))
