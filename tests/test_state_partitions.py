@@ -7,6 +7,7 @@ from __future__ import annotations
 import pytest
 
 from ratelake.sources.topic import TopicSpec, publish
+from ratelake.streaming import consumer
 from ratelake.streaming.consumer import ConsumerPaths, drain, latest_snapshot, parsed_stream, run_consumer, start_count
 from ratelake.streaming.state import state_operators, state_table, stop_after
 
@@ -71,3 +72,24 @@ def test_the_consumer_counts_in_few_state_partitions(wide, tmp_shared):
     assert {s["numShufflePartitions"] for s in _states(queries[2])} == {8}
     assert _dict(latest_snapshot(wide, paths.counts)) == WANT
     assert wide.read.parquet(paths.audit).count() == sum(map(len, GOES))
+
+
+@pytest.mark.parametrize("session, asked, got", [("24", None, 8), ("24", 30, 30), ("3", None, 3)])
+def test_state_partitions_of_the_complete_count(wide, tmp_shared, session, asked, got):
+    spec = _topic(wide, tmp_shared)
+    wide.conf.set(SHUFFLE, session)
+    try:
+        start = dict(checkpoint=f"{tmp_shared}/ck", snapshot_path=f"{tmp_shared}/snap", state_partitions=asked)
+        drain(start_count(parsed_stream(wide, spec, max_per_trigger=1), **start))
+        assert wide.conf.get(SHUFFLE) == session
+    finally:
+        wide.conf.set(SHUFFLE, "24")
+    assert state_operators(wide, f"{tmp_shared}/ck").first()["numPartitions"] == got
+    assert _dict(latest_snapshot(wide, f"{tmp_shared}/snap")) == WANT
+
+
+def test_a_start_that_fails_gives_the_session_its_partitions_back(wide):
+    with pytest.raises(RuntimeError, match="no start"), consumer.state_in(wide, 2):
+        assert wide.conf.get(SHUFFLE) == "2"
+        raise RuntimeError("no start")
+    assert wide.conf.get(SHUFFLE) == "24"
