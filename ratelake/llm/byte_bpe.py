@@ -9,9 +9,11 @@ pre-token is encoded by itself, and ids are decoded by the inverse map from
 pieces to bytes.
 
 The serialised model (a few megabytes, fixed by the vocabulary) is broadcast;
-documents are independent, so there is no shuffle. A task works on one
-document after the other, a long one in parts, and keeps the pre-tokens it
-has seen in a table that starts anew beyond ``CACHE`` entries.
+documents are independent, so there is no shuffle. A task works on a group of
+documents after the other, a long one in parts: the new pre-tokens of a group
+go to the model in one call, since each call has a cost of its own. It keeps the
+pre-tokens it has seen in a table that starts anew beyond ``CACHE`` entries.
+Ids are decoded by one gather from the pieces' bytes for a whole batch.
 
 Rules: a null text is an empty one and has no ids; a null id of a row stays
 null; rows that repeat give rows that repeat; all other columns are left out,
@@ -23,7 +25,8 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Callable, Iterator
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate, chain
 from typing import NamedTuple
 
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 #: pre-tokens whose ids a task remembers, and their characters
 CACHE = 1 << 18
 CACHE_CHARS = 1 << 22
-#: characters of a text split at once
+#: characters of texts split at once
 PART = 1 << 18
 #: ids in one batch of results
 BATCH_IDS = 1 << 18
@@ -144,7 +147,7 @@ class Codec:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=vocab.model)
         texts = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size() - 1)]
         self.whole = {text: np.int32(i).tobytes() for i, text in enumerate(texts)}
-        self.pieces = [_bytes(text) for text in texts]
+        self.pieces = pa.array([_bytes(text) for text in texts], pa.binary())
         self.split = regex.compile(vocab.pattern).findall
         self.spans = regex.compile(vocab.pattern).finditer
         self.stand_ins = vocab.stand_ins
@@ -158,7 +161,7 @@ class Codec:
             return self.split(text)
         return [text[m.start() : m.end()] for m in self.spans(text.translate(self.stand_ins))]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: Iterable[str]) -> None:
         """Put the ids of all distinct pre-tokens into the table, as bytes."""
         if len(self.seen) > CACHE or self.held > CACHE_CHARS:
             self.seen, self.held = {}, 0
@@ -177,18 +180,46 @@ class Codec:
         cuts = iter([flat[4 * a : 4 * z] for a, z in zip([0, *ends], ends)])
         self.seen.update((w, next(cuts) if ids is None else ids) for w, ids in zip(new, found))
 
-    def encode(self, text: str) -> np.ndarray:
+    def _groups(self, texts: Iterable[str]) -> Iterator[list[list[str] | None]]:
+        """Pre-tokens of the texts' parts, in groups of ``PART`` characters;
+        None stands where a text ends."""
+        group, chars = [], 0
+        for text in texts:
+            for part in parts(text):
+                group.append(self.pre_tokens(part))
+                chars += len(part) + 1
+                if chars >= PART:
+                    yield group
+                    group, chars = [], 0
+            group.append(None)
+        yield group
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order. Reads ahead by a group of texts."""
         out = []
-        for part in parts(text):
-            words = self.pre_tokens(part)
-            self._learn(words)
-            out.append(b"".join(map(self.seen.__getitem__, words)))
-        return np.frombuffer(out[0] if len(out) == 1 else b"".join(out), dtype=np.int32)
+        for group in self._groups(texts):
+            self._learn(chain.from_iterable(words for words in group if words))
+            for words in group:
+                if words is None:
+                    yield np.frombuffer(out[0] if len(out) == 1 else b"".join(out), dtype=np.int32)
+                    out = []
+                else:
+                    out.append(b"".join(map(self.seen.__getitem__, words)))
 
-    def decode(self, ids: np.ndarray) -> bytes:
+    def encode(self, text: str) -> np.ndarray:
+        return next(self.encode_all([text]))
+
+    def decode_all(self, ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+        """The bytes of each list of ids; list r has ids[starts[r]:starts[r + 1]]."""
         if ids.size and int(ids.min()) < 0:
             raise ValueError(f"{int(ids.min())} is no id of the vocabulary")
-        return b"".join(map(self.pieces.__getitem__, ids.tolist()))
+        found = self.pieces.take(pa.array(ids))
+        _, ends, data = found.buffers()
+        ends = np.frombuffer(ends, np.int32)[found.offset :][starts] if ids.size else np.zeros(starts.size, np.int32)
+        return pa.Array.from_buffers(pa.binary(), starts.size - 1, [None, pa.py_buffer(ends), data])
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return self.decode_all(ids, np.array([0, ids.size]))[0].as_py()
 
 
 def parts(text: str) -> Iterator[str]:
@@ -214,30 +245,35 @@ def _codec_of(vocab: Vocabulary) -> Codec:
     return _codec[0][1]
 
 
-def _flush(ids: list, keys: list[np.ndarray], data: list[bytes] | None) -> pa.RecordBatch:
+def _flush(docs: list, keys: list[np.ndarray], codec: Codec | None) -> pa.RecordBatch:
     starts = np.concatenate([[0], np.cumsum([k.size for k in keys])]).astype(np.int32)
-    columns = {"doc_id": pa.array(ids, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(keys)))}
-    if data is not None:
-        columns["decoded"] = pa.array(data, pa.binary())
+    ids = np.concatenate(keys)
+    columns = {"doc_id": pa.array(docs, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(starts), pa.array(ids))}
+    if codec is not None:
+        columns["decoded"] = codec.decode_all(ids, starts)
     return pa.RecordBatch.from_pydict(columns)
 
 
 def _encoder(held, back: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
         codec = _codec_of(held.value)
-        ids, keys, data, n = [], [], [], 0
-        for batch in batches:
-            for doc, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids.append(doc.as_py())
-                keys.append(codec.encode(text.as_py() or ""))
-                if back:
-                    data.append(codec.decode(keys[-1]))
-                n += keys[-1].size + 1
-                if n >= BATCH_IDS:
-                    yield _flush(ids, keys, data if back else None)
-                    ids, keys, data, n = [], [], [], 0
-        if ids:
-            yield _flush(ids, keys, data if back else None)
+        docs = deque()
+
+        def texts():
+            for batch in batches:
+                for doc, text in zip(batch.column("doc_id"), batch.column("text")):
+                    docs.append(doc.as_py())
+                    yield text.as_py() or ""
+
+        keys, n = [], 0
+        for key in codec.encode_all(texts()):
+            keys.append(key)
+            n += key.size + 1
+            if n >= BATCH_IDS:
+                yield _flush([docs.popleft() for _ in keys], keys, codec if back else None)
+                keys, n = [], 0
+        if keys:
+            yield _flush([docs.popleft() for _ in keys], keys, codec if back else None)
 
     return run
 

@@ -8,9 +8,11 @@ import hashlib
 import math
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -73,6 +75,26 @@ def test_bpe_forgets_and_still_agrees(vocab, reference, monkeypatch):
         assert codec.encode(text).tolist() == reference.encode_ordinary(text)
 
 
+def test_bpe_asks_the_model_once_for_a_group_of_texts(vocab, reference, monkeypatch):
+    asked = []
+    encode = byte_bpe.sentencepiece.SentencePieceProcessor.encode
+    monkeypatch.setattr(byte_bpe.sentencepiece.SentencePieceProcessor, "encode", lambda self, x, **kw: asked.append(len(x)) or encode(self, x, **kw))
+    monkeypatch.setattr(byte_bpe, "_codec", [])
+    texts = [f"qzx{i}jvw textkq{i}" for i in range(300)] + [None, "", "été" * 4000]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(t))), "text": pa.array(t, pa.string())}) for t in (texts, [None, ""], texts[:9])]
+    out = list(byte_bpe._encoder(SimpleNamespace(value=vocab), True)(iter(batches)))
+    assert len(asked) < 5
+    every = [*texts, None, "", *texts[:9]]
+    got = [(r["ids"], r["decoded"]) for b in out for r in b.to_pylist()]
+    assert got == [(reference.encode_ordinary(x or ""), (x or "").encode()) for x in every]
+    # lists without any id, and results that leave after each text
+    codec = byte_bpe.Codec(vocab)
+    assert codec.decode_all(np.zeros(0, np.int32), np.array([0, 0, 0])).to_pylist() == [b"", b""]
+    assert codec.decode(np.zeros(0, np.int64)) == b""
+    monkeypatch.setattr(byte_bpe, "PART", 5)
+    assert [k.tolist() for k in codec.encode_all(x or "" for x in every)] == [reference.encode_ordinary(x or "") for x in every]
+
+
 def test_bpe_takes_whole_tokens_that_no_merge_reaches(tmp_path):
     # "abc" is a token, but neither "ab" nor "bc" is
     ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256, b"zz": 257}
